@@ -13,6 +13,11 @@ SPACE_CHARS = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same white space as characters, and as a class without U+0020.
+SPACES = "".join(
+    map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+SPACE_CHARS_BUT_BLANK = SPACE_CHARS.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
 WORD_CHARS = r"\p{L}\p{N}_"
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 PERSIAN_PUNCTUATION = "،؟؛«»"

@@ -36,14 +36,20 @@ def literal_replacement(text: str) -> str:
     return text.replace("\\", "\\\\").replace("$", "\\$")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- single steps --------------------------------------------------------------------------
 def strip(text: Column) -> Column:
-    """Unicode white space off both ends (``trim`` knows U+0020 only)."""
-    return _replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    """Unicode white space off both ends (plain ``trim`` knows U+0020 only)."""
+    return F.trim(text, F.lit(lx.SPACES))
 
 
 def collapse(text: Column) -> Column:
-    return _replace(text, f"{SPACE}+", " ")
+    """White space runs become one space. A single blank is no match: nothing changes there."""
+    return _replace(text, f"[{lx.SPACE_CHARS_BUT_BLANK}]{SPACE}*| {SPACE}+", " ")
 
 
 def squeeze(text: Column) -> Column:
@@ -102,7 +108,9 @@ def drop_number_start(text: Column) -> Column:
 
 
 def punctuation_to_space(text: Column) -> Column:
-    return _replace(text, rf"[^{lx.WORD_CHARS}\[\]]", " ")
+    """Everything but word characters and brackets; blanks are left out of the pattern
+    because replacing them changes nothing."""
+    return _replace(text, rf"[^{lx.WORD_CHARS}\[\] ]", " ")
 
 
 def punctuation_to_space_except(text: Column, keep: Sequence[str]) -> Column:
@@ -228,7 +236,7 @@ def normalize_for_match(text: Column) -> Column:
 
 def normalize_for_report(text: Column) -> Column:
     """Form used by the word-frequency reports. Digits go away altogether."""
-    not_word = f"[^{lx.WORD_CHARS}]"
+    not_word = f"[^{lx.WORD_CHARS} ]"
     text = strip(F.translate(text, lx.PERSIAN_DIGITS + lx.ARABIC_LETTERS, lx.ASCII_DIGITS + lx.PERSIAN_LETTERS))
     text = collapse_double_spaces(F.translate(text, lx.ZWNJ, " "))
     text = _replace(drop_number_start(shorten_runs(text)), not_word, " ")
@@ -262,9 +270,8 @@ def tokenize(text: Column, pattern: str = lx.PERSIAN_TOKEN, stopwords: Sequence[
         without_diacritics=True,
         without_number_start=True,
         without_punctuation=True,
-        single_spaces=True,
     )
-    parts = F.split(clean, rf"[{lx.SPACE_CHARS}\[\]]+")
+    parts = F.split(clean, r"[ \[\]]+")  # the only separators left; runs need no collapsing
     kept = F.filter(parts, lambda t: F.rlike(t, F.lit(rf"\A(?:{pattern})\z")) & _not_in(t, stop))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
@@ -284,9 +291,13 @@ def remove_stopwords(text: Column, stopwords: Sequence[str]) -> Column:
 
 def ngrams(tokens: Column, n: int, separator: str = " ") -> Column:
     """Array of the n-grams of a token array; shorter arrays give none."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), separator))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+
+    def from_tokens(t: Column) -> Column:
+        starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - (n - 1)))
+        # element_at is constant time, slice() would copy the whole array per n-gram
+        return F.transform(starts, lambda i: F.concat_ws(separator, *[F.element_at(t, i + j) for j in range(n)]))
+
+    return F.coalesce(let(tokens, from_tokens), F.array().cast("array<string>"))
 
 
 def ngram_text(text: Column, n: int) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions.text import is_suggestion, ngrams, strip, word_tokens
-from ..session import cut_lineage
-from .ngrams import SENTIMENT_GROUPS, counted
+from ..session import cut_lineage, spread
+from .ngrams import SENTIMENT_GROUPS, gram_counts
 from .ordering import join_skewed, top_per_group
 
 MIN_DF, MAX_DF, FEW_DOCS = 2, 0.85, 3
@@ -52,9 +52,9 @@ def centrality(
         texts = top_per_group(texts, ["grp"], ["id"], max_comments, "_r").drop("_r")
     sizes = texts.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"))
 
-    tokens = texts.select("grp", "id", word_tokens(F.col("text"), stopwords).alias("_tokens"))
+    tokens = spread(texts).select("grp", "id", word_tokens(F.col("text"), stopwords).alias("_tokens"))
     grams = F.concat(F.col("_tokens"), ngrams(F.col("_tokens"), 2))
-    entries = tokens.select("grp", "id", F.explode(counted(grams)).alias("_g")).select("grp", "id", "_g.gram", "_g.tf")
+    entries = cut_lineage(gram_counts(tokens, {0: grams}, "id", ["grp"]).drop("n"))
 
     max_df = F.when(F.floor(F.col("docs") * MAX_DF) < MIN_DF, 1.0).otherwise(MAX_DF)
     terms = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions.text import ngrams, tokenize, word_tokens
+from ..session import spread
 from .ordering import top_per_group
 
 ALL = "all"
@@ -18,44 +19,17 @@ KIND_OF_N = {2: "bigram", 3: "trigram"}
 MAX_BROADCAST_GRAMS = 1_000_000
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def gram_counts(tokenized: DataFrame, grams_of: dict[int, Column], id: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (id, *keep, n, gram, tf) from one array of grams per n.
 
-
-def counted(items: Column) -> Column:
-    """Array of (gram, tf) structs, one per distinct item of a string array.
-
-    Counting inside the row keeps (document, gram) pairs from being shuffled.
+    The rows are first partitioned by document. That one exchange of token arrays serves
+    the counting here, every per-document step after it, and all readers of the counts;
+    the far more numerous (document, gram) pairs are not shuffled.
     """
-
-    def from_sorted(s: Column) -> Column:
-        is_first = lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1))))
-        firsts = F.filter(F.sequence(F.lit(1), F.size(s)), is_first)
-        return let(
-            firsts,
-            lambda f: F.transform(
-                f,
-                lambda p, j: F.struct(
-                    F.element_at(s, p).alias("gram"),
-                    (F.coalesce(F.get(f, j + 1), F.size(s) + 1) - p).alias("tf"),
-                ),
-            ),
-        )
-
-    return F.when(F.size(items) > 0, let(F.sort_array(items), from_sorted))
-
-
-def gram_counts(docs: DataFrame, tokens: Column, ns: Sequence[int], id: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Rows (id, *keep, n, gram, tf)."""
-    tokenized = docs.select(id, *keep, tokens.alias("_tokens"))
-    per_n = [
-        F.transform(counted(ngrams(F.col("_tokens"), n)), lambda g, n=n: F.struct(F.lit(n).alias("n"), g["gram"].alias("gram"), g["tf"].alias("tf")))
-        for n in ns
-    ]
-    empty = F.array().cast("array<struct<n:int,gram:string,tf:int>>")
-    grams = F.concat(*[F.coalesce(a, empty) for a in per_n]) if len(per_n) > 1 else per_n[0]
-    return tokenized.select(id, *keep, F.explode(grams).alias("_g")).select(id, *keep, "_g.n", "_g.gram", "_g.tf")
+    by_document = tokenized.repartition(id)
+    lists = F.array(*[F.struct(F.lit(n).alias("n"), grams.alias("grams")) for n, grams in grams_of.items()])
+    grams = by_document.select(id, *keep, F.inline(lists)).select(id, *keep, "n", F.explode("grams").alias("gram"))
+    return grams.groupBy(id, *keep, "n", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _with_all(rows: DataFrame, with_all: bool) -> DataFrame:
@@ -97,7 +71,8 @@ def tfidf_ngrams(
     labelled = docs.filter(F.col(group).isin(list(groups))) if group else docs
     labelled = labelled.select(id, F.col(text).alias("_text"), (F.col(group) if group else F.lit(ALL)).alias("grp"))
     with_all = with_all and group is not None
-    counts = gram_counts(labelled, tokenize(F.col("_text"), pattern, stopwords), ns, id, ["grp"])
+    tokenized = spread(labelled).select(id, "grp", tokenize(F.col("_text"), pattern, stopwords).alias("_tokens"))
+    counts = gram_counts(tokenized, {n: ngrams(F.col("_tokens"), n) for n in ns}, id, ["grp"])
 
     sizes = _with_all(labelled.groupBy("grp").agg(F.count(F.lit(1)).alias("docs")), with_all)
     sizes = sizes.groupBy("grp").agg(F.sum("docs").alias("docs"))
@@ -161,7 +136,7 @@ def tfidf_by_group(docs: DataFrame, *, group: str, top_k: int = 30, **options) -
 
 def top_ngrams(docs: DataFrame, *, n: int = 1, limit: int = 20, text: str = "description", stopwords: Sequence[str] = ()) -> DataFrame:
     """Most frequent n-grams of lower-cased words of at least two characters."""
-    grams = docs.select(F.explode(ngrams(word_tokens(F.col(text), stopwords), n)).alias("ngram"))
+    grams = spread(docs.select(text)).select(F.explode(ngrams(word_tokens(F.col(text), stopwords), n)).alias("ngram"))
     totals = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("total"))
     return totals.orderBy(F.desc("total"), F.asc("ngram")).limit(limit)
 
