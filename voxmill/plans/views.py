@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
+from ..session import spread
 from . import sqltext as sq
 
 # Latin letter (and some marks) -> Persian letter, Arabic letter, digit, diacritic,
@@ -63,7 +64,7 @@ SQL_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 # --- texts: documents -------------------------------------------------------------------------
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(
         d.alias("id"), persian(F.col("text")).alias("description"), F.col("text").alias("latin"), "lang",
         pick(TITLES, d % len(TITLES)).alias("title"),
         pick(["negative", "positive", "neutral"], d % 3).alias("grp"),
