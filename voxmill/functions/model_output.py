@@ -23,12 +23,19 @@ def _no_words() -> Column:
 
 
 # --- JSON ---------------------------------------------------------------------------------------
+def is_one_object(text: Column) -> Column:
+    """Whether a text is exactly one JSON value: the parser alone would ignore what
+    follows the first value, inside a list it cannot."""
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    return F.try_parse_json(listed).isNotNull() & (F.json_array_length(listed) == 1)
+
+
 def json_text(raw: Column, greedy: bool = False) -> Column:
     """Text of the first JSON object outside markdown fences; null when there is none
     or it does not parse. Non-greedy ends at the first closing brace."""
     unfenced = strip(F.regexp_replace(raw, "```(?:json)?", ""))
     body = F.regexp_extract(unfenced, r"(?s)\{.*\}" if greedy else r"(?s)\{.*?\}", 0)
-    return F.when((body != "") & F.try_parse_json(body).isNotNull(), body)
+    return F.when((body != "") & is_one_object(body), body)
 
 
 def extract_json(raw: Column, schema: T.StructType, greedy: bool = False) -> Column:
@@ -57,7 +64,7 @@ def repair_json(raw: Column, schema: T.StructType) -> Column:
     checked = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
     options = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": broken}
     lenient = F.from_json(literal, checked, options)
-    return F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, schema)).otherwise(
+    return F.when(is_one_object(text), F.from_json(text, schema)).otherwise(
         F.when(lenient[broken].isNull(), lenient.dropFields(broken))
     )
 
