@@ -25,15 +25,20 @@ def latest_per_key(batch: DataFrame, keys: Sequence[str], order: str, values: Se
     return batch.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])
 
 
-def _joined(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    old = target.withColumn("_old", F.lit(True))
-    new = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in batch.columns if c not in keys], F.lit(True).alias("_new"))
-    return old.join(new, list(keys), "full_outer")
+def _split(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The table with what the batch says about its rows (``_new`` and ``_new_*``), and
+    the batch rows that are new.
+
+    The batch is always the side that may be broadcast. Next to a large table it
+    usually is small: then the table is not shuffled at all, and finding the new rows
+    reads its key columns only.
+    """
+    said = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in batch.columns if c not in keys], F.lit(True).alias("_new"))
+    known = target.select(*keys).join(batch.select(*keys), list(keys))
+    return target.join(said, list(keys), "left"), batch.join(known, list(keys), "left_anti")
 
 
-def _replace(
-    target: DataFrame, joined: DataFrame, changes: dict[str, Column], extra: Sequence[str] = ()
-) -> DataFrame:
+def _replace(target: DataFrame, joined: DataFrame, changes: dict[str, Column]) -> DataFrame:
     """Target columns; where the batch has the key, ``changes`` are applied."""
     hit = F.col("_new").isNotNull()
 
@@ -42,15 +47,22 @@ def _replace(
             return F.col(name)
         return F.when(hit, changes[name]).otherwise(F.col(name)).cast(target.schema[name].dataType).alias(name)
 
-    return joined.select(*[column(c) for c in target.columns], *extra)
+    return joined.select(*[column(c) for c in target.columns])
 
 
-def _numbered(table: DataFrame, id: str, order: str, first_free: DataFrame) -> DataFrame:
-    """Rows whose id is null get the next free ids in ``order``."""
-    new = add_position(table.filter(F.col(id).isNull()), [], order, "_position").withColumn("_one", F.lit(1))
-    highest = F.broadcast(first_free.withColumn("_one", F.lit(1)))  # one row
-    new = new.join(highest, "_one").withColumn(id, F.col("_top") + 1 + F.col("_position"))
-    return table.filter(F.col(id).isNotNull()).unionByName(new.drop("_position", "_top", "_one"))
+def _as_rows(target: DataFrame, fresh: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """New rows in the shape of the table; columns without a value are null."""
+    return fresh.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
+    )
+
+
+def _numbered(target: DataFrame, id: str, fresh: DataFrame, order: str) -> DataFrame:
+    """New rows with the next free ids of the table, in ``order``."""
+    highest = target.agg(F.coalesce(F.max(id), F.lit(0)).alias("_top"), F.lit(1).alias("_one"))
+    placed = add_position(fresh, [], order, "_position").withColumn("_one", F.lit(1))
+    placed = placed.join(F.broadcast(highest), "_one")  # one row
+    return placed.withColumn(id, F.col("_top") + 1 + F.col("_position")).drop("_top", "_one", "_position")
 
 
 def upsert_comments(target: DataFrame, batch: DataFrame, *, imported_at: Column | None = None, seq: str = "seq") -> DataFrame:
@@ -59,37 +71,35 @@ def upsert_comments(target: DataFrame, batch: DataFrame, *, imported_at: Column
     New rows get ids after the highest one, in batch order."""
     keys = ["national_code_hash", "created_at"]
     overwritten = ["title", "grade", "description", "mobile_no_hash"]
+    now = imported_at if imported_at is not None else F.current_timestamp()
     rows = batch.groupBy(*keys).agg(
         F.max_by(F.struct(*overwritten), F.col(seq)).alias("_last"),
         F.min_by("channel_code", F.when(F.col("channel_code").isNotNull(), F.col(seq))).alias("channel_code"),
         F.min(seq).alias("seq"),
     ).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in overwritten], "channel_code", "seq")
-    joined = _joined(target, rows, keys)
+    joined, fresh = _split(target, rows, keys)
     changes = {c: F.col(f"_new_{c}") for c in overwritten}
-    changes["channel_code"] = F.coalesce("channel_code", "_new_channel_code")
-    changes["imported_at"] = imported_at if imported_at is not None else F.current_timestamp()
-    merged = _replace(target, joined, changes, extra=["_new_seq"])
-    top = target.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    return _numbered(merged, "id", "_new_seq", top).select(*target.columns)
+    changes |= {"channel_code": F.coalesce("channel_code", "_new_channel_code"), "imported_at": now}
+    fresh = _numbered(target, "id", fresh, "seq")
+    values = {c: F.col(c) for c in ("id", *keys, *overwritten, "channel_code")} | {"imported_at": now}
+    return _replace(target, joined, changes).unionByName(_as_rows(target, fresh, values))
 
 
 def upsert_assistant(target: DataFrame, batch: DataFrame, *, imported_at: Column | None = None, seq: str = "seq") -> DataFrame:
     """Key (user_message, created_at). The last row wins, empty answers become null;
     the import time is that of the first load."""
     keys = ["user_message", "created_at"]
-    values = ["assistant_message", "is_liked", "q1", "q2", "q3"]
-    blank_to_null = {q: F.when(F.col(q) != "", F.col(q)) for q in ("q1", "q2", "q3")}
-    clean = batch.withColumns(blank_to_null)
+    overwritten = ["assistant_message", "is_liked", "q1", "q2", "q3"]
+    now = imported_at if imported_at is not None else F.current_timestamp()
+    clean = batch.withColumns({q: F.when(F.col(q) != "", F.col(q)) for q in ("q1", "q2", "q3")})
     rows = clean.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col(seq)).alias("_last"), F.min(seq).alias("seq")
-    ).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in values], "seq")
-    joined = _joined(target, rows, keys)
-    changes = {c: F.col(f"_new_{c}") for c in values}
-    loaded = imported_at if imported_at is not None else F.current_timestamp()
-    changes["imported_at"] = F.when(F.col("_old"), F.col("imported_at")).otherwise(loaded)
-    merged = _replace(target, joined, changes, extra=["_new_seq"])
-    top = target.agg(F.coalesce(F.max("turn_id"), F.lit(0)).alias("_top"))
-    return _numbered(merged, "turn_id", "_new_seq", top).select(*target.columns)
+        F.max_by(F.struct(*overwritten), F.col(seq)).alias("_last"), F.min(seq).alias("seq")
+    ).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in overwritten], "seq")
+    joined, fresh = _split(target, rows, keys)
+    fresh = _numbered(target, "turn_id", fresh, "seq")
+    values = {c: F.col(c) for c in ("turn_id", *keys, *overwritten)} | {"imported_at": now}
+    changes = {c: F.col(f"_new_{c}") for c in overwritten}
+    return _replace(target, joined, changes).unionByName(_as_rows(target, fresh, values))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, *, key: str = "comment_idd", order: str | None = None) -> DataFrame:
@@ -101,16 +111,18 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, *, key: str = "comment
         rows = rows.select(key, *[F.col(f"_first.{v}").alias(v) for v in values]).select(*batch.columns)
     else:
         rows = batch.dropDuplicates([key])
-    return rows.join(target.select(key), key, "left_anti")
+    known = target.select(key).join(rows.select(key), key)
+    return rows.join(known, key, "left_anti")
 
 
 def upsert_analysis(target: DataFrame, rows: DataFrame, *, processed_at: Column | None = None) -> DataFrame:
     """Key comment_id; everything but created_at is replaced."""
-    joined = _joined(target, rows.select(*[c for c in target.columns if c != "processed_at"]), ["comment_id"])
-    changes = {c: F.col(f"_new_{c}") for c in target.columns if c not in ("comment_id", "created_at", "processed_at")}
-    changes["created_at"] = F.when(F.col("_old"), F.col("created_at")).otherwise(F.col("_new_created_at"))
-    changes["processed_at"] = processed_at if processed_at is not None else F.current_timestamp()
-    return _replace(target, joined, changes)
+    now = processed_at if processed_at is not None else F.current_timestamp()
+    given = [c for c in target.columns if c != "processed_at"]
+    joined, fresh = _split(target, rows.select(*given), ["comment_id"])
+    changes = {c: F.col(f"_new_{c}") for c in given if c not in ("comment_id", "created_at")} | {"processed_at": now}
+    values = {c: F.col(c) for c in given} | {"processed_at": now}
+    return _replace(target, joined, changes).unionByName(_as_rows(target, fresh, values))
 
 
 def mark_analyzed(comments: DataFrame, ids: DataFrame) -> DataFrame:
@@ -188,13 +200,9 @@ def register_app(apps: DataFrame, candidates: DataFrame, *, seq: str = "seq") ->
     )
     changes = {c: F.col(f"_new_{c}") for c in REGISTERED_ATTRIBUTES} | {"deleted": F.lit(False)}
     updated = _replace(apps, apps.join(back, "app_id", "left"), changes)
-    top = apps.agg(F.coalesce(F.max("app_id"), F.lit(0)).alias("_top"))
-    added = judged.filter(F.col("status") == "Valid").select(
-        F.lit(None).cast("long").alias("app_id"), *REGISTERED_ATTRIBUTES, F.lit(True).alias("active"),
-        F.lit(False).alias("deleted"), seq,
-    )
-    added = _numbered(added, "app_id", seq, top).drop(seq)
-    return updated.unionByName(added, allowMissingColumns=True)
+    valid = _numbered(apps, "app_id", judged.filter(F.col("status") == "Valid").drop("app_id"), seq)
+    values = {c: F.col(c) for c in ("app_id", *REGISTERED_ATTRIBUTES)} | {"active": F.lit(True), "deleted": F.lit(False)}
+    return updated.unionByName(_as_rows(apps, valid, values))
 
 
 SNAPSHOT_COLUMNS = [
@@ -215,8 +223,9 @@ def append_snapshot(apps: DataFrame, scraped_time: Column) -> DataFrame:
 def update_scrape_stats(apps: DataFrame, stats: DataFrame) -> DataFrame:
     """Comment counts and last scrape day by app_id; unknown apps are added."""
     columns = ["count_scraped_comments", "count_new_comments", "last_update_comment_scraping"]
-    joined = _joined(apps, stats.select("app_id", *columns), ["app_id"])
-    return _replace(apps, joined, {c: F.col(f"_new_{c}") for c in columns})
+    joined, fresh = _split(apps, stats.select("app_id", *columns), ["app_id"])
+    updated = _replace(apps, joined, {c: F.col(f"_new_{c}") for c in columns})
+    return updated.unionByName(_as_rows(apps, fresh, {c: F.col(c) for c in ("app_id", *columns)}))
 
 
 def daily_snapshot(apps: DataFrame, scrape: DataFrame, scraped_time: Column) -> DataFrame:

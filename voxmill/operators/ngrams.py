@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions.text import ngrams, tokenize, word_tokens
-from ..session import spread
 from .ordering import top_per_group
 
 ALL = "all"
@@ -40,7 +39,7 @@ def _most_frequent(vocabulary: DataFrame, max_features: int) -> DataFrame:
     """At most ``max_features`` grams per (grp, n), by total count. The first cut is
     taken within salted parts so that no task ranks a whole vocabulary."""
     order = [F.desc("total"), F.asc("gram")]
-    salted = vocabulary.withColumn("_salt", F.pmod(F.hash("gram"), F.lit(64)))
+    salted = vocabulary.withColumn("_salt", F.pmod(F.hash("gram"), F.lit(256)))
     part = top_per_group(salted, ["grp", "n", "_salt"], order, max_features, "_r")
     return top_per_group(part, ["grp", "n"], order, max_features, "_r").drop("_salt", "_r")
 
@@ -71,7 +70,7 @@ def tfidf_ngrams(
     labelled = docs.filter(F.col(group).isin(list(groups))) if group else docs
     labelled = labelled.select(id, F.col(text).alias("_text"), (F.col(group) if group else F.lit(ALL)).alias("grp"))
     with_all = with_all and group is not None
-    tokenized = spread(labelled).select(id, "grp", tokenize(F.col("_text"), pattern, stopwords).alias("_tokens"))
+    tokenized = labelled.select(id, "grp", tokenize(F.col("_text"), pattern, stopwords).alias("_tokens"))
     counts = gram_counts(tokenized, {n: ngrams(F.col("_tokens"), n) for n in ns}, id, ["grp"])
 
     sizes = _with_all(labelled.groupBy("grp").agg(F.count(F.lit(1)).alias("docs")), with_all)
@@ -136,7 +135,7 @@ def tfidf_by_group(docs: DataFrame, *, group: str, top_k: int = 30, **options) -
 
 def top_ngrams(docs: DataFrame, *, n: int = 1, limit: int = 20, text: str = "description", stopwords: Sequence[str] = ()) -> DataFrame:
     """Most frequent n-grams of lower-cased words of at least two characters."""
-    grams = spread(docs.select(text)).select(F.explode(ngrams(word_tokens(F.col(text), stopwords), n)).alias("ngram"))
+    grams = docs.select(F.explode(ngrams(word_tokens(F.col(text), stopwords), n)).alias("ngram"))
     totals = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("total"))
     return totals.orderBy(F.desc("total"), F.asc("ngram")).limit(limit)
 

@@ -16,6 +16,7 @@ from ..functions.text import normalize_for_match
 from .ordering import add_position
 
 CHUNK = 80
+FAN_IN = 1_000  # chunk summaries in one second pass: up to 80,000 comments
 JOB_MIN = 5  # a job needs more than 4 comments in each of its groups
 BATCH_MIN = 6  # a batch skips groups of 5 and fewer
 GROUP = ["title", "type", "category", "sentiment"]
@@ -140,15 +141,16 @@ def job_status(jobs: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def merge_chunks(summaries: DataFrame) -> DataFrame:
-    """(summarized_id, group_no, chunks, text): a single chunk summary as it is, several
-    as the input of a second pass, joined by line breaks.
+def merge_chunks(summaries: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """(summarized_id, group_no, part, chunks, text): a single chunk summary as it is,
+    several as the input of a second pass, joined by line breaks.
 
-    One chunk summary stands for 80 comments and costs one model call, so a group's
-    list is short next to the comments behind it.
+    A group of more than ``fan_in`` chunks gets several parts, so no row grows without
+    bound: summarise the parts and merge again (``part`` as ``chunk``) until one is left.
     """
     texts = F.transform(F.sort_array(F.collect_list(F.struct("chunk", "summary"))), lambda r: r["summary"])
-    return summaries.groupBy("summarized_id", "group_no").agg(
+    parts = summaries.withColumn("part", F.floor(F.col("chunk") / fan_in))
+    return parts.groupBy("summarized_id", "group_no", "part").agg(
         F.count(F.lit(1)).alias("chunks"), F.array_join(texts, "\n").alias("text")
     )
 

@@ -145,8 +145,8 @@ def q_job_status(spark, sf_dir):
 
 # The summary of a chunk is a model's answer; here it is the first line and the length.
 SQL_SUMMARY = "split_part(texts, chr(10), 1) || ' (' || CAST(length(texts) AS VARCHAR) || ')'"
-SQL_MERGED = FOUND + f""", merged AS (SELECT summarized_id, group_no, count(*) AS chunks, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text
-FROM chunks GROUP BY summarized_id, group_no)"""
+SQL_MERGED = FOUND + f""", merged AS (SELECT summarized_id, group_no, chunk // 1000 AS part, count(*) AS chunks, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text
+FROM chunks GROUP BY summarized_id, group_no, chunk // 1000)"""
 
 
 def _merged(spark, sf_dir):

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
-from ..session import spread
 from . import sqltext as sq
 
 # Latin letter (and some marks) -> Persian letter, Arabic letter, digit, diacritic,
@@ -40,6 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan in at least as many partitions as there are cores: the tables given are
+    single small files. A large scan has more splits than that and stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def pick(values: list, index: Column) -> Column:
     """Element of a fixed list, 0-based."""
     return F.get(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int"))

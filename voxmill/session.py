@@ -47,13 +47,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/voxmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores.
-
-    A few small files would otherwise keep an expensive expression on a few tasks. A
-    large scan has more splits than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
