@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from . import lexicon as lx
 from .rules import has_neutral_phrase
-from .text import SPACE, contains_latin, normalize_for_match, strip, word_count
+from .text import SPACE, contains_latin, let, normalize_for_match, strip, word_count
 
 EVIDENCE_LENGTH = 300
 MAX_KEYWORDS = 6
@@ -27,7 +27,7 @@ def is_one_object(text: Column) -> Column:
     """Whether a text is exactly one JSON value: the parser alone would ignore what
     follows the first value, inside a list it cannot."""
     listed = F.concat(F.lit("["), text, F.lit("]"))
-    return F.try_parse_json(listed).isNotNull() & (F.json_array_length(listed) == 1)
+    return let(listed, lambda one: F.try_parse_json(one).isNotNull() & (F.json_array_length(one) == 1))
 
 
 def json_text(raw: Column, greedy: bool = False) -> Column:
@@ -35,13 +35,12 @@ def json_text(raw: Column, greedy: bool = False) -> Column:
     or it does not parse. Non-greedy ends at the first closing brace."""
     unfenced = strip(F.regexp_replace(raw, "```(?:json)?", ""))
     body = F.regexp_extract(unfenced, r"(?s)\{.*\}" if greedy else r"(?s)\{.*?\}", 0)
-    return F.when((body != "") & is_one_object(body), body)
+    return let(body, lambda b: F.when((b != "") & is_one_object(b), b))
 
 
 def extract_json(raw: Column, schema: T.StructType, greedy: bool = False) -> Column:
     """The object as a struct; null is the error value."""
-    text = json_text(raw, greedy)
-    return F.when(text.isNotNull(), F.from_json(text, schema))
+    return F.from_json(json_text(raw, greedy), schema)
 
 
 def repaired_json_text(raw: Column) -> Column:
@@ -56,17 +55,21 @@ def repaired_json_text(raw: Column) -> Column:
 def repair_json(raw: Column, schema: T.StructType) -> Column:
     """As ``extract_json`` on the repaired text; a text that is no JSON is read once
     more as a literal with single quotes and True / False / None."""
-    text = repaired_json_text(raw)
-    literal = text
-    for word, value in (("True", "true"), ("False", "false"), ("None", "null")):
-        literal = F.regexp_replace(literal, rf"(?<![\w'\"]){word}(?![\w'\"])", value)
     broken = "_broken"
     checked = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
     options = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": broken}
-    lenient = F.from_json(literal, checked, options)
-    return F.when(is_one_object(text), F.from_json(text, schema)).otherwise(
-        F.when(lenient[broken].isNull(), lenient.dropFields(broken))
-    )
+
+    def read(text: Column) -> Column:
+        literal = text
+        for word, value in (("True", "true"), ("False", "false"), ("None", "null")):
+            literal = F.regexp_replace(literal, rf"(?<![\w'\"]){word}(?![\w'\"])", value)
+        lenient = let(
+            F.from_json(literal, checked, options),
+            lambda found: F.when(found[broken].isNull(), found.dropFields(broken)),
+        )
+        return F.when(is_one_object(text), F.from_json(text, schema)).otherwise(lenient)
+
+    return let(repaired_json_text(raw), read)
 
 
 # --- one analysed comment --------------------------------------------------------------------------
@@ -102,17 +105,24 @@ def merge_replies(comments: DataFrame, semantic_raw: str, category_raw: str) ->
 
 def _checked_value(value: Column, aliases: dict, allowed: list[str]) -> Column:
     """Compared trimmed, lower-cased and through its aliases, but kept as it came."""
-    normal = F.lower(strip(F.coalesce(value, F.lit(""))))
-    for alias, meaning in aliases.items():
-        normal = F.when(normal == alias, meaning).otherwise(normal)
-    return F.when(normal.isin(allowed), value).otherwise("other")
+
+    def check(normal: Column) -> Column:
+        for alias, meaning in aliases.items():
+            normal = F.when(normal == alias, meaning).otherwise(normal)
+        return F.when(normal.isin(allowed), value).otherwise("other")
+
+    return let(F.lower(strip(F.coalesce(value, F.lit("")))), check)
 
 
 def validate_analysis(analysis: DataFrame, text: str = "comment_text") -> DataFrame:
     """Analysis columns made valid in place; ``status`` is ``ok`` or the reason a row fails."""
     original = F.col(text)
     evidence_found = F.contains(normalize_for_match(original), normalize_for_match(F.col("evidence")))
-    keywords = F.filter(F.col("keywords"), lambda k: ~contains_latin(k))
+    general = F.array(F.lit(lx.GENERAL_KEYWORD))
+    keywords = let(
+        F.filter(F.col("keywords"), lambda k: ~contains_latin(k)),
+        lambda kept: F.when(F.size(kept) > 0, F.slice(kept, 1, MAX_KEYWORDS)).otherwise(general),
+    )
     status = (
         F.when(F.col("evidence").isNull(), "no evidence")
         .when(F.col("normalized_title").isNull(), "no normalized_title")
@@ -130,9 +140,7 @@ def validate_analysis(analysis: DataFrame, text: str = "comment_text") -> DataFr
             "evidence": F.when(evidence_found, F.col("evidence")).otherwise(
                 F.substring(strip(original), 1, EVIDENCE_LENGTH)
             ),
-            "keywords": F.when(
-                F.size(keywords) > 0, F.slice(keywords, 1, MAX_KEYWORDS)
-            ).otherwise(F.array(F.lit(lx.GENERAL_KEYWORD))),
+            "keywords": keywords,
         }
     )
 

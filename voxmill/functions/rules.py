@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicon as lx
-from .text import normalize_for_match, plain_pattern, strip, word_count
+from .text import let, normalize_for_match, plain_pattern, strip, word_count
 
 
 def _lookup(mapping: dict, key: Column) -> Column:
@@ -98,11 +98,14 @@ def labels_of_group(group: Column) -> Column:
 
 def feature_from_title(title: Column, features: dict | None = None) -> Column:
     """First keyword (map order) contained in the title decides; compared in match form."""
-    normal = normalize_for_match(title)
-    chain = F.when(F.coalesce(title, F.lit("")) == "", "other")
-    for keyword, feature in (features or lx.FEATURE_OF_TITLE).items():
-        chain = chain.when(F.contains(normal, normalize_for_match(F.lit(keyword))), feature)
-    return chain.otherwise("other")
+
+    def first_contained(normal: Column) -> Column:
+        chain = F.when(normal == "", "other")
+        for keyword, feature in (features or lx.FEATURE_OF_TITLE).items():
+            chain = chain.when(F.contains(normal, normalize_for_match(F.lit(keyword))), feature)
+        return chain.otherwise("other")
+
+    return let(normalize_for_match(title), first_contained)
 
 
 def type_from_sentiment(label: Column) -> Column:

@@ -35,6 +35,26 @@ def _with_all(rows: DataFrame, with_all: bool) -> DataFrame:
     return rows.withColumn("grp", F.explode(F.array(F.col("grp"), F.lit(ALL)))) if with_all else rows
 
 
+def _gram_stats(counts: DataFrame, labels: Sequence[str], with_all: bool, min_df: int) -> DataFrame:
+    """(grp, n, gram, df, total) of the grams with at least ``min_df`` documents.
+
+    One aggregate by gram holds the numbers of every group side by side. A gram that is
+    too rare over all groups is too rare in each, and most grams are: they go before
+    the groups are laid out as rows.
+    """
+    of = lambda label, value: F.sum(F.when(F.col("grp") == label, value).otherwise(0))
+    wide = counts.groupBy("n", "gram").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"),
+        *[of(g, F.lit(1)).alias(f"_df_{i}") for i, g in enumerate(labels)],
+        *[of(g, F.col("tf")).alias(f"_total_{i}") for i, g in enumerate(labels)],
+    ).filter(F.col("df") >= min_df)
+    entry = lambda grp, df, total: F.struct(F.lit(grp).alias("grp"), F.col(df).alias("df"), F.col(total).alias("total"))
+    entries = [entry(g, f"_df_{i}", f"_total_{i}") for i, g in enumerate(labels)]
+    if with_all:
+        entries.append(entry(ALL, "df", "total"))
+    return wide.select("n", "gram", F.inline(F.array(*entries))).filter(F.col("df") >= min_df)
+
+
 def _most_frequent(vocabulary: DataFrame, max_features: int) -> DataFrame:
     """At most ``max_features`` grams per (grp, n), by total count. The first cut is
     taken within salted parts so that no task ranks a whole vocabulary."""
@@ -73,15 +93,11 @@ def tfidf_ngrams(
     tokenized = labelled.select(id, "grp", tokenize(F.col("_text"), pattern, stopwords).alias("_tokens"))
     counts = gram_counts(tokenized, {n: ngrams(F.col("_tokens"), n) for n in ns}, id, ["grp"])
 
+    labels = list(groups) if group else [ALL]
     sizes = _with_all(labelled.groupBy("grp").agg(F.count(F.lit(1)).alias("docs")), with_all)
     sizes = sizes.groupBy("grp").agg(F.sum("docs").alias("docs"))
-    stats = counts.groupBy("grp", "n", "gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    if with_all:
-        stats = _with_all(stats, True).groupBy("grp", "n", "gram").agg(
-            F.sum("df").alias("df"), F.sum("total").alias("total")
-        )
     vocabulary = (
-        stats.filter(F.col("df") >= min_df)
+        _gram_stats(counts, labels, with_all, min_df)
         .join(F.broadcast(sizes), "grp")  # one row per reported group
         .filter(F.col("df") <= F.lit(max_df) * F.col("docs"))
         .withColumn("idf", F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1)

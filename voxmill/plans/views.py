@@ -87,7 +87,7 @@ SQL_TEXTS = f"""texts_v AS (
 # --- comments: events ---------------------------------------------------------------------------
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
-    rows = table(spark, sf_dir, "events").withColumn("k", number_k())
+    rows = spread(table(spark, sf_dir, "events").drop("value")).withColumn("k", number_k())
     label = pick(LABELS, F.col("k") % 7)
     state = F.col("k") % 9
     result = F.when(state == 0, None).when(state == 1, "").when(state == 2, "no comments").otherwise(label)
@@ -141,7 +141,7 @@ KEYWORDS = ["کارت", "speed", "انتقال", "وجه", "app", "خطا", "ک
 
 def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, k = F.col("event_id"), F.col("k")
-    return table(spark, sf_dir, "events").withColumn("k", number_k()).select(
+    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")).withColumn("k", number_k()).select(
         e.alias("comment_id"), F.col("ts").alias("created_at"),
         pick(LABELS, k % 7).alias("sentiment_result"),
         F.col("event_type").alias("title"),
