@@ -172,3 +172,25 @@ def test_scoring_retries(spark, tmp_path):
 
     rows = scoring.score_with(spark.range(10).coalesce(1), model, "double long", batch_size=3).collect()
     assert sorted(tuple(r) for r in rows) == [(i, 2 * i) for i in range(10)]
+
+
+def test_candidates_for_one_app(spark):
+    attributes = [c for c in merges.REGISTERED_ATTRIBUTES if c not in ("app_name", "nickname", "category")]
+    fill = {c: F.lit("x") for c in attributes}
+    apps = spark.createDataFrame([(7, "n", "dead", "c", True, True), (9, "n", "live", "c", True, False)],
+                                 "app_id long, app_name string, nickname string, category string, active boolean, deleted boolean").withColumns(fill)
+    good, bad = merges.lx.ACCEPTED_APP_CATEGORIES[0], "other"
+    rows = [(1, "n", "dead", bad), (2, "n", "dead", bad), (3, "n", "live", good), (4, "n", "new", bad), (5, "n", "new", good), (6, "n", "new", good), (8, "n", "new", bad)]
+    candidates = spark.createDataFrame(rows, "seq long, app_name string, nickname string, category string").withColumns(fill)
+    status = {r.seq: r.status for r in merges.registration_status(apps, candidates).collect()}
+    assert status == {1: "deleted-back", 2: "Duplicate", 3: "Duplicate", 4: "Irrelevant", 5: "Valid", 6: "Duplicate", 8: "Duplicate"}
+    after = {r.nickname: (r.app_id, r.deleted) for r in merges.register_app(apps, candidates).collect()}
+    assert after == {"dead": (7, False), "live": (9, False), "new": (10, False)}
+
+
+def test_last_analysis_of_a_comment_counts(spark):
+    target = spark.createDataFrame([], schemas.COMMENT_ANALYSIS)
+    rows = spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (3, 6, "c")], "seq long, comment_id long, type string")
+    rows = rows.withColumns({c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in ("comment_id", "type")})
+    out = {r.comment_id: r.type for r in merges.upsert_analysis(target, rows, seq="seq").collect()}
+    assert out == {5: "b", 6: "c"}

@@ -115,10 +115,15 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, *, key: str = "comment
     return rows.join(known, key, "left_anti")
 
 
-def upsert_analysis(target: DataFrame, rows: DataFrame, *, processed_at: Column | None = None) -> DataFrame:
-    """Key comment_id; everything but created_at is replaced."""
+def upsert_analysis(
+    target: DataFrame, rows: DataFrame, *, processed_at: Column | None = None, seq: str | None = None
+) -> DataFrame:
+    """Key comment_id; everything but created_at is replaced. With ``seq`` a comment may
+    come several times and its last row counts; otherwise ids are unique."""
     now = processed_at if processed_at is not None else F.current_timestamp()
     given = [c for c in target.columns if c != "processed_at"]
+    if seq:
+        rows = latest_per_key(rows, ["comment_id"], seq, [c for c in given if c != "comment_id"])
     joined, fresh = _split(target, rows.select(*given), ["comment_id"])
     changes = {c: F.col(f"_new_{c}") for c in given if c not in ("comment_id", "created_at")} | {"processed_at": now}
     values = {c: F.col(c) for c in given} | {"processed_at": now}
@@ -167,8 +172,11 @@ SCRAPED_ATTRIBUTES = [
 REGISTERED_ATTRIBUTES = ["app_name", *SCRAPED_ATTRIBUTES, "url", "nickname"]
 
 
-def upsert_app_info(apps: DataFrame, scrape: DataFrame) -> DataFrame:
-    """Ten attributes by nickname; nothing is inserted."""
+def upsert_app_info(apps: DataFrame, scrape: DataFrame, *, seq: str | None = None) -> DataFrame:
+    """Ten attributes by nickname; nothing is inserted. With ``seq`` the last scrape of a
+    nickname counts; otherwise nicknames are unique in the scrape."""
+    if seq:
+        scrape = latest_per_key(scrape, ["nickname"], seq, SCRAPED_ATTRIBUTES)
     new = scrape.select("nickname", *[F.col(c).alias(f"_new_{c}") for c in SCRAPED_ATTRIBUTES], F.lit(True).alias("_new"))
     joined = apps.join(new, "nickname", "left")
     return _replace(apps, joined, {c: F.col(f"_new_{c}") for c in SCRAPED_ATTRIBUTES})
@@ -178,23 +186,34 @@ def unknown_apps(apps: DataFrame, scrape: DataFrame) -> DataFrame:
     return scrape.join(apps.select("nickname"), "nickname", "left_anti")
 
 
-def registration_status(apps: DataFrame, candidates: DataFrame) -> DataFrame:
+def registration_status(apps: DataFrame, candidates: DataFrame, *, seq: str = "seq") -> DataFrame:
     """Candidates with ``app_id`` of the app they match and a ``status``: Duplicate,
-    deleted-back, Valid (new and of an accepted category) or Irrelevant."""
-    known = apps.select("app_name", "nickname", "app_id", "deleted")
-    return candidates.join(known, ["app_name", "nickname"], "left").withColumn(
+    deleted-back, Valid (new and of an accepted category) or Irrelevant.
+
+    Candidates count in ``seq`` order: once an app is added or back, further candidates
+    for it are duplicates.
+    """
+    key = ["app_name", "nickname"]
+    accepted = F.col("category").isin(lx.ACCEPTED_APP_CATEGORIES)
+    known = apps.select(*key, "app_id", "deleted")
+    firsts = candidates.groupBy(*key).agg(
+        F.min(seq).alias("_first"), F.min(F.when(accepted, F.col(seq))).alias("_first_accepted")
+    )
+    is_known = F.col("app_id").isNotNull()
+    return candidates.join(firsts.join(known, key, "left"), key).withColumn(
         "status",
-        F.when(F.col("app_id").isNotNull() & F.col("deleted"), "deleted-back")
-        .when(F.col("app_id").isNotNull(), "Duplicate")
-        .when(F.col("category").isin(lx.ACCEPTED_APP_CATEGORIES), "Valid")
+        F.when(is_known & F.col("deleted") & (F.col(seq) == F.col("_first")), "deleted-back")
+        .when(is_known, "Duplicate")
+        .when(F.col(seq) > F.col("_first_accepted"), "Duplicate")
+        .when(accepted, "Valid")
         .otherwise("Irrelevant"),
-    ).drop("deleted")
+    ).drop("deleted", "_first", "_first_accepted")
 
 
 def register_app(apps: DataFrame, candidates: DataFrame, *, seq: str = "seq") -> DataFrame:
     """App table after registration: deleted apps come back with the new attributes,
     valid candidates are added with the next ids in ``seq`` order."""
-    judged = registration_status(apps, candidates)
+    judged = registration_status(apps, candidates, seq=seq)
     back = judged.filter(F.col("status") == "deleted-back").select(
         "app_id", *[F.col(c).alias(f"_new_{c}") for c in REGISTERED_ATTRIBUTES], F.lit(True).alias("_new")
     )

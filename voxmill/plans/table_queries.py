@@ -336,7 +336,7 @@ def q_read_assistant_csv(spark, sf_dir):
 
 # --- upserts ---------------------------------------------------------------------------------------------------
 def comments_table(spark, sf_dir):
-    """Table content before a load: one row per user and minute."""
+    """Table content before a load: one row per user and time."""
     rows = comments(spark, sf_dir)
     return rows.select(*COMMENTS.fieldNames())
 
@@ -383,7 +383,7 @@ def q_upsert_comments(spark, sf_dir):
 
 
 @query("upsert_assistant", f"""WITH {SQL_TURNS},
-old AS (SELECT min(seq) AS turn_id, user_message, created_at FROM turns_v GROUP BY user_message, created_at HAVING min(seq) % 2 = 0),
+old AS (SELECT min(seq) AS turn_id, user_message, created_at FROM turns_v GROUP BY user_message, created_at HAVING max(assistant_message) <> ''),
 batch AS (SELECT *, row_number() OVER (PARTITION BY user_message, created_at ORDER BY seq DESC) AS r,
   min(seq) OVER (PARTITION BY user_message, created_at) AS first_seq FROM turns_v),
 one AS (SELECT * FROM batch WHERE r = 1),
@@ -398,7 +398,8 @@ def q_upsert_assistant(spark, sf_dir):
     batch = assistant_turns(spark, sf_dir).select(
         "seq", "user_message", "assistant_message", files.parse_like(F.col("liked"), 1).alias("is_liked"), "q1", "q2", "q3",
         F.col("created_at").cast("timestamp_ntz").alias("created_at"))
-    known = batch.groupBy("user_message", "created_at").agg(F.min("seq").alias("turn_id")).filter(F.col("turn_id") % 2 == 0)
+    answered = F.max("assistant_message") != ""  # the answered turns are in the table already
+    known = batch.groupBy("user_message", "created_at").agg(F.min("seq").alias("turn_id"), answered.alias("_known")).filter("_known")
     target = known.select(
         "turn_id", "user_message", F.lit("old").alias("assistant_message"), F.lit("2024-06-01").cast("timestamp").alias("imported_at"),
         F.lit(None).cast("boolean").alias("is_liked"), "created_at",
