@@ -67,15 +67,16 @@ def find_repeats(
     runs = carry_forward(
         runs.select("u", "i", "t", "s", F.when(begins, F.struct("t", "i")).alias("_start")),
         ["u"], "s", ["t", "i"], "_start", "start", include_current=True,
-    ).select("u", "i", "t", "s", F.col("start.t").alias("run_t"), F.col("start.i").alias("run"))
-    age = F.col("t") - F.col("run_t")
-    early = runs.filter((age <= window) & (F.col("i") != F.col("run"))).select("i", F.col("run").alias("duplicate_of"))
-
-    late = cut_lineage(runs.filter(age > window).select("run", "i", "t", "s"))
-    if late.isEmpty():
-        repeats = early
-    else:
-        repeats = early.unionByName(_follow_chains(late, window, slot))
+    ).select("i", "t", "s", F.col("start.i").alias("run"), (F.col("t") - F.col("start.t")).alias("age"))
+    # Narrow rows, written once: all that follows starts from them.
+    runs = cut_lineage(runs)
+
+    late = runs.filter(F.col("age") > window)
+    repeats = runs.filter((F.col("age") <= window) & (F.col("i") != F.col("run"))).select(
+        "i", F.col("run").alias("duplicate_of")
+    )
+    if not late.isEmpty():
+        repeats = repeats.unionByName(_follow_chains(late.select("run", "i", "t", "s"), window, slot))
     return repeats.select(F.col("i").alias(id), "duplicate_of")
 
 
