@@ -59,6 +59,9 @@ def find_repeats(
         F.col(user).alias("u"), F.col(id).alias("i"), _micros(comments, time).alias("t"),
         _same_content(text, title).alias("k"),
     ).withColumn("s", F.floor(F.col("t") / slot))
+    # One exchange of narrow rows serves the windows, aggregates and joins of both passes,
+    # and texts are read and fingerprinted once.
+    rows = rows.repartition("u", "s")
 
     runs = carry_forward(
         rows.withColumn("_row", F.struct("t", "k")), ["u"], "s", ["t", "i"], "_row", "prev", include_current=False
