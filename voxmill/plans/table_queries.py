@@ -15,7 +15,7 @@ from . import sqltext as sq
 from .registry import query
 from .scratch import scratch_folder
 from .views import (
-    SQL_PERSIAN, STORE_HOST, analysis, app_comments, apps, comments, labels, persian, scrapes, sql_pick, table, texts, with_views,
+    STORE_HOST, analysis, app_comments, apps, comments, labels, scrapes, sql_pick, table, texts, with_views,
 )
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -191,7 +191,7 @@ def q_flag_repetitive_chains(spark, sf_dir):
 
 
 @query("apply_flags", with_views(
-    f""", f AS ({sql_repeats('event_type', 3600).replace('WITH RECURSIVE r AS', 'WITH RECURSIVE r AS', 1)})
+    f""", f AS ({sql_repeats('event_type', 3600)})
 SELECT id, CASE WHEN f.id IS NOT NULL THEN f.is_repetitive ELSE c.is_repetitive END AS is_repetitive,
        CASE WHEN f.id IS NOT NULL THEN f.duplicate_of ELSE c.duplicate_of END AS duplicate_of
 FROM comments_v c LEFT JOIN f USING (id)""", "comments_v"))
@@ -356,13 +356,11 @@ SQL_BATCH = """batch_v AS (SELECT event_id AS seq, 'new ' || event_type AS title
   CASE WHEN event_id % 5 > 0 THEN 'm' || CAST(event_id AS VARCHAR) END AS mobile_no_hash, CAST(user_id AS VARCHAR) AS national_code_hash,
   CASE WHEN event_id % 3 = 0 THEN ts ELSE date_trunc('day', ts) END AS created_at,
   CASE WHEN event_id % 2 = 0 THEN 'b' || CAST(event_id AS VARCHAR) END AS channel_code FROM events),
-last_v AS (SELECT *, first(channel_code ORDER BY seq) FILTER (WHERE channel_code IS NOT NULL) OVER w AS channel,
-  min(seq) OVER w AS first_seq, row_number() OVER (PARTITION BY national_code_hash, created_at ORDER BY seq DESC) AS r FROM batch_v
-  WINDOW w AS (PARTITION BY national_code_hash, created_at)),
+last_v AS (SELECT *, min(seq) OVER (PARTITION BY national_code_hash, created_at) AS first_seq,
+  row_number() OVER (PARTITION BY national_code_hash, created_at ORDER BY seq DESC) AS r FROM batch_v),
 one_v AS (SELECT national_code_hash, created_at, title, grade, description, mobile_no_hash, first_seq AS seq,
   (SELECT b.channel_code FROM batch_v b WHERE b.national_code_hash = l.national_code_hash AND b.created_at = l.created_at
-   AND b.channel_code IS NOT NULL ORDER BY b.seq LIMIT 1) AS channel_code FROM (SELECT * EXCLUDE (channel) FROM last_v WHERE r = 1) l)"""
-SQL_BATCH = SQL_BATCH.replace("*, first(channel_code ORDER BY seq) FILTER (WHERE channel_code IS NOT NULL) OVER w AS channel,\n  min", "*, min").replace("* EXCLUDE (channel)", "*")
+   AND b.channel_code IS NOT NULL ORDER BY b.seq LIMIT 1) AS channel_code FROM (SELECT * FROM last_v WHERE r = 1) l)"""
 
 
 @query("upsert_comments", with_views(f""", {SQL_BATCH},
@@ -623,7 +621,6 @@ SELECT national_code_hash, {sq.stamp('created_at')} AS created_at, title, grade,
    ORDER BY c.seq LIMIT 1) AS channel_code FROM one WHERE r = 1""")
 def q_stream_import(spark, sf_dir):
     """All feedback files through the stream, one file per micro-batch, in two files by time."""
-    import os
     folder = scratch_folder(spark)
     half = table(spark, sf_dir, "events").agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0]
     for name, part in (("a", F.col("seq") <= half), ("b", F.col("seq") > half)):
