@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import compare, connect
+from voxmill.plans.catalog import CHECKS, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,12 +17,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    message, _ = compare(spark, duck, SF_DIR, entry.queries()[name], entry.oracle_sql()[name])
+    message, _ = compare(spark, duck, SF_DIR, QUERIES[name], CHECKS[name])
     assert message is None, message
 
 
