@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .packing import pack
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +29,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op1_token_counts")
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", limit=1024)
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json", window=2048, end_id=1)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to"
+    )

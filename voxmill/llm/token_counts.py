@@ -31,14 +31,14 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 FLUSH = 300_000
 
 
-def _latin_split() -> re.Pattern:
-    """``SPLIT`` for texts of Latin letters (below U+0250), whose classes are the same in every Unicode version."""
-    chars = [chr(c) for c in range(0x250)]
+def latin_class(pattern: str) -> str:
+    """The characters below U+0250 of a class, to stand in brackets. They are the same in every Unicode version."""
+    return "".join(re.escape(c) for c in map(chr, range(0x250)) if regex.fullmatch(pattern, c))
 
-    def members(pattern: str) -> str:
-        return "".join(re.escape(c) for c in chars if regex.fullmatch(pattern, c))
 
-    letter, digit, space = members(r"\p{L}"), members(r"\p{N}"), members(r"\p{White_Space}")
+def _latin_split() -> re.Pattern:
+    """``SPLIT`` for texts of Latin letters."""
+    letter, digit, space = latin_class(r"\p{L}"), latin_class(r"\p{N}"), latin_class(r"\p{White_Space}")
     return re.compile(
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
     )
