@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .mixing import mix
 from .packing import pack
 from .token_counts import token_counts
 
@@ -37,3 +38,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to"
     )
+
+
+@query("op10_source_mix")
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_ratio=3)
