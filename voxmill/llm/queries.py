@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .language_id import predict_language
 from .mixing import mix
 from .packing import pack
 from .token_counts import token_counts
@@ -43,3 +44,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_source_mix")
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_ratio=3)
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents"))
