@@ -11,6 +11,7 @@ from .common import table
 from .language_id import predict_language
 from .mixing import mix
 from .packing import pack
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +50,9 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(table(spark, sf_dir, "documents"))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, span=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
