@@ -338,7 +338,7 @@ def sort_suffixes(rows: list[dict], span: int) -> list[tuple]:
     # Runs of each phrase go to every block that has asked for it.
     by_key = np.argsort(sent, kind="stable")
     wanted = np.minimum(np.searchsorted(sent[by_key], key), len(sent) - 1)
-    target = np.where(sent[by_key][wanted] == key, by_key[wanted], -1)
+    target = np.where(own > 0, np.cumsum(own > 0) - 1, np.where(sent[by_key][wanted] == key, by_key[wanted], -1))
     runs = np.bincount(of, minlength=len(sent))
     begin = np.cumsum(runs) - runs
     count = np.where(target >= 0, runs[target], 0)
