@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .language_id import predict_language
 from .mixing import mix
+from .ngram_join import ngram_components
 from .packing import pack
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
@@ -56,3 +57,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, span=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), words=4, percent=85)
