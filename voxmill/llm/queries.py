@@ -12,6 +12,7 @@ from .language_id import predict_language
 from .mixing import mix
 from .ngram_join import ngram_components
 from .packing import pack
+from .pivot_dedup import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
@@ -62,3 +63,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_ngram_join")
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query("op4_pivot_dedup")
+def op4_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
