@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .chat_format import format_turns, read_back
 from .language_id import predict_language
 from .mixing import mix
 from .ngram_join import ngram_components
@@ -68,3 +69,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_pivot_dedup")
 def op4_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query("op9_chat_format")
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return read_back(format_turns(turns.unionByName(more)))
