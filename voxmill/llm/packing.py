@@ -11,6 +11,7 @@ poured into full windows, and its last rest is cut into powers of two, which nee
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import whole_text, written
-from .token_counts import latin_class
+from .token_counts import ALPHABET, is_latin_1, latin_class
 
 GROUP_PIECES = 16_384
 GROUP_BYTES = 48_000_000
-CACHE = 300_000
+CACHE = 600_000
 _BEYOND = re.compile("[İɐ-\U0010ffff]")
 
 
@@ -38,13 +39,13 @@ class _Cache(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) > CACHE:
             self.clear()
-        ids = pack_ids(self.encode(word, add_special_tokens=False).ids)
+        ids = pack_ids([t.id for t in self.encode(word.encode().decode("latin-1").translate(ALPHABET))])
         self[word] = ids
         return ids
 
 
 def pack_ids(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Ids:
@@ -57,14 +58,15 @@ class Ids:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         letter, digit, space = latin_class(r"\p{L}"), latin_class(r"\p{N}"), latin_class(r"\p{White_Space}")
         self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^{space}{letter}{digit}]+")
-        self.cache = _Cache(self.tokenizer.encode)
+        self.cache = _Cache(self.tokenizer.model.tokenize)
         # The short way holds for this kind of file only: lower-cased, white space dropped, cut by the pattern above.
         probe = "It's  A1 12\tß don'T ?!x² ÀÉ <|x"
         self.short = self._short(probe) == self._long(probe)
 
     def _short(self, text: str) -> bytes | None:
         """Pre-tokens of a Latin text are looked up one by one; None if it holds anything else."""
-        if _BEYOND.search(text) or _BEYOND.search(low := text.lower()):
+        low = text.lower()
+        if not is_latin_1(text) and (_BEYOND.search(text) or _BEYOND.search(low)):
             return None
         return b"".join(map(self.cache.__getitem__, self.words.findall(low)))
 

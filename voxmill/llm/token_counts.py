@@ -47,6 +47,19 @@ def _latin_split() -> re.Pattern:
 _OTHER = re.compile(r"[^\x00-ɏ]")
 
 
+# Byte-level alphabet, by its rule: visible Latin-1 characters stand for themselves, the other bytes follow from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+ALPHABET = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
+def is_latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Splitter:
     """Pre-tokens of a text exactly as the tokenizer file defines them."""
 
@@ -58,10 +71,6 @@ class Splitter:
         self.model = self.tokenizer.model
         self.latin = _latin_split()
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        # Byte-level alphabet, by its rule: visible Latin-1 characters stand for themselves, the rest follow from 256 on.
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in visible]
-        self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)}
 
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens in order, and the number of added tokens that stand in the text."""
@@ -74,13 +83,13 @@ class Splitter:
         return found + self._split(text[start:]), added
 
     def _split(self, text: str) -> list[str]:
-        if not _OTHER.search(text):
+        if is_latin_1(text) or not _OTHER.search(text):
             return self.latin.findall(text)
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return [text[a:b] for _, (a, b) in pieces]
 
     def pieces(self, pre_token: str) -> int:
-        mapped = pre_token.encode().decode("latin-1").translate(self.alphabet)
+        mapped = pre_token.encode().decode("latin-1").translate(ALPHABET)
         return len(self.model.tokenize(mapped))
 
 
