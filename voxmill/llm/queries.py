@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .chat_format import format_turns, read_back
 from .language_id import predict_language
+from .main_text import extract_main_text
 from .mixing import mix
 from .ngram_join import ngram_components
 from .packing import pack
@@ -77,3 +78,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
     return read_back(format_turns(turns.unionByName(more)))
+
+
+@query("op5_main_text")
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
