@@ -14,6 +14,7 @@ from .main_text import extract_main_text
 from .mixing import mix
 from .ngram_join import ngram_components
 from .packing import pack
+from .perplexity import score_quality
 from .pivot_dedup import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
@@ -83,3 +84,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_main_text")
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op7_perplexity_rules")
+def op7_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"))

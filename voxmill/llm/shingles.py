@@ -24,7 +24,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ h >> U64(32)
 
 
-_VALUES = np.where(_SPACE, U64(0), mix(_LOWER.astype(U64) + U64(1)))
+_EXACT = np.where(_SPACE, U64(0), mix(_BYTE.astype(U64) + U64(1)))
+_VALUES = _EXACT[_LOWER]
 
 
 def _powers(n: int) -> np.ndarray:
@@ -33,8 +34,9 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of each word; texts are ``data`` between neighbouring ``ends``."""
+    values = _VALUES if lower else _EXACT
     if not len(data):
         return np.zeros(0, U64), np.zeros(0, np.int64)
     space = _SPACE[data]
@@ -54,7 +56,7 @@ def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         piece = data[start[at] : stop[upto - 1]]
         power = _powers(int(length[at:upto].max()))
         place = np.arange(len(piece)) - np.repeat(begin, np.diff(begin, append=len(piece)))
-        out[at:upto] = np.add.reduceat(_VALUES[piece] * power[np.minimum(place, len(power) - 1)], begin)
+        out[at:upto] = np.add.reduceat(values[piece] * power[np.minimum(place, len(power) - 1)], begin)
         at = upto
     return mix(out + length.astype(U64) * MIX), np.searchsorted(ends, start, side="right") - 1
 
