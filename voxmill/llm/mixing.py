@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -85,7 +86,8 @@ def _walk(first: int, last: int, offsets: np.ndarray, counts: np.ndarray, per_sh
 
 
 def mix_blocks(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_ratio: float = 3, block: int = 256, shard_blocks: int = 4096, seed: int = 17
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_ratio: float = 3, block: int = 256, shard_blocks: int = 4096, seed: int = 17,
+    carry: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Documents, and the blocks that the mix takes of them.
 
@@ -95,13 +97,15 @@ def mix_blocks(
     word ``start`` on, at a place in a shard; each block once per pass, at most ``max_ratio``
     passes. Null sources are one source, the last. Repeated rows and ids count each on their
     own. Sources without words have a target of 0. An empty table gives no rows. The driver
-    and the tree's nodes hold a few numbers per source, never rows.
+    and the tree's nodes hold a few numbers per source, never rows. Columns named in ``carry`` are
+    in the first frame as _carried_0 and so on.
     """
     spark = docs.sparkSession
     sized = written(
         docs.select(
             "doc_id", F.col("source").cast("string").alias("source"),
             F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)],
         )
     ).withColumn("_row", F.monotonically_increasing_id())  # of the written files: the same wherever it is read
     stats = (
@@ -177,7 +181,7 @@ def mix_blocks(
     dealt = taken.join(tree, ["no", "stretch"]).filter("place >= from and place < to")
     in_shard = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "pass", "start"), "doc_id", "pass", "start", "place")
     placed = dealt.select("_row", "doc_id", "pass", "start", "words", "shard", "place").withColumn("position", F.row_number().over(in_shard) - 1).drop("place")
-    return marked.select("doc_id", "size", "source_size", "target", "_row"), placed
+    return marked.select("doc_id", "size", "source_size", "target", "_row", *[f"_carried_{i}" for i in range(len(carry))]), placed
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -190,3 +194,40 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     return rows.join(words, "_row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
+
+
+_WORD = re.compile(WORD)
+
+
+def cut_words(text: str, stretches: list[tuple[int, int]]) -> str:
+    """Words [start, start + n) of a text for each stretch, with the white space between them; stretches that touch stay one."""
+    joined: list[list[int]] = []
+    for start, n in sorted(stretches):
+        if joined and joined[-1][1] == start:
+            joined[-1][1] = start + n
+        else:
+            joined.append([start, start + n])
+    places = [m.span() for m in _WORD.finditer(text)]
+    return "\n".join(text[places[a][0] : places[b - 1][1]] for a, b in joined)
+
+
+def mix_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents: the columns of ``docs``, a row per document and pass, ``text`` being what that pass takes of it.
+
+    See ``mix_blocks``. Documents of which nothing is taken are left out; a document taken whole keeps its text as it is.
+    """
+    rows, placed = mix_blocks(docs, carry=docs.columns, **options)
+    taken = placed.groupBy("_row", "pass").agg(F.collect_list(F.struct("start", "words")).alias("_blocks"), F.sum("words").alias("_words"))
+    at = docs.columns.index("text")
+
+    @F.pandas_udf("string")
+    def cut(text, blocks):
+        import pandas as pd
+
+        return pd.Series([cut_words(t, [(b["start"], b["words"]) for b in bs]) for t, bs in zip(text, blocks, strict=True)], dtype=object)
+
+    joined = rows.join(taken, "_row")
+    whole = joined.filter(F.col("_words") == F.col("size"))
+    part = joined.filter(F.col("_words") < F.col("size")).withColumn(f"_carried_{at}", cut(F.col(f"_carried_{at}").cast("string"), "_blocks"))
+    columns = [F.col(f"_carried_{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return whole.select(*columns).unionByName(part.select(*columns))
