@@ -48,7 +48,7 @@ def source_targets(names: Sequence[str | None], sizes: Sequence[int], weights: S
                 targets[i] = left * weight[i] / shares
             break
         for i in over:
-            targets[i] = max_ratio * sizes[i]
+            targets[i] = float(max_ratio * sizes[i])
         left -= sum(targets[i] for i in over)
         free -= set(over)
     return targets
