@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def make_session():
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="voxmill-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
