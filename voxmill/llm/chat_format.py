@@ -83,7 +83,12 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-FILTERS: dict[str, Callable] = {"escape": escape, "trim": str.strip, "lower": str.lower, "upper": str.upper}
+def escape_name(text: str) -> str:
+    """For a name that ends at ``>``."""
+    return re.sub(r"[\\>]", lambda m: "\\" + m.group(), text)
+
+
+FILTERS: dict[str, Callable] = {"escape": escape, "name": escape_name, "trim": str.strip, "lower": str.lower, "upper": str.upper}
 OPERATORS: dict[str, Callable] = {
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "+": lambda a, b: a + b,
     "and": lambda a, b: a and b, "or": lambda a, b: a or b, "not": lambda a: not a,
@@ -348,7 +353,7 @@ class Template:
 
 #: Marks turns; what assistants say, and nothing else, is trained on.
 DEFAULT = (
-    "### Conversation\n{% for turn in turns %}<turn {{ turn.role | escape }}>\n"
+    "### Conversation\n{% for turn in turns %}<turn {{ turn.role | name }}>\n"
     "{% if turn.role == 'assistant' %}{% generation %}{{ turn.text | escape }}{% endgeneration %}{% else %}{{ turn.text | escape }}{% endif %}"
     "</turn>\n{% endfor %}### End"
 )
