@@ -94,8 +94,10 @@ def test_evaluation_by_hand(spark):
     kappa = evaluation.cohen_kappa(df, "truth", "predicted").first().kappa
     po, pe = 0.5, (2 * 1 + 2 * 2) / 16
     assert kappa == round((po - pe) / (1 - pe), 6)
-    cells = evaluation.confusion_matrix(df, "truth", "predicted", ("baseline",)).collect()
+    seen = df.select(F.explode(F.array("truth", "predicted", "baseline")).alias("label")).distinct()
+    cells = evaluation.confusion_matrix(df, "truth", "predicted", labels=seen).collect()
     assert len(cells) == 25 and sum(c.n for c in cells) == 4
+    assert sum(c.n for c in evaluation.confusion_matrix(df, "truth", "predicted").collect()) == 4
 
 
 def test_bullets(spark):

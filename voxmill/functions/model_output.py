@@ -59,10 +59,15 @@ def repair_json(raw: Column, schema: T.StructType) -> Column:
     checked = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
     options = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": broken}
 
-    def read(text: Column) -> Column:
-        literal = text
+    def outside_quotes(part: Column) -> Column:
         for word, value in (("True", "true"), ("False", "false"), ("None", "null")):
-            literal = F.regexp_replace(literal, rf"(?<![\w'\"]){word}(?![\w'\"])", value)
+            part = F.when(F.rlike(part, F.lit("^['\"]")), part).otherwise(F.regexp_replace(part, rf"(?<!\w){word}(?!\w)", value))
+        return part
+
+    def read(text: Column) -> Column:
+        # Quoted strings whole, and what stands between them.
+        parts = F.regexp_extract_all(text, F.lit(r"""(?s)"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|[^"']+|["']"""), F.lit(0))
+        literal = F.array_join(F.transform(parts, outside_quotes), "")
         lenient = let(
             F.from_json(literal, checked, options),
             lambda found: F.when(found[broken].isNull(), found.dropFields(broken)),
@@ -89,7 +94,7 @@ def merge_replies(comments: DataFrame, semantic_raw: str, category_raw: str) ->
         "sentiment_result",
         "title",
         F.when(has_neutral_phrase(F.col("description")), "other").otherwise(F.col("_s.type")).alias("type"),
-        F.coalesce(F.col("_c.category"), F.lit("other")).alias("category"),
+        F.when(F.col("_c").isNull(), "other").otherwise(F.col("_c.category")).alias("category"),
         F.col("_s.short_title").alias("short_title"),
         F.col("_s.normalized_title").alias("normalized_title"),
         F.col("_s.keywords").alias("keywords"),
@@ -99,6 +104,7 @@ def merge_replies(comments: DataFrame, semantic_raw: str, category_raw: str) ->
         F.when(F.col("_s").isNull(), "no semantic object")
         .when(feature.isNull(), "no ai_title")
         .when(F.col("_c").isNull(), "no category object")
+        .when(F.col("_c.category").isNull(), "no category")
         .alias("failure"),
     )
 
@@ -114,23 +120,33 @@ def _checked_value(value: Column, aliases: dict, allowed: list[str]) -> Column:
     return let(F.lower(strip(F.coalesce(value, F.lit("")))), check)
 
 
-def validate_analysis(analysis: DataFrame, text: str = "comment_text") -> DataFrame:
-    """Analysis columns made valid in place; ``status`` is ``ok`` or the reason a row fails."""
+def validate_analysis(
+    analysis: DataFrame, text: str = "comment_text", *, evidence_length: int | None = EVIDENCE_LENGTH, max_keywords: int | None = MAX_KEYWORDS
+) -> DataFrame:
+    """Analysis columns made valid in place; ``status`` is ``ok`` or the reason a row fails.
+
+    A ``failure`` that the reading of replies has found stays the reason. Evidence that is not in the
+    text is replaced by the first ``evidence_length`` characters of it, and ``max_keywords`` keywords are
+    kept (the values of the reference form; None: all).
+    """
     original = F.col(text)
     evidence_found = F.contains(normalize_for_match(original), normalize_for_match(F.col("evidence")))
     general = F.array(F.lit(lx.GENERAL_KEYWORD))
     keywords = let(
         F.filter(F.col("keywords"), lambda k: ~contains_latin(k)),
-        lambda kept: F.when(F.size(kept) > 0, F.slice(kept, 1, MAX_KEYWORDS)).otherwise(general),
+        lambda kept: F.when(F.size(kept) > 0, F.slice(kept, 1, max_keywords) if max_keywords else kept).otherwise(general),
     )
-    status = (
+    failure = F.col("failure") if "failure" in analysis.columns else F.lit(None).cast("string")
+    status = F.coalesce(failure, (
         F.when(F.col("evidence").isNull(), "no evidence")
         .when(F.col("normalized_title").isNull(), "no normalized_title")
-        .when(F.col("keywords").isNull(), "no keywords")
+        .when(F.col("keywords").isNull() | F.exists(F.col("keywords"), lambda k: k.isNull()), "no keywords")
+        .when(F.col("category").isNull(), "no category")
+        .when(F.col("ai_title").isNull(), "no ai_title")
         .when(F.col("short_title").isNull(), "no short_title")
         .when(word_count(F.col("short_title")) > 20, "short_title too long")
         .otherwise("ok")
-    )
+    ))
     return analysis.withColumns(
         {
             "status": status,
@@ -138,7 +154,7 @@ def validate_analysis(analysis: DataFrame, text: str = "comment_text") -> DataFr
             "category": _checked_value(F.col("category"), lx.CATEGORY_ALIASES, lx.CATEGORIES),
             "ai_title": _checked_value(F.col("ai_title"), lx.FEATURE_ALIASES, lx.FEATURES),
             "evidence": F.when(evidence_found, F.col("evidence")).otherwise(
-                F.substring(strip(original), 1, EVIDENCE_LENGTH)
+                F.substring(strip(original), 1, evidence_length) if evidence_length else strip(original)
             ),
             "keywords": keywords,
         }

@@ -245,14 +245,10 @@ def normalize_for_report(text: Column) -> Column:
 
 
 # --- tokens and predicates ---------------------------------------------------------------------
-MAX_STOPWORDS = 10_000
-
-
 def _checked(stopwords: Sequence[str]) -> list[str]:
-    found = sorted(set(stopwords))
-    if len(found) > MAX_STOPWORDS:
-        raise ValueError(f"a stop-word list is a literal of the plan; {len(found)} words are too many")
-    return found
+    """The list as it becomes part of the plan (a hash set there). A list that is a table
+    of its own goes through ``operators.ngrams.without_words``."""
+    return sorted(set(stopwords))
 
 
 def _not_in(token: Column, stopwords: list[str]) -> Column:

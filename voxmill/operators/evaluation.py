@@ -33,16 +33,13 @@ def pair_counts(rows: DataFrame, truth: str, predicted: str) -> DataFrame:
     )
 
 
-def confusion_matrix(rows: DataFrame, truth: str, predicted: str, others: tuple[str, ...] = ()) -> DataFrame:
-    """(truth, predicted, n) for every pair of labels, zero included. Labels are those
-    of the truth, of the prediction and of further prediction columns."""
+def confusion_matrix(rows: DataFrame, truth: str, predicted: str, labels: DataFrame | None = None) -> DataFrame:
+    """(truth, predicted, n) of the pairs that occur. With ``labels`` (one column ``label``, a short list of
+    distinct labels) every pair of those, zero included: as many rows as labels by labels."""
     counts = pair_counts(rows, truth, predicted)
-    labels = F.array_distinct(F.flatten(F.array(*[F.collect_set(c) for c in (truth, predicted, *others)])))
-    cells = (
-        rows.agg(labels.alias("labels"))
-        .select("labels", F.explode("labels").alias("truth"))
-        .select("truth", F.explode("labels").alias("predicted"))
-    )
+    if labels is None:
+        return counts
+    cells = labels.select(F.col("label").alias("truth")).join(labels.select(F.col("label").alias("predicted")))
     return cells.join(counts, ["truth", "predicted"], "left").select(
         "truth", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )

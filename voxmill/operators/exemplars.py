@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as lx
 from ..functions.text import is_suggestion, ngrams, strip, word_tokens
 from ..session import cut_lineage
-from .ngrams import SENTIMENT_GROUPS, gram_counts
+from .ngrams import gram_counts
 from .ordering import join_skewed, top_per_group
 
 MIN_DF, MAX_DF, FEW_DOCS = 2, 0.85, 3
 
 
 def lead_summary(
-    docs: DataFrame, *, group: str, max_comments: int = 50, longer_than: int = 20, top_k: int = 5,
+    docs: DataFrame, *, group: str, max_comments: int | None = None, longer_than: int = 20, top_k: int = 5,
     text: str = "description", id: str = "id",
 ) -> DataFrame:
-    """(grp, summary): the first comments of each group as one bulleted text."""
+    """(grp, summary): the first comments of each group as one bulleted text. The
+    reference form looks at the first 50 (``max_comments``)."""
     stripped = docs.select(F.col(group).alias("grp"), F.col(id).alias("id"), strip(F.col(text)).alias("text"))
     leading = top_per_group(
-        stripped.filter(F.length("text") > longer_than), ["grp"], ["id"], min(top_k, max_comments)
+        stripped.filter(F.length("text") > longer_than), ["grp"], ["id"], min(top_k, max_comments or top_k)
     )
     lines = leading.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("rank", "text"))).alias("lines"))
     joined = F.array_join(F.transform("lines", lambda r: r["text"]), "\n- ")
@@ -34,17 +35,20 @@ def lead_summary(
 
 
 def centrality(
-    docs: DataFrame, *, group: str, groups: Sequence[str] = SENTIMENT_GROUPS, min_len: int = 20,
-    max_comments: int | None = 200, stopwords: Sequence[str] = lx.LIGHT_STOPWORDS,
+    docs: DataFrame, *, group: str, groups: Sequence[str] | None = None, min_len: int = 20,
+    max_comments: int | None = None, stopwords: Sequence[str] = lx.LIGHT_STOPWORDS,
     text: str = "description", id: str = "id",
 ) -> DataFrame:
     """(grp, id, text, docs, score): cosine of each comment with the mean of its group.
 
     Weights are TF-IDF over words and word pairs. ``score`` is null in groups of fewer
-    than three comments; a group in which no term is kept has no rows.
+    than three comments; a group in which no term is kept has no rows. ``groups`` names the
+    groups to look at (default: all values of the column but null); there are few of them. The
+    reference form looks at the first 200 comments of a group (``max_comments``).
     """
+    listed = F.col(group).isin(list(groups)) if groups is not None else F.col(group).isNotNull()
     texts = (
-        docs.filter(F.col(group).isin(list(groups)))
+        docs.filter(listed)
         .select(F.col(group).alias("grp"), F.col(id).alias("id"), strip(F.col(text)).alias("text"))
         .filter(F.length("text") >= min_len)
     )
@@ -94,7 +98,7 @@ def _core(scored: DataFrame, top_k: int) -> DataFrame:
     return top_per_group(scored, ["grp"], [F.desc_nulls_last("score"), F.desc(F.when(F.col("score").isNull(), F.length("text"))), F.asc("id")], top_k)
 
 
-def representative(docs: DataFrame, *, group: str, top_k: int = 7, max_comments: int | None = 200, **options) -> DataFrame:
+def representative(docs: DataFrame, *, group: str, top_k: int = 7, max_comments: int | None = None, **options) -> DataFrame:
     """(grp, rank, id, text, score): the comments closest to the mean of their group."""
     scored = centrality(docs, group=group, max_comments=max_comments, **options)
     return _core(scored, top_k).select("grp", "rank", "id", "text", "score")
@@ -102,12 +106,13 @@ def representative(docs: DataFrame, *, group: str, top_k: int = 7, max_comments:
 
 def buckets(
     docs: DataFrame, *, group: str, core: int = 7, outliers: int = 3, suggestions: int = 5,
-    max_comments: int | None = 400, **options,
+    max_comments: int | None = None, **options,
 ) -> DataFrame:
     """(grp, bucket, rank, id, text, score) with buckets core, outliers, suggestions.
 
     Outliers leave out texts of the core; suggestions are the first in input order,
-    and those whose text is already used are then removed.
+    and those whose text is already used are then removed. The reference form looks at
+    the first 400 comments of a group.
     """
     scored = cut_lineage(centrality(docs, group=group, max_comments=max_comments, **options))
     top = _core(scored, core).withColumn("bucket", F.lit("core"))

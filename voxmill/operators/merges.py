@@ -19,9 +19,10 @@ from .ordering import add_position
 from .selection import missing_jalali
 
 
-def latest_per_key(batch: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
-    """One row per key: the values of its last row."""
-    last = F.max_by(F.struct(*values), F.col(order)).alias("_last")
+def latest_per_key(batch: DataFrame, keys: Sequence[str], order: str | None, values: Sequence[str]) -> DataFrame:
+    """One row per key: the values of its last row; without an order the largest row."""
+    whole = F.struct(*values)
+    last = (F.max_by(whole, F.col(order)) if order else F.max(whole)).alias("_last")
     return batch.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])
 
 
@@ -102,15 +103,12 @@ def upsert_assistant(target: DataFrame, batch: DataFrame, *, imported_at: Column
     return _replace(target, joined, changes).unionByName(_as_rows(target, fresh, values))
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, *, key: str = "comment_idd", order: str | None = None) -> DataFrame:
-    """The rows of the batch to append: first of each key that the table lacks.
-    Their number is the count of new comments."""
+def insert_if_absent(target: DataFrame, batch: DataFrame, *, key: str = "comment_idd", order: str) -> DataFrame:
+    """The rows of the batch to append: by ``order`` the first of each key that the table
+    lacks. Their number is the count of new comments."""
     values = [c for c in batch.columns if c != key]
-    if order:
-        rows = batch.groupBy(key).agg(F.min_by(F.struct(*values), F.col(order)).alias("_first"))
-        rows = rows.select(key, *[F.col(f"_first.{v}").alias(v) for v in values]).select(*batch.columns)
-    else:
-        rows = batch.dropDuplicates([key])
+    rows = batch.groupBy(key).agg(F.min_by(F.struct(*values), F.col(order)).alias("_first"))
+    rows = rows.select(key, *[F.col(f"_first.{v}").alias(v) for v in values]).select(*batch.columns)
     known = target.select(key).join(rows.select(key), key)
     return rows.join(known, key, "left_anti")
 
@@ -118,12 +116,11 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, *, key: str = "comment
 def upsert_analysis(
     target: DataFrame, rows: DataFrame, *, processed_at: Column | None = None, seq: str | None = None
 ) -> DataFrame:
-    """Key comment_id; everything but created_at is replaced. With ``seq`` a comment may
-    come several times and its last row counts; otherwise ids are unique."""
+    """Key comment_id; everything but created_at is replaced. A comment that comes several
+    times counts by its last row by ``seq``; without ``seq`` by one of them, the same in every run."""
     now = processed_at if processed_at is not None else F.current_timestamp()
     given = [c for c in target.columns if c != "processed_at"]
-    if seq:
-        rows = latest_per_key(rows, ["comment_id"], seq, [c for c in given if c != "comment_id"])
+    rows = latest_per_key(rows, ["comment_id"], seq, [c for c in given if c != "comment_id"])
     joined, fresh = _split(target, rows.select(*given), ["comment_id"])
     changes = {c: F.col(f"_new_{c}") for c in given if c not in ("comment_id", "created_at")} | {"processed_at": now}
     values = {c: F.col(c) for c in given} | {"processed_at": now}
@@ -144,8 +141,10 @@ def summaries_to_append(rows: DataFrame) -> DataFrame:
 
 
 def finish_jobs(jobs: DataFrame, results: DataFrame) -> DataFrame:
-    """Outcome written to the jobs by id; jobs without an outcome stay as they are."""
+    """Outcome written to the jobs by id; jobs without an outcome stay as they are. Of
+    several outcomes of a job the largest counts, so a job stays one row."""
     columns = ["summarized_comment", "comment_count", "status", "duration_seconds", "model"]
+    results = latest_per_key(results, ["summarized_id"], None, columns)
     new = results.select("summarized_id", *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_new"))
     joined = jobs.join(new, "summarized_id", "left")
     return _replace(jobs, joined, {c: F.col(f"_new_{c}") for c in columns})

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions.text import ngrams, tokenize, word_tokens
-from .ordering import top_per_group
+from ..session import cut_lineage
+from .ordering import join_skewed, top_per_group
 
 ALL = "all"
 SENTIMENT_GROUPS = ("negative", "neutral", "positive")
 KIND_OF_N = {2: "bigram", 3: "trigram"}
-# Largest vocabulary that is broadcast; beyond it the join is an ordinary one.
-MAX_BROADCAST_GRAMS = 1_000_000
+# Largest vocabulary that is broadcast (a gram with its weights is about 100 bytes); beyond
+# it only the most frequent grams are, and the others are joined by a shuffle.
+MAX_BROADCAST_GRAMS = 300_000
 
 
 def gram_counts(tokenized: DataFrame, grams_of: dict[int, Column], id: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -71,7 +73,7 @@ def tfidf_ngrams(
     top_k: int | dict[int, int] = 30,
     min_df: int = 3,
     max_df: float = 0.6,
-    max_features: int | None = 30_000,
+    max_features: int | None = None,
     text: str = "description",
     id: str = "id",
     group: str | None = None,
@@ -84,18 +86,21 @@ def tfidf_ngrams(
 
     One pass serves every n and every group. ``groups`` names the values of the group
     column that are reported, and with them how many there can be. All documents count,
-    also those without a token; weights are L2-normalised per document over the kept
-    n-grams.
+    also those without a token; those of no reported group count for ``all``. Weights are
+    L2-normalised per document over the kept n-grams. ``max_features`` (30,000 in the
+    reference form) keeps the most frequent n-grams of each group and n only.
     """
-    labelled = docs.filter(F.col(group).isin(list(groups))) if group else docs
-    labelled = labelled.select(id, F.col(text).alias("_text"), (F.col(group) if group else F.lit(ALL)).alias("grp"))
     with_all = with_all and group is not None
+    reported = F.when(F.col(group).isin(list(groups)), F.col(group)) if group else F.lit(ALL)
+    labelled = docs.select(id, F.col(text).alias("_text"), reported.alias("grp"))
+    if not with_all:
+        labelled = labelled.filter(F.col("grp").isNotNull())
     tokenized = labelled.select(id, "grp", tokenize(F.col("_text"), pattern, stopwords).alias("_tokens"))
     counts = gram_counts(tokenized, {n: ngrams(F.col("_tokens"), n) for n in ns}, id, ["grp"])
 
     labels = list(groups) if group else [ALL]
     sizes = _with_all(labelled.groupBy("grp").agg(F.count(F.lit(1)).alias("docs")), with_all)
-    sizes = sizes.groupBy("grp").agg(F.sum("docs").alias("docs"))
+    sizes = sizes.filter(F.col("grp").isNotNull()).groupBy("grp").agg(F.sum("docs").alias("docs"))
     vocabulary = (
         _gram_stats(counts, labels, with_all, min_df)
         .join(F.broadcast(sizes), "grp")  # one row per reported group
@@ -104,15 +109,19 @@ def tfidf_ngrams(
     )
     if max_features is not None:
         vocabulary = _most_frequent(vocabulary, max_features)
-    vocabulary = vocabulary.select(F.col("grp").alias("v_grp"), "n", "gram", "idf")
-    bound = (max_features or MAX_BROADCAST_GRAMS + 1) * len(ns) * (len(groups) + 1 if group else 1)
-    if bound <= MAX_BROADCAST_GRAMS:
-        vocabulary = F.broadcast(vocabulary)
+    # One row per gram with what each group knows of it, so that a gram is joined once.
+    vocabulary = cut_lineage(vocabulary.groupBy("n", "gram").agg(
+        F.max("df").alias("df"), F.collect_list(F.struct(F.col("grp").alias("v_grp"), "idf")).alias("_known")
+    ))
+    if vocabulary.count() <= MAX_BROADCAST_GRAMS:
+        found = counts.join(F.broadcast(vocabulary), ["n", "gram"])
+    else:
+        found = join_skewed(counts, vocabulary, ["n", "gram"], "df")
 
     same_group = (F.col("v_grp") == F.col("grp")) | (F.col("v_grp") == ALL)
     document = Window.partitionBy("v_grp", "n", id)
     weighted = (
-        counts.join(vocabulary, ["n", "gram"])
+        found.select(id, "grp", "n", "gram", "tf", F.inline("_known"))
         .filter(same_group)
         .withColumn("w", F.col("tf") * F.col("idf"))
         .withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(document)))
@@ -156,5 +165,19 @@ def top_ngrams(docs: DataFrame, *, n: int = 1, limit: int = 20, text: str = "des
     return totals.orderBy(F.desc("total"), F.asc("ngram")).limit(limit)
 
 
+def without_words(rows: DataFrame, tokens: str, words: DataFrame, id: str = "id") -> DataFrame:
+    """``rows`` with the words of another table taken out of an array column, in order.
+
+    For lists too long to be part of the plan: tokens are laid out, anti-joined, and gathered per
+    row again. ``id`` tells rows apart; ``words`` has one column, ``word``.
+    """
+    laid = rows.select(id, F.posexplode(tokens).alias("_at", "word"))
+    kept = laid.join(words.select("word"), "word", "left_anti").groupBy(id).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", "word"))), lambda r: r["word"]).alias("_kept")
+    )
+    joined = rows.join(kept, id, "left")
+    return joined.withColumn(tokens, F.coalesce("_kept", F.array().cast("array<string>"))).drop("_kept")
+
+
 def top_words(docs: DataFrame, *, limit: int = 20, **options) -> DataFrame:
     return top_ngrams(docs, n=1, limit=limit, **options).withColumnRenamed("ngram", "word")

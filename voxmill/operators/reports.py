@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 
 def load_exports(exports: Sequence[DataFrame], *, from_year: int = 1402, index_column: str = "Unnamed: 0") -> DataFrame:
-    """Label exports stacked without their index column, from one year on. The caller
-    orders by (year, month, day) when writing."""
+    """Label exports stacked without their index column, from one year on, ordered by
+    (year, month, day): a range-partitioned sort."""
     stacked = reduce(lambda a, b: a.unionByName(b), [e.drop(index_column) for e in exports])
-    return stacked.filter(F.col("year") >= from_year)
+    return stacked.filter(F.col("year") >= from_year).orderBy("year", "month", "day")
 
 
 def sentiment_by_month(labels: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ sentiment; here the requested groups are joined to the analysed comments once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ..functions.text import normalize_for_match
 from .ordering import add_position
 
 CHUNK = 80
-FAN_IN = 1_000  # chunk summaries in one second pass: up to 80,000 comments
+FAN_IN = 1_000  # chunk summaries that one row joins; more come as further parts
 JOB_MIN = 5  # a job needs more than 4 comments in each of its groups
 BATCH_MIN = 6  # a batch skips groups of 5 and fewer
 GROUP = ["title", "type", "category", "sentiment"]
@@ -68,6 +68,12 @@ def group_comments(groups: DataFrame, analysis: DataFrame) -> DataFrame:
         F.col("start_date").cast("timestamp_ntz").alias("_from"), F.col("end_date").cast("timestamp_ntz").alias("_to"),
     )
     found = analysis.select("comment_id", "created_at", "title", "type", "category", "sentiment_result", "normalized_title")
+    # The asked dates reach the scan: a semi-open month list would need one column more in the table.
+    bounds = groups.agg(F.min("start_date").alias("_least"), F.max("end_date").alias("_most")).first()
+    if bounds["_least"] is not None:
+        found = found.filter(F.col("created_at").between(
+            F.lit(str(bounds["_least"])).cast("timestamp_ntz"), F.lit(str(bounds["_most"])).cast("timestamp_ntz")
+        ))
     joined = found.join(wanted, ["title", "type", "category", "sentiment_result"])
     return joined.filter(F.col("created_at").between(F.col("_from"), F.col("_to"))).select(
         "summarized_id", "group_no", "comment_id", "normalized_title"
@@ -155,10 +161,29 @@ def merge_chunks(summaries: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     )
 
 
+def merge_until_one(summaries: DataFrame, summarise: Callable[[DataFrame], DataFrame], fan_in: int = FAN_IN) -> DataFrame:
+    """``merge_chunks`` again and again until every group has one part.
+
+    ``summarise`` gets rows with ``text`` and returns them with ``summary``, the text's own summary. Each
+    round leaves a ``fan_in``-th of the parts, so the rounds are known from the largest group.
+    """
+    if fan_in < 2:
+        raise ValueError("fan_in of one never ends")
+    merged, most = merge_chunks(summaries, fan_in), summaries.agg(F.max("chunk")).first()[0] or 0
+    while (most := most // fan_in) > 0:
+        again = summarise(merged).select("summarized_id", "group_no", F.col("part").alias("chunk"), "summary")
+        merged = merge_chunks(again, fan_in)
+    return merged
+
+
 def merge_groups(group_summaries: DataFrame) -> DataFrame:
-    """(summarized_id, summarized_comment): group summaries in loop order, blank line between."""
-    texts = F.transform(F.sort_array(F.collect_list(F.struct("group_no", "text"))), lambda r: r["text"])
-    return group_summaries.groupBy("summarized_id").agg(F.array_join(texts, "\n\n").alias("summarized_comment"))
+    """(summarized_id, summarized_comment): group summaries in loop order, blank line between.
+
+    Parts of one group follow each other in order, a line break between.
+    """
+    joined = lambda key, column: F.transform(F.sort_array(F.collect_list(F.struct(key, column))), lambda r: r[column])
+    groups = group_summaries.groupBy("summarized_id", "group_no").agg(F.array_join(joined("part", "text"), "\n").alias("text"))
+    return groups.groupBy("summarized_id").agg(F.array_join(joined("group_no", "text"), "\n\n").alias("summarized_comment"))
 
 
 def fill_template(template: str, values: dict[str, Column]) -> Column:
@@ -176,6 +201,19 @@ def fill_template(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
+def category_prompt_rows(analysis: DataFrame, template: str) -> DataFrame:
+    """(comment_id, prompt): the category prompt from type and ai_title."""
+    values = {name: F.col(name) for name in ("type", "ai_title")}
+    return analysis.select("comment_id", fill_template(template, values).alias("prompt"))
+
+
+def summary_prompt_rows(chunks: DataFrame, groups: DataFrame, template: str) -> DataFrame:
+    """(summarized_id, group_no, chunk, prompt): the summary prompt of each chunk of texts of a group."""
+    values = {name: F.col(name) for name in GROUP} | {"texts": F.col("texts")}
+    named = chunks.join(groups.select("summarized_id", "group_no", *GROUP), ["summarized_id", "group_no"])
+    return named.select("summarized_id", "group_no", "chunk", fill_template(template, values).alias("prompt"))
+
+
 def prompt_rows(comments: DataFrame, template: str, *, text: str = "description", title: str = "title") -> DataFrame:
     """(id, prompt): the template with the comment in match form, and a hint at the feature."""
     prompt = fill_template(template, {"comment_text": normalize_for_match(F.col(text))})

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..operators import evaluation, merges, ngrams, repeats, reports, summaries
+from ..session import cut_lineage
 from ..sources import files
 from . import sqltext as sq
 from .registry import query
@@ -31,10 +32,18 @@ def _evaluated(spark, sf_dir):
 
 
 @query("confusion_matrix", with_views(
+    " SELECT truth, predicted, count(*) AS n FROM eval_v GROUP BY truth, predicted", "eval_v"))
+def q_confusion_matrix_sparse(spark, sf_dir):
+    return evaluation.confusion_matrix(_evaluated(spark, sf_dir), "truth", "predicted")
+
+
+@query("confusion_matrix_full", with_views(
     """, labels AS (SELECT truth AS l FROM eval_v UNION SELECT predicted FROM eval_v UNION SELECT baseline FROM eval_v)
 SELECT a.l AS truth, b.l AS predicted, (SELECT count(*) FROM eval_v WHERE truth = a.l AND predicted = b.l) AS n FROM labels a, labels b""", "eval_v"))
 def q_confusion_matrix(spark, sf_dir):
-    return evaluation.confusion_matrix(_evaluated(spark, sf_dir), "truth", "predicted", ("baseline",))
+    rows = _evaluated(spark, sf_dir)
+    seen = rows.select(F.explode(F.array("truth", "predicted", "baseline")).alias("label")).distinct()
+    return evaluation.confusion_matrix(rows, "truth", "predicted", labels=seen)
 
 
 @query("eval_scores", with_views(SQL_LABEL_STATS + f" SELECT {SCORES} FROM measures WHERE model = 'AI' GROUP BY model", "eval_v"))
@@ -145,14 +154,15 @@ def q_job_status(spark, sf_dir):
 
 # The summary of a chunk is a model's answer; here it is the first line and the length.
 SQL_SUMMARY = "split_part(texts, chr(10), 1) || ' (' || CAST(length(texts) AS VARCHAR) || ')'"
-SQL_MERGED = FOUND + f""", merged AS (SELECT summarized_id, group_no, chunk // 1000 AS part, count(*) AS chunks, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text
-FROM chunks GROUP BY summarized_id, group_no, chunk // 1000)"""
+SQL_MERGED = FOUND + f""", merged AS (SELECT summarized_id, group_no, chunk // 2 AS part, count(*) AS chunks, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text
+FROM chunks GROUP BY summarized_id, group_no, chunk // 2),
+whole AS (SELECT summarized_id, group_no, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text FROM chunks GROUP BY summarized_id, group_no)"""
 
 
 def _merged(spark, sf_dir):
     chunks = summaries.chunk_texts(_found(spark, sf_dir)[1])
     answer = F.concat(F.split_part("texts", F.lit("\n"), F.lit(1)), F.lit(" ("), F.length("texts").cast("string"), F.lit(")"))
-    return summaries.merge_chunks(chunks.withColumn("summary", answer))
+    return summaries.merge_chunks(chunks.withColumn("summary", answer), fan_in=2)
 
 
 @query("merge_chunks", with_views(SQL_MERGED + " SELECT * FROM merged", "jobs_v", "analysis_v"))
@@ -161,7 +171,7 @@ def q_merge_chunks(spark, sf_dir):
 
 
 @query("finish_jobs", with_views(
-    SQL_MERGED + """, texts AS (SELECT summarized_id, string_agg(text, chr(10) || chr(10) ORDER BY group_no) AS text FROM merged GROUP BY summarized_id)
+    SQL_MERGED + """, texts AS (SELECT summarized_id, string_agg(text, chr(10) || chr(10) ORDER BY group_no) AS text FROM whole GROUP BY summarized_id)
 SELECT summarized_id, status, comment_count, CASE WHEN status = 'completed' THEN text END AS summarized_comment, 1.5 AS duration_seconds, 'm' AS model
 FROM done LEFT JOIN texts USING (summarized_id)""", "jobs_v", "analysis_v"))
 def q_finish_jobs(spark, sf_dir):
@@ -204,10 +214,30 @@ def q_prompt_rows(spark, sf_dir):
     return summaries.prompt_rows(comments(spark, sf_dir), TEMPLATE)
 
 
+CATEGORY_TEMPLATE = "Type: {type}\nFeature: {ai_title}\nCategory?"
+SUMMARY_TEMPLATE = "{title} / {type} / {category} / {sentiment}\n{texts}\n---"
+
+
+@query("category_prompt_rows", with_views(
+    "SELECT comment_id, 'Type: ' || coalesce(type, '') || chr(10) || 'Feature: ' || coalesce(ai_title, '') || chr(10) || 'Category?' AS prompt FROM analysis_v", "analysis_v"))
+def q_category_prompt_rows(spark, sf_dir):
+    return summaries.category_prompt_rows(analysis(spark, sf_dir), CATEGORY_TEMPLATE)
+
+
+@query("summary_prompt_rows", with_views(
+    FOUND + """ SELECT summarized_id, group_no, chunk, title || ' / ' || type || ' / ' || category || ' / ' || sentiment || chr(10) || texts || chr(10) || '---' AS prompt
+FROM chunks JOIN groups_v USING (summarized_id, group_no)""", "jobs_v", "analysis_v"))
+def q_summary_prompt_rows(spark, sf_dir):
+    groups, found = _found(spark, sf_dir)
+    return summaries.summary_prompt_rows(summaries.chunk_texts(found), groups, SUMMARY_TEMPLATE)
+
+
 @query("ngram_csv_sink", sql_tfidf(
-    [2, 3], 30, grouped=True, select="grp, rank, ngram, tfidf, n, CASE n WHEN 2 THEN 'bigram' ELSE 'trigram' END AS type, '0.3' AS version"))
+    [2, 3], 30, grouped=True, select="grp, rank, ngram, tfidf, n, CASE n WHEN 2 THEN 'bigram' ELSE 'trigram' END AS type, unnest(['0.2', '0.3']) AS version"))
 def q_ngram_csv_sink(spark, sf_dir):
     path = scratch_folder(spark)
-    files.write_ngram_csv(ngrams.tfidf_by_group(texts(spark, sf_dir), group="grp", stopwords=STOP), path, "0.3")
+    report = cut_lineage(ngrams.tfidf_by_group(texts(spark, sf_dir), group="grp", stopwords=STOP))
+    for version in ("0.2", "0.3", "0.2"):  # a version replaces itself and leaves the others
+        files.write_ngram_csv(report, path, version)
     rows = spark.read.schema("rank int, ngram string, tfidf double, n int, type string, version string, grp string").option("header", True).csv(path)
     return rows

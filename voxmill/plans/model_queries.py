@@ -194,11 +194,12 @@ def q_repair_json(spark, sf_dir):
 
 SQL_MERGE = SQL_REPLIES + f""", parsed AS (SELECT *, {sql_json('semantic_raw')} AS s, {sql_json('category_raw')} AS c FROM replies),
 merged AS (SELECT id AS comment_id, title, description AS comment_text, json_extract_string(s, '$.type') AS type,
-  coalesce(json_extract_string(c, '$.category'), 'other') AS category, json_extract_string(s, '$.short_title') AS short_title,
+  CASE WHEN c IS NULL THEN 'other' ELSE json_extract_string(c, '$.category') END AS category, json_extract_string(s, '$.short_title') AS short_title,
   json_extract_string(s, '$.normalized_title') AS normalized_title, CAST(json_extract(s, '$.keywords') AS VARCHAR[]) AS keywords,
   json_extract_string(s, '$.evidence') AS evidence,
   CASE WHEN json_extract_string(s, '$.ai_title') = 'ai assistant' THEN 'ai' ELSE json_extract_string(s, '$.ai_title') END AS ai_title,
-  CASE WHEN s IS NULL THEN 'no semantic object' WHEN json_extract_string(s, '$.ai_title') IS NULL THEN 'no ai_title' WHEN c IS NULL THEN 'no category object' END AS failure
+  CASE WHEN s IS NULL THEN 'no semantic object' WHEN json_extract_string(s, '$.ai_title') IS NULL THEN 'no ai_title' WHEN c IS NULL THEN 'no category object'
+    WHEN json_extract_string(c, '$.category') IS NULL THEN 'no category' END AS failure
   FROM parsed)"""
 
 
@@ -215,8 +216,8 @@ def _sql_checked(value, aliases, allowed):
 
 
 @query("validate_analysis", with_views(
-    SQL_MERGE + f""" SELECT comment_id, CASE WHEN evidence IS NULL THEN 'no evidence' WHEN normalized_title IS NULL THEN 'no normalized_title'
-  WHEN keywords IS NULL THEN 'no keywords' WHEN short_title IS NULL THEN 'no short_title' ELSE 'ok' END AS status,
+    SQL_MERGE + f""" SELECT comment_id, CASE WHEN failure IS NOT NULL THEN failure WHEN evidence IS NULL THEN 'no evidence' WHEN normalized_title IS NULL THEN 'no normalized_title'
+  WHEN keywords IS NULL OR len(list_filter(keywords, lambda w: w IS NULL)) > 0 THEN 'no keywords' WHEN short_title IS NULL THEN 'no short_title' ELSE 'ok' END AS status,
   CASE WHEN type IN {sq.in_list(lx.TYPES)} THEN type ELSE 'other' END AS type, {_sql_checked('category', lx.CATEGORY_ALIASES, lx.CATEGORIES)} AS category,
   {_sql_checked('ai_title', lx.FEATURE_ALIASES, lx.FEATURES)} AS ai_title,
   CASE WHEN contains({sq.match_form('comment_text')}, {sq.match_form('evidence')}) THEN evidence ELSE left({sq.strip('comment_text')}, 300) END AS evidence,

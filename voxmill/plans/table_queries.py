@@ -258,16 +258,17 @@ SQL_CLEAN = f"""clean_v AS (SELECT seq, coalesce(TRY_CAST(replace(trim({sq.fa_di
   nullif(trim(channel_code), '') AS channel_code FROM file_v WHERE form <> 7)"""
 
 
-def write_feedback(spark, sf_dir, path, part=None):
+def write_feedback(spark, sf_dir, path, part=None, mark=""):
     rows = feedback_file(spark, sf_dir)
     if part is not None:
         rows = rows.filter(part)
     columns = [
-        F.col("event_type").alias("TITLE"), F.col("grade").alias("GRADE"), F.col("remark").alias("DESCRIPTION"),
+        F.concat("event_type", F.lit(mark)).alias("TITLE"), F.col("grade").alias("GRADE"), F.col("remark").alias("DESCRIPTION"),
         F.col("national_code").alias("NATIONAL_CODE"), F.lit("first, name").alias("REAL_FIRST_NAME"), F.lit('"last"').alias("REAL_LAST_NAME"),
         F.col("mobile_no").alias("MOBILE_NO"), F.col("created_at").alias("CREATED_AT"), F.col("channel_code").alias("Channel"),
     ]
-    rows.coalesce(1).orderBy("seq").select(*columns).write.options(
+    # Files by ranges of the order: as many tasks as there is data for, each file in order.
+    rows.orderBy("seq").select(*columns).write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="").csv(path)
     return path
 
@@ -278,6 +279,25 @@ def q_read_feedback_csv(spark, sf_dir):
     return files.read_feedback_csv(spark, write_feedback(spark, sf_dir, scratch_folder(spark))).drop("seq")
 
 
+# Three folders of unlike size: a small one, all rows, and one between; a later file wins, the first channel stays.
+FILE_PARTS = {"1": "seq % 7 = 0", "2": "seq >= 0", "3": "seq % 5 = 0"}
+SQL_FILES = " UNION ALL ".join(f"SELECT {n} AS file, * FROM clean_v WHERE {part}" for n, part in FILE_PARTS.items())
+
+
+@query("upsert_from_files", f"""WITH {SQL_FEEDBACK}, {SQL_CLEAN}, f AS ({SQL_FILES})
+SELECT national_code_hash, {sq.stamp('created_at')} AS created_at, arg_max(title || file, CAST(file AS BIGINT) * 1000000000 + seq) AS title,
+  arg_min(channel_code, CAST(file AS BIGINT) * 1000000000 + seq) FILTER (WHERE channel_code IS NOT NULL) AS channel_code
+FROM (SELECT file, seq, title, channel_code, national_code_hash, created_at FROM f) GROUP BY national_code_hash, f.created_at""".replace("f.created_at", "created_at"))
+def q_upsert_from_files(spark, sf_dir):
+    from ..schemas import COMMENTS
+    folder = scratch_folder(spark)
+    for n, part in FILE_PARTS.items():
+        write_feedback(spark, sf_dir, f"{folder}/{n}", F.expr(part), mark=n)
+    batch = files.clean_feedback(files.read_feedback_csv(spark, f"{folder}/*"))
+    merged = merges.upsert_comments(spark.createDataFrame([], COMMENTS), batch, imported_at=F.lit("2024-07-01").cast("timestamp"))
+    return shown(merged.select("national_code_hash", "created_at", "title", "channel_code"))
+
+
 @query("clean_feedback", f"""WITH {SQL_FEEDBACK}, {SQL_CLEAN} SELECT seq, title, grade, description, national_code_hash, mobile_no_hash,
   {sq.stamp('created_at')} AS created_at, channel_code FROM clean_v""")
 def q_clean_feedback(spark, sf_dir):
@@ -411,7 +431,9 @@ def q_upsert_assistant(spark, sf_dir):
 WHERE NOT EXISTS (SELECT 1 FROM app_comments_v a WHERE a.comment_idd = o_orderkey)""", "app_comments_v"))
 def q_insert_if_absent(spark, sf_dir):
     batch = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("comment_idd"), F.col("o_orderpriority").alias("comment_text"))
-    return merges.insert_if_absent(app_comments(spark, sf_dir), batch.unionByName(batch))
+    later = batch.withColumn("comment_text", F.lit("later"))
+    both = batch.withColumn("seq", F.lit(1)).unionByName(later.withColumn("seq", F.lit(2)))
+    return merges.insert_if_absent(app_comments(spark, sf_dir), both, order="seq").drop("seq")
 
 
 @query("upsert_analysis", with_views(

@@ -184,8 +184,10 @@ def q_union_ngrams(spark, sf_dir):
 
 
 # --- TF-IDF --------------------------------------------------------------------------------------------------
-def sql_tfidf(ns, top_k, *, grouped, select, min_df=3, max_df=0.6, max_features=30000):
-    grp = "grp" if grouped else "'all' AS grp"
+def sql_tfidf(ns, top_k, *, grouped, select, min_df=3, max_df=0.6, max_features=None):
+    grp = (grouped if isinstance(grouped, str) else "grp") if grouped else "'all' AS grp"
+    cap = f"WHERE r <= {max_features}" if max_features else ""
+    top_k = f"({top_k}) AND grp IN ('all', 'negative', 'neutral', 'positive')"
     per_n = " UNION ALL ".join(f"SELECT id, grp, {n} AS n, unnest({sq.grams('t', n)}) AS gram FROM tok" for n in ns)
     doubled = "SELECT * FROM g UNION ALL SELECT id, 'all', n, gram FROM g" if grouped else "SELECT * FROM g"
     docs = "SELECT grp, count(*) AS d FROM tok GROUP BY grp" + (" UNION ALL SELECT 'all', count(*) FROM tok" if grouped else "")
@@ -195,7 +197,7 @@ tf AS (SELECT grp, n, id, gram, count(*) AS tf FROM gg GROUP BY grp, n, id, gram
 docs AS ({docs}),
 df AS (SELECT grp, n, gram, count(*) AS df, sum(tf) AS total FROM tf GROUP BY grp, n, gram),
 voc AS (SELECT * FROM (SELECT df.*, d, row_number() OVER (PARTITION BY grp, n ORDER BY total DESC, gram) AS r
-        FROM df JOIN docs USING (grp) WHERE df >= {min_df} AND df <= CAST({max_df} AS DOUBLE) * d) WHERE r <= {max_features}),
+        FROM df JOIN docs USING (grp) WHERE df >= {min_df} AND df <= CAST({max_df} AS DOUBLE) * d) {cap}),
 w AS (SELECT grp, n, id, gram, tf * (ln((1 + d) / CAST(1 + df AS DOUBLE)) + 1) AS w FROM tf JOIN voc USING (grp, n, gram)),
 len AS (SELECT grp, n, id, sqrt(sum(w * w)) AS l FROM w GROUP BY grp, n, id),
 sc AS (SELECT grp, n, gram AS ngram, round(sum(w / l), 4) AS tfidf FROM w JOIN len USING (grp, n, id) GROUP BY grp, n, gram),
@@ -231,6 +233,32 @@ def q_tfidf_by_group(spark, sf_dir):
     return ngrams.tfidf_by_group(texts(spark, sf_dir), group="grp", stopwords=STOP)
 
 
+OPEN_GROUP = "CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'mixed' ELSE grp END AS grp"
+
+
+@query("tfidf_by_group_open", sql_tfidf(
+    [2, 3], 30, grouped=OPEN_GROUP, select="grp, rank, ngram, tfidf, n, CASE n WHEN 2 THEN 'bigram' ELSE 'trigram' END AS type"))
+def q_tfidf_by_group_open(spark, sf_dir):
+    """A group column with nulls and a value that is not reported: both count for "all"."""
+    grp = F.when(F.col("id") % 6 == 1, "mixed").when(F.col("id") % 6 != 0, F.col("grp"))
+    return ngrams.tfidf_by_group(texts(spark, sf_dir).withColumn("grp", grp), group="grp", stopwords=STOP)
+
+
+@query("tokens_without_loaded_words", with_views(
+    f""", all_w AS (SELECT DISTINCT unnest({sq.words('description')}) AS w FROM texts_v),
+w AS (SELECT w FROM all_w WHERE length(w) % 2 = 0),
+t AS (SELECT id, unnest({sq.words('description')}) AS token, unnest(range(len({sq.words('description')}))) AS at FROM texts_v)
+SELECT x.id, coalesce(string_agg(t.token, ' ' ORDER BY t.at), '') AS tokens FROM texts_v x LEFT JOIN (SELECT * FROM t WHERE token NOT IN (SELECT w FROM w)) t USING (id) GROUP BY x.id""", "texts_v"))
+def q_tokens_without_loaded_words(spark, sf_dir):
+    """A word list of any length, loaded from a file and used on tokens."""
+    rows = texts(spark, sf_dir).select("id", tx.words(F.col("description")).alias("tokens"))
+    words = rows.select(F.explode("tokens").alias("w")).distinct().filter(F.length("w") % 2 == 0)
+    path = scratch_folder(spark)
+    words.write.text(path)
+    found = load_stopwords(spark, path, plain=True)
+    return ngrams.without_words(rows, "tokens", found).select("id", F.array_join("tokens", " ").alias("tokens"))
+
+
 @query("group_sentiments", with_views(
     f"SELECT id, {sq.group_of('model1')} AS grp, {sq.group_of('upper(sentiment_result)')} AS result_grp FROM comments_v", "comments_v"))
 def q_group_sentiments(spark, sf_dir):

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="voxmill-"))
     return context.getCheckpointDir()

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..functions.dates import parse_timestamp
 from ..functions import lexicon as lx
 from ..functions.ids import hash_id, hash_id_or_null
-from ..functions.text import MAX_STOPWORDS, strip
+from ..functions.text import strip
 
 FEEDBACK_FIELDS = 9
 CORRUPT = "_line"
@@ -42,25 +43,47 @@ def field_count(line: Column) -> Column:
 def long_enough(rows: DataFrame, fields: int) -> DataFrame:
     """Spark marks rows that are too short and rows that are too long alike; only the
     short ones are left out."""
-    return rows.filter(F.col(CORRUPT).isNull() | (field_count(F.col(CORRUPT)) >= fields)).drop(CORRUPT)
+    # Always true; Spark refuses a scan of the marking column alone, as counting rows would be.
+    with_fields = F.coalesce(F.length("c0"), F.lit(0)) >= 0
+    return rows.filter(with_fields & (F.col(CORRUPT).isNull() | (field_count(F.col(CORRUPT)) >= fields))).drop(CORRUPT)
 
 
-def feedback_columns(raw: DataFrame) -> DataFrame:
+def with_places(read: DataFrame) -> DataFrame:
+    """Rows of a file source, batch or stream, with the file that each came from."""
+    return read.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_modification_time").alias("_time"))
+
+
+def in_file_order(rows: DataFrame, by_time: bool = False) -> DataFrame:
+    """``seq``: number of each row by file and by row within its file.
+
+    Spark reads large files first and in pieces, so the order of its partitions is not that of the files.
+    Files follow each other by path, or by time of change and path. Only a row per file and task is
+    ordered; the rows themselves are not moved.
+    """
+    marked = rows.withColumns({"_id": F.monotonically_increasing_id(), "_part": F.spark_partition_id()})
+    pieces = marked.groupBy("_path", "_time", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    order = Window.orderBy(*(["_time"] if by_time else []), "_path", "_first").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select("_path", "_part", "_first", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_start"))
+    return marked.join(starts, ["_path", "_part"]).withColumn("seq", F.col("_start") + F.col("_id") - F.col("_first"))
+
+
+def feedback_columns(raw: DataFrame, by_time: bool = False) -> DataFrame:
     """Names for the positions; empty title and text stay ''."""
     text = lambda i: F.coalesce(F.col(f"c{i}"), F.lit(""))
-    rows = long_enough(raw, FEEDBACK_FIELDS)
+    rows = in_file_order(long_enough(raw, FEEDBACK_FIELDS), by_time)
     return rows.select(
-        F.monotonically_increasing_id().alias("seq"), text(0).alias("title"), text(1).alias("grade"),
+        "seq", text(0).alias("title"), text(1).alias("grade"),
         text(2).alias("description"), text(3).alias("national_code"), text(6).alias("mobile_no"),
         text(7).alias("created_at"), text(8).alias("channel_code"),
     )
 
 
-def read_feedback_csv(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+def read_feedback_csv(spark: SparkSession, path: str, *, multi_line: bool = True, by_time: bool = False) -> DataFrame:
     """Feedback files as strings. Columns count by position; rows of fewer than nine
-    fields are left out, fields after the ninth ignored. ``seq`` keeps the row order."""
+    fields are left out, fields after the ninth ignored. ``seq`` keeps the order of files
+    (by path, or by time) and of their rows."""
     reader = spark.read.schema(positional_schema(FEEDBACK_FIELDS)).options(**csv_options(multi_line))
-    return feedback_columns(reader.csv(path))
+    return feedback_columns(with_places(reader.csv(path)), by_time)
 
 
 def clean_feedback(raw: DataFrame) -> DataFrame:
@@ -86,15 +109,15 @@ def parse_like(value: Column, layout: int) -> Column:
     return F.coalesce(F.lower(value) == "true", F.lit(False))
 
 
-def read_assistant_csv(spark: SparkSession, path: str, layout: int, *, multi_line: bool = True) -> DataFrame:
+def read_assistant_csv(spark: SparkSession, path: str, layout: int, *, multi_line: bool = True, by_time: bool = False) -> DataFrame:
     """Assistant feedback files in one of two layouts; rows without a time field are rejected."""
     position = ASSISTANT_LAYOUTS[layout]
     width = position["created_at"] + 1
-    raw = spark.read.schema(positional_schema(width)).options(**csv_options(multi_line)).csv(path)
+    raw = with_places(spark.read.schema(positional_schema(width)).options(**csv_options(multi_line)).csv(path))
     field = lambda name: F.coalesce(F.col(f"c{position[name]}"), F.lit(""))
     texts = [field(n).alias(n) for n in ("user_message", "assistant_message", "q1", "q2", "q3")]
-    return long_enough(raw, width).select(
-        F.monotonically_increasing_id().alias("seq"), *texts, parse_like(field("is_liked"), layout).alias("is_liked"),
+    return in_file_order(long_enough(raw, width), by_time).select(
+        "seq", *texts, parse_like(field("is_liked"), layout).alias("is_liked"),
         strip(field("created_at")).try_cast("timestamp_ntz").alias("created_at"),
     )
 
@@ -111,24 +134,29 @@ def append_jsonl(rows: DataFrame, path: str) -> None:
 
 # --- reports and word lists -------------------------------------------------------------------------
 def write_ngram_csv(report: DataFrame, path: str, version: str, group: str = "grp") -> None:
-    """One folder per group with its n-grams; a group without rows gets none."""
-    report.withColumn("version", F.lit(version)).write.mode("overwrite").partitionBy("version", group).option(
-        "header", "true"
-    ).csv(path)
+    """One folder per version and group with its n-grams; a group without rows gets none.
+    Writing a version again replaces its groups; other versions stay."""
+    report.withColumn("version", F.lit(version)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("version", group).option("header", "true").csv(path)
 
 
 def load_stopwords(spark: SparkSession, path: str, *, plain: bool = False) -> DataFrame:
-    """Words of a list file: one per line, as they are or in quotes and with commas."""
+    """Words of a list file: one per line, as they are or in quotes and with commas. A
+    file that is not there is an empty list."""
     line = strip(F.col("value"))
     word = line if plain else strip(F.translate(line, "'," + lx.ZWNJ, ""))
-    words = spark.read.text(path).select(word.alias("word"))
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition() or ""):
+            raise
+        lines = spark.createDataFrame([], "value string")
+    words = lines.select(word.alias("word"))
     return words.filter(F.col("word") != "").distinct()
 
 
 def stopword_list(words: DataFrame) -> list[str]:
-    """The words as plan literals. A list is a few hundred words; more than
-    ``MAX_STOPWORDS`` is an error, not a longer collect."""
-    found = [row["word"] for row in words.limit(MAX_STOPWORDS + 1).collect()]
-    if len(found) > MAX_STOPWORDS:
-        raise ValueError("too many stop words")
-    return found
+    """The words as literals for the functions that take a list: a few hundred as a rule. A word
+    list that is large data stays a table (``operators.ngrams.without_words``)."""
+    return [row["word"] for row in words.collect()]

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.merges import upsert_comments
-from ..sources.files import FEEDBACK_FIELDS, clean_feedback, csv_options, feedback_columns, positional_schema
+from ..sources.files import FEEDBACK_FIELDS, clean_feedback, csv_options, feedback_columns, positional_schema, with_places
 
 
 def snapshot_path(table: str, number: int) -> str:
@@ -30,12 +30,12 @@ def start_table(spark: SparkSession, table: str, rows: DataFrame | None = None)
 
 def import_stream(
     spark: SparkSession, source: str, table: str, checkpoint: str, *, files_per_batch: int | None = None,
-    imported_at: Column | None = None, merge: Callable[[DataFrame, int], None] | None = None,
+    imported_at: Column | None = None, merge: Callable[[DataFrame, int], None] | None = None, multi_line: bool = True,
 ) -> StreamingQuery:
     """Start the import of all CSV files in ``source``; it ends when they are read."""
 
     def into_snapshot(batch: DataFrame, number: int) -> None:
-        clean = clean_feedback(feedback_columns(batch))
+        clean = clean_feedback(feedback_columns(batch, by_time=True))
         if merge is not None:
             merge(clean, number)
             return
@@ -44,10 +44,10 @@ def import_stream(
         merged = upsert_comments(target, clean, imported_at=imported_at)
         merged.write.mode("overwrite").parquet(snapshot_path(table, number + 1))
 
-    reader = spark.readStream.schema(positional_schema(FEEDBACK_FIELDS)).options(**csv_options())
+    reader = spark.readStream.schema(positional_schema(FEEDBACK_FIELDS)).options(**csv_options(multi_line))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        reader.csv(source).writeStream.foreachBatch(into_snapshot)
+        with_places(reader.csv(source)).writeStream.foreachBatch(into_snapshot)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
