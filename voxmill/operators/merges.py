@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import to_jalali_int
 from ..functions import lexicon as lx
@@ -39,6 +40,12 @@ def _split(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[Da
     return target.join(said, list(keys), "left"), batch.join(known, list(keys), "left_anti")
 
 
+def _kind(target: DataFrame, name: str) -> T.DataType:
+    """Type of a column of the table; arrays may hold nulls, since the batch's may."""
+    kind = target.schema[name].dataType
+    return T.ArrayType(kind.elementType, True) if isinstance(kind, T.ArrayType) else kind
+
+
 def _replace(target: DataFrame, joined: DataFrame, changes: dict[str, Column]) -> DataFrame:
     """Target columns; where the batch has the key, ``changes`` are applied."""
     hit = F.col("_new").isNotNull()
@@ -46,7 +53,7 @@ def _replace(target: DataFrame, joined: DataFrame, changes: dict[str, Column]) -
     def column(name: str) -> Column:
         if name not in changes:
             return F.col(name)
-        return F.when(hit, changes[name]).otherwise(F.col(name)).cast(target.schema[name].dataType).alias(name)
+        return F.when(hit, changes[name]).otherwise(F.col(name)).cast(_kind(target, name)).alias(name)
 
     return joined.select(*[column(c) for c in target.columns])
 
@@ -54,7 +61,7 @@ def _replace(target: DataFrame, joined: DataFrame, changes: dict[str, Column]) -
 def _as_rows(target: DataFrame, fresh: DataFrame, values: dict[str, Column]) -> DataFrame:
     """New rows in the shape of the table; columns without a value are null."""
     return fresh.select(
-        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
+        *[values.get(f.name, F.lit(None)).cast(_kind(target, f.name)).alias(f.name) for f in target.schema.fields]
     )
 
 

@@ -10,7 +10,7 @@ from ..functions import lexicon as lx
 from ..functions import model_output as mo
 from ..functions import rules
 from ..functions.text import normalize_for_match
-from ..operators import labelling, scoring
+from ..operators import classification, labelling, reports, scoring
 from . import sqltext as sq
 from .registry import query
 from .views import analysis, app_comments, comments, texts, with_views
@@ -60,6 +60,13 @@ def q_validate_and_score(spark, sf_dir):
     return comments(spark, sf_dir).select("id", rules.validate_and_score(F.col("model1"), F.col("description")).alias("v")).select("id", "v.*")
 
 
+@query("flag_then_label", with_views(
+    ", " + sql_cascade("comments_v", "id", "description", "grade", lx.SCORES_FIVE_POINT, True, "FALSE") +
+    """ SELECT id, CASE WHEN coalesce(sentiment_result, '') = '' THEN s_result ELSE sentiment_result END AS sentiment_result FROM casc""", "comments_v"))
+def q_flag_then_label(spark, sf_dir):
+    return labelling.flag_then_label(comments(spark, sf_dir)).select("id", "sentiment_result")
+
+
 @query("label_pending", with_views(
     ", " + sql_cascade("comments_v", "id", "description", "grade", lx.SCORES_FIVE_POINT, True, "FALSE") +
     """ SELECT id, CASE WHEN coalesce(sentiment_result, '') = '' THEN s_result ELSE sentiment_result END AS sentiment_result,
@@ -229,6 +236,42 @@ def q_validate_analysis(spark, sf_dir):
     return valid.select("comment_id", "status", "type", "category", "ai_title", "evidence", F.array_join("keywords", "|").alias("keywords"))
 
 
+# Two of three analysed events have no finished analysis yet; every third waiting one has a text of two words.
+SQL_WAITING = SQL_REPLIES.replace("replies AS (", "all_replies AS (", 1) + """, replies AS (SELECT * REPLACE (CASE WHEN id % 3 = 1 THEN 'خوب' || title ELSE description END AS description)
+  FROM all_replies WHERE id % 3 <> 0)"""
+
+
+def _waiting(spark, sf_dir):
+    all_rows = replies(spark, sf_dir)
+    text = F.when(F.col("id") % 3 == 1, F.concat(F.lit("خوب"), "title")).otherwise(F.col("description"))
+    waiting = all_rows.select(
+        "id", "title", "created_at", "sentiment_result", text.alias("description"), F.lit(False).alias("is_repetitive"),
+        F.lit(1).alias("sentiment_score"), F.lit(False).alias("is_analyzed"))
+    done = analysis(spark, sf_dir).filter(F.col("comment_id") % 3 == 0).withColumn("ai_title", F.lit("card"))
+    return waiting, done, all_rows.select("id", "semantic_raw", "category_raw")
+
+
+@query("classify_pending", with_views(
+    SQL_WAITING + SQL_MERGE[len(SQL_REPLIES):] + f""", checked AS (SELECT comment_id, CASE WHEN {SQL_SHORT.replace('description', 'comment_text')} THEN 'ok' WHEN failure IS NOT NULL THEN failure
+  WHEN evidence IS NULL THEN 'no evidence' WHEN normalized_title IS NULL THEN 'no normalized_title'
+  WHEN keywords IS NULL OR len(list_filter(keywords, lambda w: w IS NULL)) > 0 THEN 'no keywords' WHEN short_title IS NULL THEN 'no short_title' ELSE 'ok' END AS status FROM merged)
+SELECT comment_id, status, status = 'ok' AS is_analyzed, status = 'ok' AS written FROM checked""", "analysis_v"))
+def q_classify_pending(spark, sf_dir):
+    comments_now, written, outcomes = classification.classify_pending(*_waiting(spark, sf_dir), processed_at=F.lit("2026-01-06").cast("timestamp"))
+    marked = comments_now.select(F.col("id").alias("comment_id"), "is_analyzed")
+    ids = written.select("comment_id", F.lit(True).alias("written"))
+    return outcomes.join(marked, "comment_id").join(ids, "comment_id", "left").select("comment_id", "status", "is_analyzed", F.coalesce("written", F.lit(False)).alias("written"))
+
+
+@query("classify_pending_totals", with_views(
+    SQL_WAITING + SQL_MERGE[len(SQL_REPLIES):] + f""", checked AS (SELECT CASE WHEN {SQL_SHORT.replace('description', 'comment_text')} THEN 'ok' WHEN failure IS NOT NULL THEN failure
+  WHEN evidence IS NULL OR normalized_title IS NULL OR keywords IS NULL OR short_title IS NULL OR len(list_filter(keywords, lambda w: w IS NULL)) > 0 THEN 'no' ELSE 'ok' END AS status FROM merged)
+SELECT count(*) FILTER (WHERE status = 'ok') AS processed, count(*) FILTER (WHERE status <> 'ok') AS failed, 0 AS flagged FROM checked""", "analysis_v"))
+def q_classify_pending_totals(spark, sf_dir):
+    outcomes = classification.classify_pending(*_waiting(spark, sf_dir))[2]
+    return reports.run_totals(outcomes.withColumn("is_repetitive", F.lit(False)))
+
+
 LEVEL_VALUES = ["high", None, "urgent"]
 
 
