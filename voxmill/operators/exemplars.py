@@ -61,7 +61,8 @@ def centrality(
     entries = cut_lineage(gram_counts(tokens, {0: grams}, "id", ["grp"]).drop("n"))
 
     max_df = F.when(F.floor(F.col("docs") * MAX_DF) < MIN_DF, 1.0).otherwise(MAX_DF)
-    terms = (
+    # One row per term that is kept, written since the join reads it twice.
+    terms = cut_lineage(
         entries.groupBy("grp", "gram").agg(F.count(F.lit(1)).alias("df"))
         .filter(F.col("df") >= MIN_DF)
         .join(F.broadcast(sizes), "grp")  # one row per reported group
@@ -76,7 +77,7 @@ def centrality(
         .select("grp", "id", "gram", "w")
     )
     # The sum of the weights points the same way as their mean.
-    centre = weights.groupBy("grp", "gram").agg(F.sum("w").alias("c"), F.count(F.lit(1)).alias("df"))
+    centre = cut_lineage(weights.groupBy("grp", "gram").agg(F.sum("w").alias("c"), F.count(F.lit(1)).alias("df")))
     lengths = centre.groupBy("grp").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("centre_length"))
     products = (
         join_skewed(weights, centre, ["grp", "gram"], "df")

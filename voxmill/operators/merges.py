@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.dates import to_jalali_int
 from ..functions import lexicon as lx
 from ..functions.text import strip
+from ..session import cut_lineage
 from .ordering import add_position
 from .selection import missing_jalali
 
@@ -31,10 +32,11 @@ def _split(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[Da
     """The table with what the batch says about its rows (``_new`` and ``_new_*``), and
     the batch rows that are new.
 
-    The batch is always the side that may be broadcast. Next to a large table it
-    usually is small: then the table is not shuffled at all, and finding the new rows
-    reads its key columns only.
+    The reduced batch is written once, since four readers follow. It is always the side that
+    may be broadcast. Next to a large table it usually is small: then the table is not shuffled
+    at all, and finding the new rows reads its key columns only.
     """
+    batch = cut_lineage(batch)
     said = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in batch.columns if c not in keys], F.lit(True).alias("_new"))
     known = target.select(*keys).join(batch.select(*keys), list(keys))
     return target.join(said, list(keys), "left"), batch.join(known, list(keys), "left_anti")

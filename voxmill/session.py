@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +43,30 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_WRITTEN: list[str] = []  # intermediate tables of this driver that nobody has removed yet
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that are written inside are removed at the end.
+
+    Results are lazy and read these tables, so they have to be written or counted inside.
+    """
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _WRITTEN[before:]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(configuration).delete(place, True)
+        del _WRITTEN[before:]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/voxmill-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
