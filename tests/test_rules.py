@@ -100,6 +100,23 @@ def test_evaluation_by_hand(spark):
     assert sum(c.n for c in evaluation.confusion_matrix(df, "truth", "predicted").collect()) == 4
 
 
+def test_failed_replies_stay_failed(spark):
+    rows = [(1, '{"a": 1}', "none"), (2, '{"a": 1}', '{"category": null}'), (3, "none", '{"category": "ui"}')]
+    good = '{"type": "issue", "ai_title": "card", "short_title": "s", "normalized_title": "n", "keywords": ["k", null], "evidence": "e"}'
+    rows += [(4, good, '{"category": "ui"}'), (5, good.replace(", null", ""), '{"category": "ui"}')]
+    df = spark.createDataFrame(rows, "id long, s string, c string").selectExpr("*", "'e' description", "'x' sentiment_result", "timestamp_ntz'2024-01-01' created_at", "'t' title")
+    status = {r.comment_id: r.status for r in mo.validate_analysis(mo.merge_replies(df, "s", "c")).collect()}
+    assert status == {1: "no ai_title", 2: "no ai_title", 3: "no semantic object", 4: "no keywords", 5: "ok"}
+
+
+def test_literals_inside_strings_are_kept(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.BooleanType())])
+    df = spark.createDataFrame([("{'a': 'it is True now', 'b': True}",)], "raw string")
+    r = df.select(mo.repair_json(C("raw"), schema).alias("v")).select("v.*").first()
+    assert (r.a, r.b) == ("it is True now", True)
+
+
 def test_bullets(spark):
     df = spark.createDataFrame([([" a ", "", None, "b", "c"],), ([],), (None,)], "i array<string>")
     assert [r[0] for r in df.select(mo.bullet_list(C("i"), 2)).collect()] == ["- a\n- b", "- (هیچ موردی)", "- (هیچ موردی)"]

@@ -159,6 +159,74 @@ def test_merging_in_rounds(spark):
     assert parts == [(0, "s0\ns1"), (1, "s2\ns3"), (2, "s4")]
 
 
+def test_groups_in_parts_keep_their_order(spark):
+    rows = [(1, 0, 0, "z first\ny second"), (1, 0, 1, "a third"), (1, 1, 0, "next")]
+    parts = spark.createDataFrame(rows, "summarized_id long, group_no long, part long, text string")
+    assert summaries.merge_groups(parts).first().summarized_comment == "z first\ny second\na third\n\nnext"
+    chunks = spark.createDataFrame([(1, 0, i, f"s{i}") for i in range(9)], "summarized_id long, group_no long, chunk long, summary string")
+    one = summaries.merge_until_one(chunks, lambda d: d.withColumn("summary", F.regexp_replace("text", "\n", "+")), fan_in=2).collect()
+    assert [(r.part, r.text.replace("\n", "+")) for r in one] == [(0, "+".join(f"s{i}" for i in range(9)))]
+
+
+def test_copies_in_a_batch_stay_one_row(spark):
+    jobs = spark.createDataFrame([(1, "new")], "summarized_id long, status string").selectExpr(
+        "summarized_id", "cast(null as string) summarized_comment", "0 comment_count", "status", "cast(null as decimal(10,2)) duration_seconds", "cast(null as string) model")
+    done = jobs.withColumn("status", F.lit("completed"))
+    assert [r.status for r in merges.finish_jobs(jobs, done.unionByName(done)).collect()] == ["completed"]
+
+
+def test_files_follow_by_name_whatever_their_size(spark, tmp_path):
+    line = "t{0},5,text,1,a,b,2,2025-12-24-00.02.26.367590,{1}\n"
+    (tmp_path / "a.csv").write_text("h" + ",h" * 8 + "\n" + line.format("small", "first"))
+    (tmp_path / "b.csv").write_text("h" + ",h" * 8 + "\n" + line.format("large", "second") * 500)
+    rows = files.read_feedback_csv(spark, str(tmp_path)).select("seq", "title").orderBy("seq").collect()
+    assert rows[0].title == "tsmall" and [r.seq for r in rows] == list(range(501))
+
+
+def test_missing_word_list_is_empty(spark, tmp_path):
+    assert files.load_stopwords(spark, str(tmp_path / "none.txt")).collect() == []
+
+
+def test_report_versions_stay(spark, tmp_path):
+    report = spark.createDataFrame([("all", "a b", 1.0)], "grp string, ngram string, tfidf double")
+    for version in ("0.2", "0.3", "0.2"):
+        files.write_ngram_csv(report, str(tmp_path), version)
+    assert sorted(p.name for p in tmp_path.iterdir() if p.is_dir()) == ["version=0.2", "version=0.3"]
+
+
+def test_temporary_tables_go(spark):
+    import os
+
+    from voxmill.session import cut_lineage, shared_folder, temporary_tables
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with temporary_tables(spark):
+        assert cut_lineage(spark.range(3)).count() == 3
+        assert set(os.listdir(folder)) != before
+    assert set(os.listdir(folder)) == before
+
+
+def test_scoring_empty_replies_and_row_counts(spark, tmp_path):
+    place = str(tmp_path)
+
+    def model(frame):
+        import os
+
+        answers = []
+        for i in frame["id"]:
+            seen = os.path.exists(f"{place}/{i}")
+            open(f"{place}/{i}", "w").close()
+            answers.append("late" if seen or i % 2 else "")
+        frame["reply"] = answers
+        return frame
+
+    scored = scoring.score_with(spark.range(6).coalesce(1), model, "reply string", is_empty=lambda f: f["reply"] == "")
+    assert {r.reply for r in scored.collect()} == {"late"}
+    with pytest.raises(Exception, match="were scored as"):
+        scoring.score_with(spark.range(6), lambda f: f.assign(reply="x").head(0), "reply string").collect()
+
+
 def test_scoring_retries(spark, tmp_path):
     flag = str(tmp_path / "failed-once")
 

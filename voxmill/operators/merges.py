@@ -181,10 +181,9 @@ REGISTERED_ATTRIBUTES = ["app_name", *SCRAPED_ATTRIBUTES, "url", "nickname"]
 
 
 def upsert_app_info(apps: DataFrame, scrape: DataFrame, *, seq: str | None = None) -> DataFrame:
-    """Ten attributes by nickname; nothing is inserted. With ``seq`` the last scrape of a
-    nickname counts; otherwise nicknames are unique in the scrape."""
-    if seq:
-        scrape = latest_per_key(scrape, ["nickname"], seq, SCRAPED_ATTRIBUTES)
+    """Ten attributes by nickname; nothing is inserted. Of several scrapes of a nickname the
+    last by ``seq`` counts; without ``seq`` one of them, the same in every run."""
+    scrape = latest_per_key(scrape, ["nickname"], seq, SCRAPED_ATTRIBUTES)
     new = scrape.select("nickname", *[F.col(c).alias(f"_new_{c}") for c in SCRAPED_ATTRIBUTES], F.lit(True).alias("_new"))
     joined = apps.join(new, "nickname", "left")
     return _replace(apps, joined, {c: F.col(f"_new_{c}") for c in SCRAPED_ATTRIBUTES})

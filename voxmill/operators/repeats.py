@@ -125,7 +125,9 @@ def flag_repetitive(comments: DataFrame, *, id: str = "id", **options) -> DataFr
 
 
 def apply_flags(comments: DataFrame, flags: DataFrame) -> DataFrame:
-    """Flags written into the table; rows without a flag keep what they had."""
+    """Flags written into the table; rows without a flag keep what they had. Of several
+    flags of a row the largest counts, so a row stays one row."""
+    flags = flags.groupBy("id").agg(F.max(F.struct("is_repetitive", "duplicate_of")).alias("_flags")).select("id", "_flags.*")
     new = flags.select("id", F.col("is_repetitive").alias("_flag"), F.col("duplicate_of").alias("_of"))
     flagged = F.col("_flag").isNotNull()
     return comments.join(new, "id", "left").withColumns(

@@ -27,7 +27,7 @@ def score_with(
     def attempt(part: pd.DataFrame) -> pd.DataFrame:
         for left in range(retries, -1, -1):
             try:
-                scored = fn(part)
+                scored = fn(part.copy())  # a model may write into what it gets
                 if len(scored) != len(part):
                     raise ValueError(f"{len(part)} rows were scored as {len(scored)}")
                 return scored.reset_index(drop=True)
