@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from . import checks
 from .chat_format import format_turns, read_back
 from .language_id import predict_language
 from .main_text import extract_main_text
@@ -57,23 +58,23 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(table(spark, sf_dir, "documents"))
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", checks.REPEATS)
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, span=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@query("op3_ngram_join")
+@query("op3_ngram_join", checks.NGRAM_JOIN)
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
-@query("op4_pivot_dedup")
+@query("op4_pivot_dedup", checks.PIVOTS)
 def op4_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
-@query("op9_chat_format")
+@query("op9_chat_format", checks.CHAT)
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
