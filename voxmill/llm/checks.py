@@ -15,7 +15,8 @@ component AS (SELECT id, min(c) AS component_id FROM reached GROUP BY id)"""
 
 
 REPEATS = """WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, s, hash(substr(x, 2 * s + 1, 100)) AS g FROM (SELECT doc_id, x, unnest(range(length(x) // 2 - 49)) AS s FROM h WHERE length(x) >= 100)),
+p AS (SELECT doc_id, o, substr(x, 2 * o + 1, 598) AS y FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49, 250)) AS o FROM h WHERE length(x) >= 100)),
+w AS (SELECT doc_id, o + i AS s, hash(substr(y, 2 * i + 1, 100)) AS g FROM (SELECT doc_id, o, y, unnest(range(least(250, length(y) // 2 - 49))) AS i FROM p)),
 first_seen AS (SELECT g, min(doc_id) AS d FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
 hit AS (SELECT doc_id, s FROM w JOIN first_seen USING (g) WHERE d < doc_id),
 cut AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM hit),
