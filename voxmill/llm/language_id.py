@@ -117,14 +117,21 @@ def identify(docs: DataFrame, profile: int = 400, fit_docs: int = 20_000) -> Dat
     """All columns of ``docs``, and lang_pred, lang_score; see ``predict_language``."""
     profiles = docs.sparkSession.sparkContext.broadcast(learn_profiles(docs, profile, fit_docs))  # <= profile grams per language
 
-    @F.pandas_udf("lang string, score double")
-    def predict(texts):
-        import pandas as pd
-
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(profiles.value, profile)
-        return pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
-
-    return docs.withColumn("_language", predict(F.col("text").cast("string"))).select(*[docs[c] for c in docs.columns], F.col("_language.lang").alias("lang_pred"), F.col("_language.score").alias("lang_score"))
+        for batch in (b for whole in batches for b in batches_of([whole], 2_000_000)):
+            found = [model.predict(t.as_py()) for t in batch.column(text_at)]
+            kept = [batch.column(i) for i in range(width)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())], names)
+
+    # Columns travel under names of their own, since those of ``docs`` may clash.
+    width, text_at = len(docs.columns), docs.columns.index("text")
+    names = [*[f"_carried_{i}" for i in range(width)], "lang_pred", "lang_score"]
+    kinds = [*[docs.schema[c].dataType.simpleString() for c in docs.columns], "string", "double"]
+    kinds[text_at] = "string"
+    carried = [docs[c].cast(k).alias(n) for c, n, k in zip(docs.columns, names, kinds, strict=False)]
+    out = docs.select(*carried).mapInArrow(predict, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    return out.select(*[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(docs.columns)], "lang_pred", "lang_score")
 
 
 def predict_language(docs: DataFrame, profile: int = 400, fit_docs: int = 20_000) -> DataFrame:

@@ -25,7 +25,7 @@ from .token_counts import ALPHABET, is_latin_1, latin_class
 
 GROUP_PIECES = 16_384
 GROUP_BYTES = 48_000_000
-CACHE = 600_000
+CACHE = 200_000
 _BEYOND = re.compile("[İɐ-\U0010ffff]")
 
 
@@ -244,6 +244,7 @@ def pack(
                     yield out.batch()
         if out:
             _close(group, out, slack, last=False)
+            encode.cache.clear()  # workers live on for other tasks
             yield out.batch()
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -367,7 +367,7 @@ def hot_triggers(docs: DataFrame, n_docs: int, span: int, gram: int, sample_docs
 
 
 def remove_repeats(
-    docs: DataFrame, span: int = 50, gram: int = 20, block_bytes: int = 8_000_000, bucket_entries: int = 400_000,
+    docs: DataFrame, span: int = 50, gram: int = 20, block_bytes: int = 4_000_000, bucket_entries: int = 400_000,
     sample_docs: int = 5_000, hot_share: float = 0.005, keep_text: bool = False,
 ) -> DataFrame:
     """All columns of ``docs`` but text, and n_bytes, n_removed, n_spans, kept_sha256, spans.
