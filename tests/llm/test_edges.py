@@ -147,6 +147,25 @@ def test_quality_of_odd_texts(docs):
     assert a == b
 
 
+def test_bands_reject_labelled_bad_and_spare_labelled_good(spark):
+    folder = "/root/testdata/sf0.01"
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    texts = spark.read.parquet(f"{folder}/documents.parquet")
+    fine = [r for r in perplexity.score_quality(texts).collect() if not r.base_failed and r.doc_id in quality]
+    bad, good = ([r.kept for r in fine if quality[r.doc_id] == q] for q in (0, 1))
+    assert bad.count(False) >= 0.7 * len(bad) and good.count(False) <= 0.07 * len(good)
+    symbols = [r.kept for r in fine if r.n_symbols > r.n_words and quality[r.doc_id] == 0]
+    assert len(symbols) >= 10 and symbols.count(False) >= 0.7 * len(symbols)
+
+
+def test_a_large_source_does_not_set_the_bands(spark):
+    rows = [("en", "large", 1.0)] * 900 + [("en", f"s{i % 9}", 2.0 + i / 100) for i in range(90)] + [("de", None, 1.5)] * 3
+    scored = spark.createDataFrame(rows, "lang string, source string, log_perplexity double")
+    got = {r.lang: (r.lower, r.upper) for r in perplexity.bands(scored, 1.5, 0.01).collect()}
+    assert got["en"][0] < 2.0 and got["en"][1] > 2.89
+    assert got["de"] == pytest.approx((1.47, 1.53))
+
+
 def test_kneser_ney_sums_to_one(spark):
     texts = spark.createDataFrame([("en", "abab cab"), ("en", "bab")], "lang string, _text string")
     model = perplexity.kneser_ney(perplexity.ngram_counts(texts)).collect()

@@ -7,7 +7,8 @@ and language. N-grams are packed into whole numbers, 12 bits per symbol (rare sy
 
 The model is kept as sorted arrays of n-gram codes with log probabilities and looked up by binary search. While it
 is small (``max_entries``) every task gets it; beyond that, the n-grams of documents are joined with it. Every n-gram that is looked
-up has been counted. A language's band of log perplexity lies around its median, as wide as its quartiles say.
+up has been counted. A language's band of log perplexity ends at Tukey's fences: one and a half quartile ranges beyond the quartiles,
+in which every source weighs the same.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches_of, whole_text, written
@@ -198,23 +199,46 @@ def _lang(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(UNKNOWN))
 
 
+def bands(scored: DataFrame, fence: float, least_spread: float) -> DataFrame:
+    """lang, lower, upper: ``fence`` times the quartile range (twice ``least_spread`` at least) beyond the quartiles of ``log_perplexity``.
+
+    ``scored``: lang, source, log_perplexity. The documents of a source share one weight, so that a large source does not set the
+    quartiles of its language. Values are counted in steps of 1/10,000, so what is summed up in order does not grow with the rows.
+    """
+    known = scored.filter("log_perplexity is not null").groupBy("lang", "source", F.round("log_perplexity", 4).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = known.groupBy("lang", "source").agg(F.sum("n").alias("size"))
+    steps = (
+        known.withColumnRenamed("lang", "_lang").withColumnRenamed("source", "_source")
+        .join(sizes, (F.col("_lang") == F.col("lang")) & F.col("_source").eqNullSafe(F.col("source")))
+        .groupBy("lang", "value").agg(F.sum(F.col("n") / F.col("size")).alias("weight"))
+    )
+    whole = Window.partitionBy("lang")
+    reached = F.sum("weight").over(whole.orderBy("value")) / F.sum("weight").over(whole)
+    # Sums of fractions differ in the last digits from run to run.
+    at = lambda part: F.min(F.when(F.col("reached") >= part - 1e-9, F.col("value")))
+    quartiles = steps.withColumn("reached", reached).groupBy("lang").agg(at(0.25).alias("low"), at(0.75).alias("high"))
+    beyond = fence * F.greatest(F.col("high") - F.col("low"), F.lit(2 * least_spread))
+    return quartiles.select("lang", (F.col("low") - beyond).alias("lower"), (F.col("high") + beyond).alias("upper"))
+
+
 def score_quality(
-    docs: DataFrame, min_words: int = 50, max_repeated: int = 50, widths: tuple[float, float] = (12.0, 7.0), least_spread: float = 0.01, max_entries: int = 4_000_000
+    docs: DataFrame, min_words: int = 50, max_repeated: int = 50, fence: float = 1.5, least_spread: float = 0.01, max_entries: int = 4_000_000
 ) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity: one row per row of ``docs``.
 
-    ``docs`` needs doc_id, text and lang; other columns are ignored, whatever their names. Null texts are empty. A null ``lang`` is a language
-    of its own. ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeated`` percent of the words in repeated 3-word windows.
-    ``kept``: not failed, and the mean log perplexity per symbol lies in the band of the language: the median of its documents that did not fail,
-    less (plus) the first (second) of ``widths`` times the distance to the lower (upper) quartile, which counts as
-    ``least_spread`` at least. Repeated rows and ids give a row each. An empty table gives no rows. The model counts all documents; ``max_entries`` changes the plan only.
+    ``docs`` needs doc_id, text and lang, and may have source (without it all documents are of one); other columns are ignored, whatever
+    their names. Null texts are empty. A null ``lang`` is a language of its own, a null ``source`` a source. ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeated`` percent of the words in repeated 3-word windows.
+    ``kept``: not failed, and the mean log perplexity per symbol lies in the band of the language: from ``fence`` times the quartile range below the lower
+    quartile to as much above the upper one. Quartiles are of its documents that did not fail, every source weighing the same; their range counts as
+    twice ``least_spread`` at least. Repeated rows and ids give a row each. An empty table gives no rows. The model counts all documents; ``max_entries`` changes the plan only.
     """
-    texts = docs.select("doc_id", _lang(F.col("lang")).alias("lang"), whole_text().alias("_text"))
+    source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
+    texts = docs.select("doc_id", _lang(F.col("lang")).alias("lang"), source.alias("source"), whole_text().alias("_text"))
     model = written(kneser_ney(written(ngram_counts(texts.select("lang", "_text")))))
     small = model.count() <= max_entries
     arrays = docs.sparkSession.sparkContext.broadcast(_collect_arrays(model)) if small else None
     kind = docs.schema["doc_id"].dataType.simpleString()
-    fields = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, symbols long, total double"
+    fields = "source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, symbols long, total double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for whole in batches for b in batches_of([whole], 1_000_000)):
@@ -225,8 +249,8 @@ def score_quality(
                 n.append(len(codes))
                 total.append(arrays.value.total(lang, codes) if arrays and len(codes) else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), *[pa.array(b, pa.int64()) for b in base], pa.array(n, pa.int64()), pa.array(total, pa.float64())],
-                ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "symbols", "total"],
+                [batch.column("doc_id"), batch.column("lang"), batch.column("source"), *[pa.array(b, pa.int64()) for b in base], pa.array(n, pa.int64()), pa.array(total, pa.float64())],
+                ["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "symbols", "total"],
             )
 
     if small:
@@ -244,20 +268,16 @@ def score_quality(
             keyed.select("_row", "lang", "_text").mapInArrow(listed, "_row long, lang string, code long, n long")
             .join(model, ["lang", "code"]).groupBy("_row").agg(F.sum(F.col("n") * F.col("logp").cast("float").cast("double")).alias("joined"))
         )
-        numbered = keyed.select(F.struct("doc_id", "_row").alias("doc_id"), "lang", "_text").mapInArrow(score, f"doc_id struct<doc_id:{kind},_row:long>, lang string, {fields}")
+        numbered = keyed.select(F.struct("doc_id", "_row").alias("doc_id"), "lang", "source", "_text").mapInArrow(score, f"doc_id struct<doc_id:{kind},_row:long>, lang string, {fields}")
         scored = written(
             numbered.join(totals, F.col("doc_id._row") == totals["_row"], "left")
             .withColumn("total", F.coalesce("joined", F.lit(0.0))).withColumn("doc_id", F.col("doc_id.doc_id")).drop("_row", "joined")
         )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed).withColumn("log_perplexity", F.when(F.col("symbols") > 0, -F.col("total") / F.col("symbols")))
-    quartiles = scored.filter("not base_failed").groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10_000).alias("q"))
-    low, mid, high = (F.col("q")[i] for i in range(3))
-    bands = quartiles.select(
-        "lang", (mid - widths[0] * F.greatest(mid - low, F.lit(least_spread))).alias("lower"), (mid + widths[1] * F.greatest(high - mid, F.lit(least_spread))).alias("upper")
-    )
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    return scored.join(F.broadcast(bands), "lang", "left").select(
+    found = F.broadcast(bands(scored.filter("not base_failed"), fence, least_spread))  # one row per language
+    return scored.join(found, "lang", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "log_perplexity",
     )
