@@ -122,6 +122,18 @@ def test_odd_pages(spark):
     assert main_text.extract_main_text(frame.limit(0)).collect() == []
 
 
+def test_a_head_without_an_end_tag_ends():
+    article = "<article><h1>Rain stops the harvest</h1><p>Farmers in the north have had to stop the harvest after two weeks of rain.</p></article>"
+    want = "Rain stops the harvest Farmers in the north have had to stop the harvest after two weeks of rain."
+    silent = "<title>Page title</title><meta charset=utf-8><link rel=x href=y><style>p {}</style><script>run()</script><template><p>Not shown to anyone</p></template>"
+    for head in ("<head>", "<head><head>", f"<head>{silent}", f"<head>{silent}\n<noscript>Turn scripts on"):
+        for end in ("<body>", "</head><body>", "<body class=page>\n"):
+            assert main_text.main_text(f"<html>{head}{end}{article}") == want
+    assert main_text.main_text(f"<html><head>{silent}{article}") == want
+    assert main_text.main_text(f"<html><head>{silent}<img src=a>{article}") == want
+    assert main_text.main_text(f"<html><head>{silent}Plain words that stand in no element of any kind") == "Plain words that stand in no element of any kind"
+
+
 def test_labelled_pages_are_told_apart():
     for page in main_text.LABELLED:
         events = main_text.events_of(page)

@@ -24,6 +24,8 @@ from .common import batches_of
 SILENT = {"script", "style", "noscript", "template", "head", "title", "textarea", "select", "option", "button", "iframe", "svg", "canvas", "object", "audio", "video", "map", "math", "datalist", "dialog"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "label"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+#: All that may stand in a head: its end tag can be left out, so any other start tag and any text end it.
+IN_HEAD = {"html", "title", "meta", "link", "base", "basefont", "bgsound", "style", "script", "noscript", "noframes", "template"}
 #: Elements whose names say where a word stands.
 PLACES = {"article", "main", "nav", "header", "footer", "aside", "form", "menu", "figure", "figcaption", "table", "ul", "ol", "dl", "blockquote", "pre", "h1", "h2", "h3", "h4", "p", "address", "fieldset"}
 #: Text directly in one of these is closed by the next of the same kind.
@@ -77,6 +79,8 @@ class Reader(HTMLParser):
         if tag not in INLINE:
             self.flush()
             self.events.append(("tag", tag))
+        if self.silent and tag not in IN_HEAD:
+            self._end_head(anywhere=tag == "body")
         if tag in VOID:
             return
         if tag in SELF_CLOSING:
@@ -95,6 +99,12 @@ class Reader(HTMLParser):
         self.silent += tag in SILENT
         self.links += tag == "a"
 
+    def _end_head(self, anywhere: bool = False) -> None:
+        """Closes an open head; with elements open inside it only if ``anywhere``, and never from inside a template."""
+        names = [tag for tag, _, _ in self.stack]
+        if names[-1:] == ["head"] or (anywhere and "head" in names and "template" not in names):
+            self._pop(names.index("head"))
+
     def _pop(self, upto: int) -> None:
         for tag, _, _ in self.stack[upto:]:
             self.silent -= tag in SILENT
@@ -113,6 +123,8 @@ class Reader(HTMLParser):
                 return  # an inline end tag does not close blocks
 
     def handle_data(self, data: str) -> None:
+        if self.silent and data.strip():
+            self._end_head()
         if not self.silent:
             self.text.append((data, self.links > 0))
 
