@@ -113,6 +113,22 @@ def test_recall_of_the_index(spark):
         assert sum(got.values()) >= 0.95 * sum(n for n, _ in want.values()) > 10_000
 
 
+def test_a_rare_length_beside_a_common_one(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    common = rng.normal(size=(300, 16))
+    rare = rng.normal(size=12) + 0.01 * rng.normal(size=(9, 12))  # the sample gives them one pivot, or none
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(common)] + [(1000 + i, v.tolist(), 0) for i, v in enumerate(rare)]
+    # One id for two vectors: each links with its own kind.
+    rows += [(2000, rare[0].tolist(), 1), (2000, common[0].tolist(), 1), (2001, rare[0].tolist(), 1), (1999, (common[0] * 1.001).tolist(), 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for plan in ({}, {"pivots": 16}):
+        got = pivot_dedup.near_duplicates(vectors, **plan).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in got if 1000 <= r.vec_id < 1999) == [(1000 + i, 8, 1000) for i in range(9)]
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in got if r.vec_id >= 1999) == [(1999, 1, 1999), (2000, 1, 1999), (2000, 1, 2000), (2001, 1, 2000)]
+
+
 def test_odd_pages(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "no tags at all, only words that run on"), (4, "u", "<p>unclosed <b>bold &amp; &eacute;&#233; <script>x<y</p>"), (None, "u", "<<>>&&<!-- <p>"), (5, "u", "<p>" + "w " * 200_000)]
     frame = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, text string")

@@ -60,7 +60,7 @@ def permutations(x: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
 
 def common_pivots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of pairs of descriptions: how many pivots they share, and the two smallest of those."""
-    same = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    same = (a[:, :, None] == b[:, None, :]).any(axis=2) & (a >= 0)
     count = same.sum(axis=1)
     first = same.argmax(axis=1)
     rest = same.copy()
@@ -70,10 +70,11 @@ def common_pivots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return count, a[at, first], a[at, second]
 
 
-def pairs_in_lists(lists: np.ndarray, block: np.ndarray, cut: np.ndarray, described: np.ndarray, key: np.ndarray, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def pairs_in_lists(lists: np.ndarray, block: np.ndarray, cut: np.ndarray, described: np.ndarray, key: np.ndarray, need: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of the pairs to look at in sorted ``lists``: enough common pivots, and this list is theirs.
 
-    In the list of two different blocks (``cut``) only pairs across them count.
+    ``need``: how many common pivots are enough for each; a list holds descriptions of one length. Negative numbers fill up
+    short descriptions and are no pivots. In the list of two different blocks (``cut``) only pairs across them count.
     """
     at, step = np.arange(len(lists)), 1
     while True:
@@ -85,7 +86,7 @@ def pairs_in_lists(lists: np.ndarray, block: np.ndarray, cut: np.ndarray, descri
             i = at[begin : begin + STEP_PAIRS]
             i = i[~cut[i] | (block[i] != block[i + step])]
             count, p, q = common_pivots(described[i], described[i + step])
-            mine = (count >= shared) & (key[i] == pair_key(p, q))
+            mine = (count >= need[i]) & (key[i] == pair_key(p, q))
             yield i[mine], i[mine] + step
         step += 1
 
@@ -146,12 +147,11 @@ def near_links(vectors: DataFrame, least: float, pivots: int, nearest: int, shar
         for k, o in enumerate(order.tolist()):
             c = np.frombuffer(codes[o], np.int16)
             matrix[k, : len(c)] = c
-            matrix[k, len(c) :] = -1 - k % 2  # never equal to a neighbour's filling
         take = lambda c: table.column(c).to_numpy()[order]
         return order, lists[order], take("mine"), take("cut"), matrix, take("key")
 
-    def need(matrix: np.ndarray) -> int:
-        return min(shared, matrix.shape[1])
+    def need(matrix: np.ndarray) -> np.ndarray:
+        return np.minimum(shared, (matrix >= 0).sum(axis=1))
 
     def retrieve(table: pa.Table) -> pa.Table:
         order, lists, mine, cuts, matrix, key = lists_of(table)
@@ -229,13 +229,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, pivots: int = 512,
     )
     classes = written(
         rows.filter(F.coalesce(valid, F.lit(False))).groupBy("label", "_h1", "_h2")
-        .agg(F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("weight"), F.first("embedding").alias("embedding"))
+        .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("weight"), F.first("embedding").alias("embedding"))
+        .withColumn("cid", F.monotonically_increasing_id())  # rows of one vec_id may be of several classes
     )
     links, pairs = near_links(classes.select("cid", "weight", "label", "embedding"), least, pivots, nearest, shared, block)
-    roots = components(pairs)
+    roots = written(components(pairs))
+    smallest = roots.join(classes.select("cid", "first_id"), F.col("node") == F.col("cid")).groupBy("root").agg(F.min("first_id").alias("smallest"))
+    of_node = roots.join(smallest, "root").select("node", "smallest")
     of_class = (
-        classes.select("label", "_h1", "_h2", "cid", "weight").join(links, "cid", "left").join(roots, F.col("cid") == F.col("node"), "left")
-        .select("label", "_h1", "_h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "cid").alias("component_id"))
+        classes.select("label", "_h1", "_h2", "cid", "first_id", "weight").join(links, "cid", "left").join(of_node, F.col("cid") == F.col("node"), "left")
+        .select("label", "_h1", "_h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("smallest", "first_id").alias("component_id"))
     )
     joined = rows.withColumn("_valid", F.coalesce(valid, F.lit(False))).drop("embedding").join(of_class.withColumn("_valid", F.lit(True)), ["label", "_h1", "_h2", "_valid"], "left")
     return joined.select(
