@@ -55,3 +55,46 @@ c AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) ||
   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
   CAST({_OUTSIDE} + sum({_AROUND} + length({_NAMED}) + length({_MARKED})) AS BIGINT) AS formatted_chars FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c"""
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEARCH = f"""WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS w FROM documents),
+g AS (SELECT count(*) AS big_n, sum(len(w)) AS big_l FROM t WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) AS s FROM benchmark),
+tf AS (SELECT doc_id, n, s, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS s FROM t) WHERE s IN (SELECT s FROM q) GROUP BY doc_id, n, s),
+w AS (SELECT s, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT s, count(*) AS df FROM tf GROUP BY s), g),
+p AS (SELECT doc_id, s, w * ((1000000000 * tf) // (1000 * tf + 20 * CAST(100 - 50 + ((50 * n * big_n) // big_l) AS BIGINT))) AS c FROM tf JOIN w USING (s), g),
+r AS (SELECT item_id, doc_id, CAST(sum(c) AS BIGINT) AS score FROM q JOIN p USING (s) GROUP BY item_id, doc_id HAVING sum(c) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r QUALIFY rank <= 50"""
+
+PASSAGES = f"""WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+i AS (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS o FROM b WHERE len(w) > 0),
+x AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, o, o + k - 1), ' ') AS s FROM i),
+k AS (SELECT DISTINCT k FROM x),
+d AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS o FROM t, k WHERE len(w) >= k),
+hit AS (SELECT DISTINCT doc_id, o, d.k, item_id FROM d JOIN x ON x.k = d.k AND x.s = array_to_string(list_slice(w, o, o + d.k - 1), ' ')),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(o, o + k)) AS p FROM hit) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+def _codes(rounds: int) -> str:
+    steps = ["""v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+    "p AS MATERIALIZED (SELECT vec_id, label, k, list_slice(e, k * len(e) // 4 + 1, (k + 1) * len(e) // 4) AS x FROM v, range(4) AS r(k))",
+    "c0 AS MATERIALIZED (SELECT k, row_number() OVER (PARTITION BY k ORDER BY vec_id) - 1 AS i, x FROM p QUALIFY i < 256)"]
+    for r in range(rounds + 1):
+        # All components are whole numbers, so these products are exact; distance * 256 + index takes the lower index of ties.
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, label, p.k, min(CAST(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x) AS BIGINT) * 256 + i) AS d
+  FROM p JOIN c{r} c ON c.k = p.k GROUP BY vec_id, label, p.k)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT k, i, list(y ORDER BY j) AS x FROM (SELECT k, i, j, floor(sum(y) / count(*)) AS y FROM (SELECT a.k, a.d % 256 AS i, unnest(p.x) AS y, generate_subscripts(p.x, 1) AS j
+  FROM a{r} a JOIN p ON p.vec_id = a.vec_id AND p.k = a.k) GROUP BY k, i, j) GROUP BY k, i),
+c{r + 1} AS MATERIALIZED (SELECT c.k, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON m.k = c.k AND m.i = c.i)""")
+    steps.append(f"s AS (SELECT vec_id, label, string_agg(printf('%02x', d % 256), '' ORDER BY k) AS code, CAST(sum(d // 256) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label)")
+    steps.append(f"b AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY k, i)) AS codebooks_sha256 FROM c{rounds})")
+    return f"WITH {', '.join(steps)}\nSELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM s, b"
+
+
+CODES = _codes(4)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import _WRITTEN, shared_folder
 
 #: Words of the contracts, as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,13 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once, compressed, to the folder all executors share, and read back.
 
-    Cuts lineage: a lost executor costs its running tasks only.
+    Cuts lineage: a lost executor costs its running tasks only. ``session.temporary_tables`` removes the table.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exactly(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns only, taken by position: others may have the same name in another case, or dots in theirs.
+
+    A name that no column has as it is written stands for the first that has it in another case.
+    """
+    columns = [c.lower() for c in df.columns]
+    places = [df.columns.index(n) if n in df.columns else columns.index(n.lower()) for n in names]
+    return df.toDF(*(f"_{i}" for i in range(len(columns)))).select(*(F.col(f"_{i}").alias(n) for i, n in zip(places, names, strict=True)))
+
+
 def whole_text(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from .common import table
 from . import checks
 from .chat_format import format_turns, read_back
+from .decontamination import contamination, find_passages
 from .language_id import predict_language
+from .lexical_search import search
 from .main_text import extract_main_text
 from .mixing import mix
 from .ngram_join import ngram_components
@@ -19,6 +21,7 @@ from .perplexity import score_quality
 from .pivot_dedup import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
+from .vector_codes import codebooks_digest, compress, with_label_errors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +93,19 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_perplexity_rules")
 def op7_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
+
+
+@query("op11_lexical_search", checks.SEARCH)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query("op12_decontamination", checks.PASSAGES)
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+
+
+@query("op13_vector_codes", checks.CODES)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+    return with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebooks_digest(books)).alias("codebooks_sha256"))
