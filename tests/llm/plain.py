@@ -95,3 +95,72 @@ def base_rules(text):
             seen.add(line)
     failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(covered), failed
+
+
+PIECE = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def pieces(text):
+    return PIECE.findall((text or "").translate(LOWER))
+
+
+def ranked(rows, items, k):
+    """Rows (item, rank, doc, score); ``rows`` (doc, text) may repeat, ``items`` (item, text) with one id are one."""
+    terms = [(d, pieces(t)) for d, t in rows]
+    n_docs, n_terms = sum(1 for _, ts in terms if ts), sum(len(ts) for _, ts in terms)
+    holders = Counter(t for _, ts in terms for t in set(ts))
+    asked = defaultdict(set)
+    for i, t in items:
+        asked[i].update(pieces(t))
+    out = []
+    for i, wanted in asked.items():
+        found = []
+        for d, ts in terms:
+            times, score = Counter(ts), 0
+            for t in wanted & set(ts):
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * holders[t] + 1)))
+                score += weight * (10**9 * times[t] // (1000 * times[t] + 20 * (50 + 50 * len(ts) * n_docs // n_terms)))
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        out += [(i, r, None if null else d, -s) for r, (s, null, d) in enumerate(sorted(found)[:k], 1)]
+    return out
+
+
+def passages(rows, items, window=10, shingle=3, least=100):
+    """Per row: (doc, words, spans, items)."""
+    wanted = set()
+    for i, t in items:
+        ws = pieces(t)
+        wanted.update((i, tuple(ws[o : o + window])) for o in range(max(1, len(ws) - window + 1)) if ws)
+    out = []
+    for d, t in rows:
+        ws, hit, held = pieces(t), set(), set()
+        for i, w in wanted:
+            size = min(shingle, len(w))
+            k = len(w) - size + 1
+            for o in range(len(ws) - len(w) + 1):
+                same = sum(tuple(ws[o + j : o + j + size]) == w[j : j + size] for j in range(k))
+                if 100 * same >= least * k and same:
+                    hit.update(range(o, o + len(w)))
+                    held.add(i)
+        spans = [p for p in sorted(hit) if p - 1 not in hit]
+        ends = [p + 1 for p in sorted(hit) if p + 1 not in hit]
+        out.append((d, len(ws), list(zip(spans, ends, strict=True)), held))
+    return out
+
+
+def coded(rows, parts, entries, rounds):
+    """vec_id -> (code, error) and codebooks; ids are distinct, vectors valid and of one length."""
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    step = len(next(iter(whole.values()))) // parts
+    cut = {i: [v[p * step : (p + 1) * step] for p in range(parts)] for i, v in whole.items()}
+    books = [[cut[i][p] for i in sorted(cut)[:entries]] for p in range(parts)]
+    nearest = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), i) for i, e in enumerate(book))
+    for _ in range(rounds):
+        for p, book in enumerate(books):
+            members = defaultdict(list)
+            for i in cut:
+                members[nearest(cut[i][p], book)[1]].append(cut[i][p])
+            books[p] = [[sum(c) // len(members[e]) for c in zip(*members[e], strict=True)] if members[e] else old for e, old in enumerate(book)]
+    found = {i: [nearest(cut[i][p], books[p]) for p in range(parts)] for i in cut}
+    return {i: ("".join(f"{e:02x}" for _, e in f), sum(d for d, _ in f)) for i, f in found.items()}, books
