@@ -143,7 +143,7 @@ def assign(data: Tree, book: Tree) -> tuple[list[tuple[int, np.ndarray, np.ndarr
     order = np.lexsort((book.order[r_edges[r]] if len(r) else r, q))
     q, r = q[order], r[order]
     first = np.flatnonzero(np.diff(q, prepend=-1))
-    for node, begin, end in zip(q[first].tolist(), first.tolist(), [*first[1:].tolist(), len(q)], strict=True):
+    for node, begin, end in zip(q[first].tolist(), first.tolist(), np.append(first, len(q))[1:].tolist(), strict=True):
         places = r_edges[r[begin:end]]  # in the order of entries, so that the first of equal distances is the lowest
         a, b = edges[node], edges[node + 1]
         nearest = distances(data.points[a:b], book.points[places]).argmin(axis=1)
