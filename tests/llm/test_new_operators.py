@@ -152,7 +152,7 @@ def test_whole_nodes_are_assigned_by_their_sums():
 
 def test_codes_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
-    good = [(i, [i * 0.25, -i * 0.1, i % 3, 0.001 * i], i % 2) for i in range(1, 300)] + [(3, [9.0, 9.0, 9.0, 9.0], None), (None, [0.5, 0.5, -0.0, 0.0], None), (500, [1.0, 1.0, 1.0, 1.0], None), (500, [1.0, 1.0, 1.0, 1.0], None)]
+    good = [(i, [i * 0.25, -i * 0.1, float(i % 3), 0.001 * i], i % 2) for i in range(1, 300)] + [(3, [9.0, 9.0, 9.0, 9.0], None), (None, [0.5, 0.5, -0.0, 0.0], None), (500, [1.0, 1.0, 1.0, 1.0], None), (500, [1.0, 1.0, 1.0, 1.0], None)]
     odd = [(600, None, 1), (601, [], 1), (602, [1.0, None, 1.0, 1.0], 1), (603, [nan, 1.0, 1.0, 1.0], 1), (604, [inf, 1.0, 1.0, 1.0], 0), (0, [1.0], 0), (-1, [1.0] * 8, 0), (605, [1e30, 0.0, 0.0, 0.0], 1)]
     vectors = spark.createDataFrame([(*r, "x", "y") for r in good + odd], "vec_id long, embedding array<double>, label int, code string, Label string").repartition(3)
     # Repeated and null ids: the first entries go by id, then components, null last.
