@@ -159,13 +159,54 @@ def test_merging_in_rounds(spark):
     assert parts == [(0, "s0\ns1"), (1, "s2\ns3"), (2, "s4")]
 
 
-def test_groups_in_parts_keep_their_order(spark):
-    rows = [(1, 0, 0, "z first\ny second"), (1, 0, 1, "a third"), (1, 1, 0, "next")]
-    parts = spark.createDataFrame(rows, "summarized_id long, group_no long, part long, text string")
-    assert summaries.merge_groups(parts).first().summarized_comment == "z first\ny second\na third\n\nnext"
-    chunks = spark.createDataFrame([(1, 0, i, f"s{i}") for i in range(9)], "summarized_id long, group_no long, chunk long, summary string")
-    one = summaries.merge_until_one(chunks, lambda d: d.withColumn("summary", F.regexp_replace("text", "\n", "+")), fan_in=2).collect()
-    assert [(r.part, r.text.replace("\n", "+")) for r in one] == [(0, "+".join(f"s{i}" for i in range(9)))]
+def test_one_answer_for_each_group(spark):
+    rows = [(1, 0, 0, "a"), (1, 1, 0, "z"), (1, 1, 1, "x"), (1, 1, 2, "y"), (2, 0, 0, "")] + [(3, 0, i, f"s{i}") for i in range(9)]
+    chunks = spark.createDataFrame(rows, "summarized_id long, group_no long, chunk long, summary string")
+    model = lambda d: d.withColumn("summary", F.concat(F.lit("S("), F.regexp_replace("text", "\n", "+"), F.lit(")")))
+    answers = lambda d, **o: {(r.summarized_id, r.group_no): r.summary for r in summaries.merge_until_one(d, model, **o).collect()}
+    nine = "+".join(f"s{i}" for i in range(9))
+    assert answers(chunks) == {(1, 0): "a", (1, 1): "S(z+x+y)", (2, 0): "", (3, 0): f"S({nine})"}
+    in_twos = answers(chunks, fan_in=2)
+    assert in_twos[1, 0] == "a" and in_twos[1, 1] == "S(S(z+x)+S(y))" and in_twos[3, 0].count("S(") == 5 + 3 + 2 + 1
+    for group in ([(1, 0)], [(1, 1)], [(1, 0), (2, 0)]):  # whatever else is in the batch
+        some = chunks.filter(" or ".join(f"(summarized_id = {i} and group_no = {g})" for i, g in group))
+        assert answers(some, fan_in=2) == {k: in_twos[k] for k in group}
+    assert answers(chunks.limit(0)) == {}
+    whole = summaries.merge_groups(summaries.merge_until_one(chunks, model)).filter("summarized_id = 1").first()
+    assert whole.summarized_comment == "a\n\nS(z+x+y)"
+
+
+def _groups(spark, *dates):
+    rows = [(i, 0, "a", "issue", "ui", "negative", start, end) for i, (start, end) in enumerate(dates)]
+    return spark.createDataFrame(rows, "summarized_id long, group_no long, title string, type string, category string, sentiment string, start_date string, end_date string")
+
+
+def _analysed(spark):
+    times = [dt.datetime(2023, 12, 31, 23, 59, 59), dt.datetime(2024, 9, 1), dt.datetime(2024, 9, 30, 12), dt.datetime(2024, 10, 1), dt.datetime(2024, 10, 1, 0, 0, 1), dt.datetime(2031, 1, 1), None]
+    return spark.createDataFrame([(i, t, "a", "issue", "ui", ("negative", "very negative")[i % 2], f"n{i}") for i, t in enumerate(times)], "comment_id long, created_at timestamp_ntz, title string, type string, category string, sentiment_result string, normalized_title string")
+
+
+def test_dates_of_jobs_are_compared_as_times(spark):
+    dates = [("2024-9-1", "2024-10-01"), ("2024-09-01", "2024-10-1 00:00:01"), ("2024-10-01", "2024-9-1"), ("-infinity", "2024-1-1"), ("2024-09-02", "infinity"), ("-infinity", "infinity"), (" ", "2024-12-31"), (None, "2024-12-31"), ("soon", "later"), ("2024-09-30 12:00", "2024-09-30 12:00")]
+    found = summaries.group_comments(_groups(spark, *dates), _analysed(spark)).collect()
+    got = {i: sorted(r.comment_id for r in found if r.summarized_id == i) for i in range(len(dates))}
+    assert got == {0: [1, 2, 3], 1: [1, 2, 3, 4], 2: [], 3: [0], 4: [2, 3, 4, 5], 5: [0, 1, 2, 3, 4, 5], 6: [], 7: [], 8: [], 9: [2]}
+
+
+def test_only_the_months_asked_for_are_read(spark, tmp_path):
+    rows = _analysed(spark).filter("created_at is not null").withColumn("month", F.expr("year(created_at) * 100 + month(created_at)"))
+    rows.write.partitionBy("month").parquet(str(tmp_path / "t"))
+    groups = _groups(spark, ("2024-9-1", "2024-9-30"))
+    found = summaries.group_comments(groups, spark.read.parquet(str(tmp_path / "t")), month="month")
+    assert [r.comment_id for r in found.collect()] == [1]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_category_prompts_hold_the_comment(spark):
+    analysis = spark.createDataFrame([(1, "issue", "card"), (2, None, None), (3, "issue", "card")], "comment_id long, type string, ai_title string")
+    comments = spark.createDataFrame([(1, " کارت  من\n"), (2, None)], "id long, description string")
+    got = {r.comment_id: r.prompt for r in summaries.category_prompt_rows(analysis, comments, "{comment_text}|{type}|{ai_title}").collect()}
+    assert got == {1: "کارت من|issue|card", 2: "||", 3: "|issue|card"}
 
 
 def test_copies_in_a_batch_stay_one_row(spark):
@@ -262,3 +303,10 @@ def test_last_analysis_of_a_comment_counts(spark):
     rows = rows.withColumns({c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in ("comment_id", "type")})
     out = {r.comment_id: r.type for r in merges.upsert_analysis(target, rows, seq="seq").collect()}
     assert out == {5: "b", 6: "c"}
+
+
+def test_rows_that_stay_without_an_answer_have_failed(spark):
+    model = lambda frame: frame.assign(reply=["" if i == 2 else "text" for i in frame["id"]])
+    rows = scoring.score_with(spark.range(4), model, "reply string", is_empty=lambda f: f["reply"] == "", failed="failed").collect()
+    assert {r.id: r.failed for r in rows} == {0: False, 1: False, 2: True, 3: False}
+    assert not any(r.failed for r in scoring.score_with(spark.range(4), model, "reply string", failed="failed").collect())

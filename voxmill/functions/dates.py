@@ -101,3 +101,8 @@ def parse_timestamp(text: Column) -> Column:
 def parse_timestamp_jalali(text: Column) -> Column:
     """Conversion form: the fraction stays and Jalali dates are understood."""
     return let(strip(text), lambda t: F.coalesce(_read(t, DASHED), _read_slashed(t), _read_jalali(t)))
+
+
+def month_number(time: Column) -> Column:
+    """year * 100 + month, the partition column of tables kept by month."""
+    return (F.year(time) * 100 + F.month(time)).cast("int")

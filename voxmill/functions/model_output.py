@@ -228,7 +228,7 @@ def complete_summary(
     )
 
 
-def fix_evidence(outliers: Column, inputs: Column) -> Column:
+def fix_evidence(outliers: Column, inputs: Column, length: int = EVIDENCE_LENGTH) -> Column:
     """Evidence that is no direct quote from ``inputs`` becomes the item's own text."""
     sources = F.filter(F.transform(inputs, strip), lambda s: s != "")
 
@@ -240,7 +240,7 @@ def fix_evidence(outliers: Column, inputs: Column) -> Column:
 
     def fixed(o: Column) -> Column:
         usable = (F.size(o["evidence"]) > 0) & ~F.exists(o["evidence"], bad)
-        own = F.array(F.substring(F.coalesce(o["item"], F.lit("")), 1, EVIDENCE_LENGTH))
+        own = F.array(F.substring(F.coalesce(o["item"], F.lit("")), 1, length))
         return o.withField("evidence", F.when(usable, o["evidence"]).otherwise(own))
 
     return F.transform(outliers, fixed)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 def score_with(
     df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str, *,
     batch_size: int = 1_000, retries: int = 2, is_empty: Callable[[pd.DataFrame], pd.Series] | None = None,
+    failed: str | None = None,
 ) -> DataFrame:
     """``df`` with the columns of ``schema`` that ``fn`` computes batch by batch.
 
@@ -19,7 +20,7 @@ def score_with(
     rows and the new columns; another number of rows is an error. A failing batch is tried again
     ``retries`` times; then the error ends the task, and Spark decides about running that again.
     ``is_empty`` says which scored rows hold no answer: those are asked again by themselves, ``retries``
-    times at most, and then stay empty.
+    times at most. Those that stay empty have failed: ``failed`` names a column that says so (false without ``is_empty``).
     """
     added = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = added.fieldNames()
@@ -48,6 +49,10 @@ def score_with(
                     again = attempt(part[empty].reset_index(drop=True))
                     scored = scored.astype(object)
                     scored.loc[empty, names] = again[names].to_numpy(dtype=object)
-                yield pd.concat([part, scored[names]], axis=1)
+                out = pd.concat([part, scored[names]], axis=1)
+                if failed:
+                    out[failed] = is_empty(scored).to_numpy(dtype=bool) if is_empty is not None else False
+                yield out
 
-    return df.mapInPandas(run, T.StructType([*df.schema.fields, *added.fields]))
+    mark = [T.StructField(failed, T.BooleanType())] if failed else []
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, *added.fields, *mark]))

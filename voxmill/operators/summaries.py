@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import feature_from_title, labels_of_group
+from ..functions.dates import month_number
 from ..functions.text import normalize_for_match
+from ..session import cut_lineage
 from .ordering import add_position
 
 CHUNK = 80
@@ -20,6 +22,7 @@ FAN_IN = 1_000  # chunk summaries that one row joins; more come as further parts
 JOB_MIN = 5  # a job needs more than 4 comments in each of its groups
 BATCH_MIN = 6  # a batch skips groups of 5 and fewer
 GROUP = ["title", "type", "category", "sentiment"]
+LONG_RANGE = 240  # months; a job that asks for more is joined by its group alone
 LISTS = {"titles": "title", "types": "type", "categories": "category", "sentiments": "sentiment"}
 MISSING_FILTER, TOO_FEW, NO_TEXT = (
     "One or more required filters are missing",
@@ -57,27 +60,41 @@ def map_sentiment(groups: DataFrame) -> DataFrame:
     return groups.withColumn("sentiment_result", F.explode(labels_of_group(F.col("sentiment"))))
 
 
-def group_comments(groups: DataFrame, analysis: DataFrame) -> DataFrame:
+def _moment(text: Column) -> Column:
+    """A date or time as the store reads it; null for what is none, far away for (minus) infinity."""
+    word = F.lower(F.trim(text))
+    far = {"infinity": "9999-12-31 23:59:59.999999", "-infinity": "0001-01-01"}
+    ends = [F.when(word == name, F.lit(value).cast("timestamp_ntz")) for name, value in far.items()]
+    return F.coalesce(*ends, F.trim(text).try_cast("timestamp_ntz"))
+
+
+def group_comments(groups: DataFrame, analysis: DataFrame, *, month: str | None = None) -> DataFrame:
     """Analysed comments of each group: (summarized_id, group_no, comment_id, normalized_title).
 
-    Only groups somebody asked for are joined, and a group that holds a large share of
-    the comments is split by the adaptive skew join.
+    A comment belongs to a group of its title, type, category and sentiment whose dates, compared as times, hold its own
+    (both ends included). Dates may be written with or without zeros and a time; ``infinity`` and ``-infinity`` are open ends; a
+    null, a blank or anything else that is no date holds nothing.
+
+    Groups are dealt to the months they ask for and joined on group and month; the exact times are compared after. ``month`` names
+    a column of ``analysis`` with year * 100 + month, as a table partitioned by it has: then only the partitions that somebody asks for are
+    read. Without it the month is derived. Ranges of more than LONG_RANGE months are joined on the group alone.
     """
-    wanted = map_sentiment(groups).select(
-        "summarized_id", "group_no", "title", "type", "category", "sentiment_result",
-        F.col("start_date").cast("timestamp_ntz").alias("_from"), F.col("end_date").cast("timestamp_ntz").alias("_to"),
-    )
-    found = analysis.select("comment_id", "created_at", "title", "type", "category", "sentiment_result", "normalized_title")
-    # The asked dates reach the scan: a semi-open month list would need one column more in the table.
-    bounds = groups.agg(F.min("start_date").alias("_least"), F.max("end_date").alias("_most")).first()
-    if bounds["_least"] is not None:
-        found = found.filter(F.col("created_at").between(
-            F.lit(str(bounds["_least"])).cast("timestamp_ntz"), F.lit(str(bounds["_most"])).cast("timestamp_ntz")
-        ))
-    joined = found.join(wanted, ["title", "type", "category", "sentiment_result"])
-    return joined.filter(F.col("created_at").between(F.col("_from"), F.col("_to"))).select(
-        "summarized_id", "group_no", "comment_id", "normalized_title"
+    keys = ["title", "type", "category", "sentiment_result"]
+    asked = map_sentiment(groups).select(
+        "summarized_id", "group_no", *keys, _moment(F.col("start_date")).alias("_from"), _moment(F.col("end_date")).alias("_to"),
+    ).filter(F.col("_from") <= F.col("_to"))
+    index = lambda at: F.year(at) * 12 + F.month(at) - 1
+    first, last = index(F.col("_from")), index(F.col("_to"))
+    of_month = asked.filter(last - first < LONG_RANGE).withColumn("_index", F.explode(F.sequence(first, last)))
+    of_month = of_month.withColumn("_month", (F.floor(F.col("_index") / 12) * 100 + F.col("_index") % 12 + 1).cast("int"))
+    found = analysis.select(
+        "comment_id", "created_at", *keys, "normalized_title", (F.col(month) if month else month_number(F.col("created_at"))).alias("_month")
     )
+    inside = F.col("created_at").between(F.col("_from"), F.col("_to"))
+    names = ["summarized_id", "group_no", "comment_id", "normalized_title"]
+    near = found.join(of_month, [*keys, "_month"]).filter(inside).select(*names)
+    far = found.join(asked.filter(last - first >= LONG_RANGE), keys).filter(inside).select(*names)
+    return near.unionByName(far)
 
 
 def group_counts(analysis: DataFrame, min_count: int = 1) -> DataFrame:
@@ -162,28 +179,38 @@ def merge_chunks(summaries: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
 
 def merge_until_one(summaries: DataFrame, summarise: Callable[[DataFrame], DataFrame], fan_in: int = FAN_IN) -> DataFrame:
-    """``merge_chunks`` again and again until every group has one part.
+    """(summarized_id, group_no, summary): one answer for each group.
 
-    ``summarise`` gets rows with ``text`` and returns them with ``summary``, the text's own summary. Each
-    round leaves a ``fan_in``-th of the parts, so the rounds are known from the largest group.
+    A group with one chunk keeps that chunk's summary. The summaries of several chunks are joined and summarised once more; beyond
+    ``fan_in`` of them in parts, whose answers are joined and summarised again. A group that has its answer leaves the loop, so what
+    becomes of it does not depend on the others.
+
+    ``summarise`` gets rows with ``text`` and returns them with ``summary``, the text's own summary. Each round is written once, so
+    no text is put to it twice.
     """
     if fan_in < 2:
         raise ValueError("fan_in of one never ends")
-    merged, most = merge_chunks(summaries, fan_in), summaries.agg(F.max("chunk")).first()[0] or 0
-    while (most := most // fan_in) > 0:
-        again = summarise(merged).select("summarized_id", "group_no", F.col("part").alias("chunk"), "summary")
-        merged = merge_chunks(again, fan_in)
-    return merged
+    keys = ["summarized_id", "group_no"]
 
+    def counted(rows: DataFrame) -> DataFrame:
+        return cut_lineage(rows.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_chunks")), keys))
 
-def merge_groups(group_summaries: DataFrame) -> DataFrame:
-    """(summarized_id, summarized_comment): group summaries in loop order, blank line between.
+    rows = counted(summaries.select(*keys, "chunk", "summary"))
+    done = [rows.filter("_chunks = 1")]
+    while not (several := rows.filter("_chunks > 1")).isEmpty():
+        answers = summarise(merge_chunks(several, fan_in)).select(*keys, F.col("part").alias("chunk"), "summary")
+        rows = counted(cut_lineage(answers))
+        done.append(rows.filter("_chunks = 1"))
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return whole.select(*keys, "summary")
 
-    Parts of one group follow each other in order, a line break between.
-    """
-    joined = lambda key, column: F.transform(F.sort_array(F.collect_list(F.struct(key, column))), lambda r: r[column])
-    groups = group_summaries.groupBy("summarized_id", "group_no").agg(F.array_join(joined("part", "text"), "\n").alias("text"))
-    return groups.groupBy("summarized_id").agg(F.array_join(joined("group_no", "text"), "\n\n").alias("summarized_comment"))
+
+def merge_groups(answers: DataFrame) -> DataFrame:
+    """(summarized_id, summarized_comment): the answers (``summary``) of a job's groups in loop order, blank line between."""
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("group_no", "summary"))), lambda r: r["summary"])
+    return answers.groupBy("summarized_id").agg(F.array_join(texts, "\n\n").alias("summarized_comment"))
 
 
 def fill_template(template: str, values: dict[str, Column]) -> Column:
@@ -201,10 +228,14 @@ def fill_template(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
-def category_prompt_rows(analysis: DataFrame, template: str) -> DataFrame:
-    """(comment_id, prompt): the category prompt from type and ai_title."""
-    values = {name: F.col(name) for name in ("type", "ai_title")}
-    return analysis.select("comment_id", fill_template(template, values).alias("prompt"))
+def category_prompt_rows(
+    analysis: DataFrame, comments: DataFrame, template: str, *, id: str = "id", text: str = "description"
+) -> DataFrame:
+    """(comment_id, prompt): the category prompt from the comment in match form (``comment_text``), type and ai_title."""
+    texts = comments.select(F.col(id).alias("comment_id"), F.col(text).alias("_text"))
+    values = {"comment_text": normalize_for_match(F.col("_text"))} | {name: F.col(name) for name in ("type", "ai_title")}
+    asked = analysis.select("comment_id", "type", "ai_title").join(texts, "comment_id", "left")
+    return asked.select("comment_id", fill_template(template, values).alias("prompt"))
 
 
 def summary_prompt_rows(chunks: DataFrame, groups: DataFrame, template: str) -> DataFrame:

@@ -123,9 +123,9 @@ def q_map_sentiment(spark, sf_dir):
 FOUND = LABELLED + """, found AS (SELECT w.summarized_id, w.group_no, a.comment_id, a.normalized_title FROM wanted w JOIN analysis_v a
   ON a.title = w.title AND a.type = w.type AND a.category = w.category AND a.sentiment_result = w.sentiment_result
   AND a.created_at BETWEEN CAST(w.start_date AS TIMESTAMP) AND CAST(w.end_date AS TIMESTAMP)),
-chunks AS (SELECT summarized_id, group_no, (rn - 1) // 80 AS chunk, string_agg(normalized_title, chr(10) ORDER BY rn) AS texts
-  FROM (SELECT *, row_number() OVER (PARTITION BY summarized_id, group_no ORDER BY comment_id) AS rn FROM found WHERE coalesce(normalized_title, '') <> '')
-  GROUP BY summarized_id, group_no, (rn - 1) // 80),
+placed AS (SELECT *, row_number() OVER (PARTITION BY summarized_id, group_no ORDER BY comment_id) AS rn FROM found WHERE coalesce(normalized_title, '') <> ''),
+chunks AS (SELECT summarized_id, group_no, (rn - 1) // 80 AS chunk, string_agg(normalized_title, chr(10) ORDER BY rn) AS texts FROM placed GROUP BY summarized_id, group_no, (rn - 1) // 80),
+few AS (SELECT summarized_id, group_no, (rn - 1) // 10 AS chunk, string_agg(normalized_title, chr(10) ORDER BY rn) AS texts FROM placed GROUP BY summarized_id, group_no, (rn - 1) // 10),
 sizes AS (SELECT g.summarized_id, g.group_no, count(f.comment_id) AS comments,
   count(f.comment_id) FILTER (WHERE coalesce(normalized_title, '') <> '') AS usable FROM groups_v g LEFT JOIN found f USING (summarized_id, group_no)
   GROUP BY g.summarized_id, g.group_no),
@@ -138,7 +138,7 @@ done AS (SELECT summarized_id, CASE WHEN reason IS NULL THEN 'completed' ELSE 'f
 
 def _found(spark, sf_dir):
     groups = summaries.expand_jobs(jobs(spark, sf_dir))
-    return groups, summaries.group_comments(groups, analysis(spark, sf_dir))
+    return groups, cut_lineage(summaries.group_comments(groups, analysis(spark, sf_dir)))
 
 
 @query("group_texts", with_views(FOUND + " SELECT * FROM chunks", "jobs_v", "analysis_v"))
@@ -152,33 +152,46 @@ def q_job_status(spark, sf_dir):
     return summaries.job_status(jobs(spark, sf_dir), summaries.group_sizes(groups, found))
 
 
-# The summary of a chunk is a model's answer; here it is the first line and the length.
-SQL_SUMMARY = "split_part(texts, chr(10), 1) || ' (' || CAST(length(texts) AS VARCHAR) || ')'"
-SQL_MERGED = FOUND + f""", merged AS (SELECT summarized_id, group_no, chunk // 2 AS part, count(*) AS chunks, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text
-FROM chunks GROUP BY summarized_id, group_no, chunk // 2),
-whole AS (SELECT summarized_id, group_no, string_agg({SQL_SUMMARY}, chr(10) ORDER BY chunk) AS text FROM chunks GROUP BY summarized_id, group_no)"""
+FEW = 10  # texts in a chunk, so that groups of one and of many chunks occur
+# A summary is a model's answer; here it is the first line and the length of what it is asked about.
+def _answered(rows, text):
+    return rows.withColumn("summary", F.concat(F.split_part(text, F.lit("\n"), F.lit(1)), F.lit(" ("), F.length(text).cast("string"), F.lit(")")))
 
 
-def _merged(spark, sf_dir):
-    chunks = summaries.chunk_texts(_found(spark, sf_dir)[1])
-    answer = F.concat(F.split_part("texts", F.lit("\n"), F.lit(1)), F.lit(" ("), F.length("texts").cast("string"), F.lit(")"))
-    return summaries.merge_chunks(chunks.withColumn("summary", answer), fan_in=2)
+def sql_answer(text):
+    return f"split_part({text}, chr(10), 1) || ' (' || CAST(length({text}) AS VARCHAR) || ')'"
+
+
+SQL_MERGED = FOUND + f""", merged AS (SELECT summarized_id, group_no, chunk // 2 AS part, count(*) AS chunks, string_agg({sql_answer('texts')}, chr(10) ORDER BY chunk) AS text
+FROM few GROUP BY summarized_id, group_no, chunk // 2)"""
+# One chunk keeps its summary, those of several are summarised once more.
+SQL_ANSWERS = FOUND + f""", joined AS (SELECT summarized_id, group_no, count(*) AS chunks, string_agg({sql_answer('texts')}, chr(10) ORDER BY chunk) AS text FROM few GROUP BY summarized_id, group_no),
+answers AS (SELECT summarized_id, group_no, CASE WHEN chunks = 1 THEN text ELSE {sql_answer('text')} END AS summary FROM joined)"""
 
 
 @query("merge_chunks", with_views(SQL_MERGED + " SELECT * FROM merged", "jobs_v", "analysis_v"))
 def q_merge_chunks(spark, sf_dir):
-    return _merged(spark, sf_dir)
+    return summaries.merge_chunks(_answered(summaries.chunk_texts(_found(spark, sf_dir)[1], FEW), F.col("texts")), fan_in=2)
+
+
+def _answers(found):
+    return summaries.merge_until_one(_answered(summaries.chunk_texts(found, FEW), F.col("texts")), lambda rows: _answered(rows, F.col("text")))
+
+
+@query("merge_until_one", with_views(SQL_ANSWERS + " SELECT * FROM answers", "jobs_v", "analysis_v"))
+def q_merge_until_one(spark, sf_dir):
+    return _answers(_found(spark, sf_dir)[1])
 
 
 @query("finish_jobs", with_views(
-    SQL_MERGED + """, texts AS (SELECT summarized_id, string_agg(text, chr(10) || chr(10) ORDER BY group_no) AS text FROM whole GROUP BY summarized_id)
+    SQL_ANSWERS + """, texts AS (SELECT summarized_id, string_agg(summary, chr(10) || chr(10) ORDER BY group_no) AS text FROM answers GROUP BY summarized_id)
 SELECT summarized_id, status, comment_count, CASE WHEN status = 'completed' THEN text END AS summarized_comment, 1.5 AS duration_seconds, 'm' AS model
 FROM done LEFT JOIN texts USING (summarized_id)""", "jobs_v", "analysis_v"))
 def q_finish_jobs(spark, sf_dir):
     groups, found = _found(spark, sf_dir)
     waiting = jobs(spark, sf_dir)
     status = summaries.job_status(waiting, summaries.group_sizes(groups, found))
-    results = status.join(summaries.merge_groups(_merged(spark, sf_dir)), "summarized_id", "left").select(
+    results = status.join(summaries.merge_groups(_answers(found)), "summarized_id", "left").select(
         "summarized_id", F.when(F.col("status") == "completed", F.col("summarized_comment")).alias("summarized_comment"),
         "comment_count", "status", F.lit("1.50").cast("decimal(10,2)").alias("duration_seconds"), F.lit("m").alias("model"))
     done = merges.finish_jobs(waiting, results)
@@ -214,14 +227,15 @@ def q_prompt_rows(spark, sf_dir):
     return summaries.prompt_rows(comments(spark, sf_dir), TEMPLATE)
 
 
-CATEGORY_TEMPLATE = "Type: {type}\nFeature: {ai_title}\nCategory?"
+CATEGORY_TEMPLATE = "Comment:\n{comment_text}\nType: {type}\nFeature: {ai_title}\nCategory?"
 SUMMARY_TEMPLATE = "{title} / {type} / {category} / {sentiment}\n{texts}\n---"
 
 
 @query("category_prompt_rows", with_views(
-    "SELECT comment_id, 'Type: ' || coalesce(type, '') || chr(10) || 'Feature: ' || coalesce(ai_title, '') || chr(10) || 'Category?' AS prompt FROM analysis_v", "analysis_v"))
+    f"""SELECT comment_id, 'Comment:' || chr(10) || {sq.match_form('description')} || chr(10) || 'Type: ' || coalesce(type, '') || chr(10) || 'Feature: ' ||
+coalesce(ai_title, '') || chr(10) || 'Category?' AS prompt FROM analysis_v JOIN comments_v ON id = comment_id""", "analysis_v", "comments_v"))
 def q_category_prompt_rows(spark, sf_dir):
-    return summaries.category_prompt_rows(analysis(spark, sf_dir), CATEGORY_TEMPLATE)
+    return summaries.category_prompt_rows(analysis(spark, sf_dir), comments(spark, sf_dir), CATEGORY_TEMPLATE)
 
 
 @query("summary_prompt_rows", with_views(

@@ -41,9 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(scan: DataFrame) -> DataFrame:
     """A scan in at least as many partitions as there are cores: the tables given are
-    single small files. A large scan has more splits than that and stays as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    single small files. A table of as many files stays as it is."""
+    cores, files = scan.sparkSession.sparkContext.defaultParallelism, len(scan.inputFiles())
+    return scan if files >= cores else scan.repartition(cores)
 
 
 def pick(values: list, index: Column) -> Column:
@@ -186,8 +186,8 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(n % 7 == 3, none).otherwise(F.array(pick(lx.TYPES, n % 6))).alias("types"),
             F.when(n % 7 == 4, None).otherwise(F.array(pick(lx.CATEGORIES, n % 6))).alias("categories"),
             F.when(n % 8 == 7, F.array(F.lit("unheard"))).otherwise(two(JOB_SENTIMENTS[:3], n)).alias("sentiments"),
-            F.lit("2024-01-01").alias("start_date"),
-            F.when(n % 11 == 5, "").when(n % 5 == 1, "2024-01-12").otherwise("2024-02-01").alias("end_date"),
+            F.when(n % 4 == 1, "2024-1-2").when(n % 4 == 3, "-infinity").otherwise("2024-01-01").alias("start_date"),
+            F.when(n % 11 == 5, "").when(n % 5 == 1, "2024-1-12").when(n % 5 == 2, "infinity").when(n % 5 == 3, "2024-01-9 12:30").otherwise("2024-02-01").alias("end_date"),
         ).alias("filter"),
         F.lit(None).cast("string").alias("summarized_comment"),
         F.lit(None).cast("long").alias("comment_count"),
@@ -206,8 +206,9 @@ SQL_JOBS = f"""jobs_v AS (
          CASE WHEN n_nationkey % 7 = 3 THEN [] ELSE [{sql_pick(lx.TYPES, 'n_nationkey % 6')}] END AS types,
          CASE WHEN n_nationkey % 7 = 4 THEN NULL ELSE [{sql_pick(lx.CATEGORIES, 'n_nationkey % 6')}] END AS categories,
          CASE WHEN n_nationkey % 8 = 7 THEN ['unheard'] ELSE {_sql_two(JOB_SENTIMENTS[:3], 'n_nationkey')} END AS sentiments,
-         '2024-01-01' AS start_date,
-         CASE WHEN n_nationkey % 11 = 5 THEN '' WHEN n_nationkey % 5 = 1 THEN '2024-01-12' ELSE '2024-02-01' END AS end_date
+         CASE n_nationkey % 4 WHEN 1 THEN '2024-1-2' WHEN 3 THEN '-infinity' ELSE '2024-01-01' END AS start_date,
+         CASE WHEN n_nationkey % 11 = 5 THEN '' WHEN n_nationkey % 5 = 1 THEN '2024-1-12' WHEN n_nationkey % 5 = 2 THEN 'infinity'
+           WHEN n_nationkey % 5 = 3 THEN '2024-01-9 12:30' ELSE '2024-02-01' END AS end_date
   FROM nation),
 ready_v AS (SELECT * FROM jobs_v WHERE len(titles) > 0 AND len(coalesce(types, [])) > 0
   AND len(coalesce(categories, [])) > 0 AND len(sentiments) > 0 AND start_date <> '' AND end_date <> ''),
