@@ -182,7 +182,7 @@ def _groups(spark, *dates):
 
 
 def _analysed(spark):
-    times = [dt.datetime(2023, 12, 31, 23, 59, 59), dt.datetime(2024, 9, 1), dt.datetime(2024, 9, 30, 12), dt.datetime(2024, 10, 1), dt.datetime(2024, 10, 1, 0, 0, 1), dt.datetime(2031, 1, 1), None]
+    times = [dt.datetime(2023, 12, 31, 23, 59, 59), dt.datetime(2024, 9, 1), dt.datetime(2024, 9, 30, 12), dt.datetime(2024, 10, 1), dt.datetime(2024, 10, 1, 0, 0, 1), dt.datetime(2131, 1, 1), None]
     return spark.createDataFrame([(i, t, "a", "issue", "ui", ("negative", "very negative")[i % 2], f"n{i}") for i, t in enumerate(times)], "comment_id long, created_at timestamp_ntz, title string, type string, category string, sentiment_result string, normalized_title string")
 
 

@@ -22,7 +22,7 @@ FAN_IN = 1_000  # chunk summaries that one row joins; more come as further parts
 JOB_MIN = 5  # a job needs more than 4 comments in each of its groups
 BATCH_MIN = 6  # a batch skips groups of 5 and fewer
 GROUP = ["title", "type", "category", "sentiment"]
-LONG_RANGE = 240  # months; a job that asks for more is joined by its group alone
+MONTHS = (197001, 210012)  # months (year * 100 + month) that are told apart; all before, and all after, are one
 LISTS = {"titles": "title", "types": "type", "categories": "category", "sentiments": "sentiment"}
 MISSING_FILTER, TOO_FEW, NO_TEXT = (
     "One or more required filters are missing",
@@ -77,24 +77,21 @@ def group_comments(groups: DataFrame, analysis: DataFrame, *, month: str | None
 
     Groups are dealt to the months they ask for and joined on group and month; the exact times are compared after. ``month`` names
     a column of ``analysis`` with year * 100 + month, as a table partitioned by it has: then only the partitions that somebody asks for are
-    read. Without it the month is derived. Ranges of more than LONG_RANGE months are joined on the group alone.
+    read. Without it the month is derived. Times before and after MONTHS are kept with its first and last, so a range has at most as many months.
     """
     keys = ["title", "type", "category", "sentiment_result"]
     asked = map_sentiment(groups).select(
         "summarized_id", "group_no", *keys, _moment(F.col("start_date")).alias("_from"), _moment(F.col("end_date")).alias("_to"),
     ).filter(F.col("_from") <= F.col("_to"))
-    index = lambda at: F.year(at) * 12 + F.month(at) - 1
-    first, last = index(F.col("_from")), index(F.col("_to"))
-    of_month = asked.filter(last - first < LONG_RANGE).withColumn("_index", F.explode(F.sequence(first, last)))
-    of_month = of_month.withColumn("_month", (F.floor(F.col("_index") / 12) * 100 + F.col("_index") % 12 + 1).cast("int"))
+    bin_of = lambda number: F.greatest(F.lit(MONTHS[0]), F.least(F.lit(MONTHS[1]), number))
+    index = lambda at: (F.floor(bin_of(month_number(at)) / 100) * 12 + bin_of(month_number(at)) % 100 - 1).cast("int")
+    asked = asked.withColumn("_index", F.explode(F.sequence(index(F.col("_from")), index(F.col("_to")))))
+    asked = asked.withColumn("_month", (F.floor(F.col("_index") / 12) * 100 + F.col("_index") % 12 + 1).cast("int"))
     found = analysis.select(
-        "comment_id", "created_at", *keys, "normalized_title", (F.col(month) if month else month_number(F.col("created_at"))).alias("_month")
+        "comment_id", "created_at", *keys, "normalized_title", bin_of(F.col(month) if month else month_number(F.col("created_at"))).alias("_month")
     )
-    inside = F.col("created_at").between(F.col("_from"), F.col("_to"))
-    names = ["summarized_id", "group_no", "comment_id", "normalized_title"]
-    near = found.join(of_month, [*keys, "_month"]).filter(inside).select(*names)
-    far = found.join(asked.filter(last - first >= LONG_RANGE), keys).filter(inside).select(*names)
-    return near.unionByName(far)
+    joined = found.join(asked, [*keys, "_month"])
+    return joined.filter(F.col("created_at").between(F.col("_from"), F.col("_to"))).select("summarized_id", "group_no", "comment_id", "normalized_title")
 
 
 def group_counts(analysis: DataFrame, min_count: int = 1) -> DataFrame:
