@@ -201,6 +201,11 @@ def test_nothing_is_dropped_from_the_middle(block):
         assert main_text.main_text(page.format(ARTICLE.format(block))) == WANT.format(want)
 
 
+def test_very_deep_pages():
+    page = "<div class=x>some words that stand in a row here " * 20_000
+    assert main_text.main_text(page) == " ".join(["some words that stand in a row here"] * 20_000)
+
+
 def test_best_run():
     assert main_text.best_run([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert main_text.best_run([-1, -2]) == (0, 0)

@@ -48,6 +48,8 @@ _WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\u0e00-\u0e7f]")
 RUNNING = 8
 #: Outside a part that is left out, so many running words must remain, and this share of its own.
 REMAINS, REMAINING_SHARE = 20, 0.2
+#: Elements nested deeper than this count as part of the one around them, as in browsers.
+DEEPEST = 512
 
 # Labelled pages (fixed values). Elements marked data-main hold the article; data-not marks what inside them does not belong to it.
 LABELLED = [
@@ -139,12 +141,15 @@ def made_pages(n: int) -> Iterator[str]:
 
 @dataclass
 class Element:
-    """An open or closed element that is not inline. ``label`` is that of training pages."""
+    """An element that is not inline. ``part``: the innermost part of the page it is in or is; ``label``: that of training pages; ``last``: the last element in it."""
 
     tag: str
     names: frozenset
     parent: int
-    label: bool | None = None
+    part: str = "none"
+    label: bool = False
+    depth: int = 0
+    last: int = 0
     words: int = 0
     linked: int = 0
     running: int = 0
@@ -187,6 +192,17 @@ class Page:
             yield place
             place = self.elements[place].parent
 
+    def holds(self, i: int, j: int) -> bool:
+        """Whether element ``j`` is element ``i`` or in it. Elements are numbered as they begin."""
+        return i <= j <= self.elements[i].last
+
+    def sums(self, of_place: dict[int, int]) -> list[int]:
+        """For each element, the sum over itself and all in it."""
+        out = [of_place.get(i, 0) for i in range(len(self.elements))]
+        for i in range(len(out) - 1, 0, -1):
+            out[self.elements[i].parent] += out[i]
+        return out
+
 
 class Reader(HTMLParser):
     """Reads a page as browsers do where tags are missing."""
@@ -208,8 +224,7 @@ class Reader(HTMLParser):
         if whole.strip():
             pieces = [(count_words(t), link) for t, link in self.text if t.strip()]
             block = Block(" ".join(whole.split()), self.place(), pieces)
-            labels = [self.page.elements[i].label for i in self.page.around(block.place)]
-            block.label = next((x for x in labels if x is not None), False)
+            block.label = self.page.elements[block.place].label
             for _, link in pieces:
                 self.first_block.setdefault(link, len(self.page.events))
             self.page.events.append(block)
@@ -236,12 +251,14 @@ class Reader(HTMLParser):
             if "href" in named:
                 self.anchors += 1
                 self.anchor = self.anchors
-        if tag in INLINE:
+        if tag in INLINE or self.page.elements[self.place()].depth >= DEEPEST:
             self.stack.append((tag, self.place()))
         else:
             names = frozenset(w.lower() for k in ("class", "id", "role") for w in _NAMES.findall(named.get(k, "")))
-            label = True if "data-main" in named else False if "data-not" in named else None
-            self.page.elements.append(Element(tag, frozenset() if tag in ("html", "body") else names, self.place(), label))
+            around = self.page.elements[self.place()]
+            label = "data-main" in named or (around.label and "data-not" not in named)
+            part = around.part if tag not in PARTS else f"article {tag}" if tag in ("header", "footer") and around.part.startswith("article") else tag
+            self.page.elements.append(Element(tag, frozenset() if tag in ("html", "body") else names, self.place(), part, label, around.depth + 1))
             self.stack.append((tag, len(self.page.elements) - 1))
         self.silent += tag in SILENT
 
@@ -287,11 +304,16 @@ class Reader(HTMLParser):
             # An anchor without an end tag links the block it begins in, no more.
             block.linked = sum(n for n, link in block.pieces if link >= 0 and (link in self.closed or self.first_block[link] == at))
             block.sentence = bool(_SENTENCE.search(block.text))
-            running = block.words - block.linked if block.words >= RUNNING else 0
-            for i in self.page.around(block.place):
-                e = self.page.elements[i]
-                e.words, e.linked, e.running, e.blocks = e.words + block.words, e.linked + block.linked, e.running + running, e.blocks + 1
-                e.sentences, e.main = e.sentences + block.sentence, e.main + (block.words if block.label else 0)
+            e = self.page.elements[block.place]
+            e.words, e.linked, e.blocks = e.words + block.words, e.linked + block.linked, e.blocks + 1
+            e.running += block.words - block.linked if block.words >= RUNNING else 0
+            e.sentences, e.main = e.sentences + block.sentence, e.main + (block.words if block.label else 0)
+        for i in range(len(self.page.elements) - 1, 0, -1):  # what is in an element is in those around it
+            e, around = self.page.elements[i], self.page.elements[self.page.elements[i].parent]
+            e.last = max(e.last, i)
+            around.last = max(around.last, e.last)
+            around.words, around.linked, around.blocks = around.words + e.words, around.linked + e.linked, around.blocks + e.blocks
+            around.running, around.sentences, around.main = around.running + e.running, around.sentences + e.sentences, around.main + e.main
         runs = [b.words >= RUNNING and 3 * b.linked <= b.words for b in blocks]
         for i, block in enumerate(blocks):
             block.near = sum(runs[max(0, i - 1) : i] + runs[i + 1 : i + 2])
@@ -316,17 +338,9 @@ def _share(part: int, whole: int) -> str:
     return "none" if not part else "some" if share <= 0.3 else "half" if share <= 0.7 else "all"
 
 
-def part_of(page: Page, place: int) -> str:
-    """The innermost part of the page around an element; a header or footer of an article is part of it."""
-    found = [page.elements[i].tag for i in page.around(place) if page.elements[i].tag in PARTS]
-    if found[:1] in (["header"], ["footer"]) and "article" in found:
-        return "article " + found[0]
-    return found[0] if found else "none"
-
-
 def block_features(page: Page, block: Block) -> list[str]:
     """Running text is told by its length and end, all else by its element, links and neighbours too."""
-    size, part = min(block.words.bit_length(), 6), part_of(page, block.place)
+    size, part = min(block.words.bit_length(), 6), page.elements[block.place].part
     if block.words >= RUNNING and block.linked <= 0.3 * block.words:
         return ["running", f"running {size}", f"running, sentence {block.sentence}", f"running, part {part}"]
     kind = KINDS.get(page.elements[block.place].tag, "other")
@@ -336,7 +350,7 @@ def block_features(page: Page, block: Block) -> list[str]:
 
 def element_features(page: Page, place: int) -> list[str]:
     element = page.elements[place]
-    tag = part_of(page, place) if element.tag in PARTS else "other"
+    tag = element.part if element.tag in PARTS else "other"
     size = min((element.words // max(element.blocks, 1)).bit_length(), 5)
     return [
         *(f"name {n}" for n in sorted(element.names)), f"tag {tag}", f"size {size}",
@@ -434,7 +448,12 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 def left_out(page: Page, model: Weights) -> set[int]:
     """Elements that are boilerplate of their own, with all that is in them."""
     said = {i: model.element(page, i) for i, e in enumerate(page.elements) if i and e.words and (e.names or e.tag in PARTS) and KINDS.get(e.tag) not in ("title", "heading")}
-    parts = [i for i, e in enumerate(page.elements) if e.tag in ("article", "main") and not any(page.elements[j].tag in ("article", "main") for j in page.around(e.parent))]
+    parts, beyond = [], -1  # outermost article and main parts
+    for i, e in enumerate(page.elements):
+        if e.tag in ("article", "main") and i > beyond:
+            parts.append(i)
+            beyond = e.last
+    parts.sort(key=lambda i: -page.elements[i].words)
     for i in parts:  # the article or main part of a page is not its boilerplate, only one inside another can be
         said.pop(i, None)
     out: set[int] = set()
@@ -445,7 +464,7 @@ def left_out(page: Page, model: Weights) -> set[int]:
             continue
         own = page.elements[i].running - inside[i]
         least = 1 if page.elements[i].tag in PARTS or len(parts) == 1 else RUNNING  # several may be teasers
-        elsewhere = any(page.elements[j].words >= least and j not in page.around(i) and i not in page.around(j) for j in parts)
+        elsewhere = any(page.elements[j].words >= least and not page.holds(i, j) and not page.holds(j, i) for j in parts)
         if own and not elsewhere and remaining - own < max(REMAINS, REMAINING_SHARE * own):
             continue  # the text itself, whatever its name
         out.add(i)
@@ -457,7 +476,10 @@ def left_out(page: Page, model: Weights) -> set[int]:
 
 def inside(page: Page, places: set[int]) -> list[Block]:
     """Blocks in any of these elements."""
-    return [b for b in page.blocks() if not places.isdisjoint(page.around(b.place))]
+    gone = [False] * len(page.elements)
+    for i, e in enumerate(page.elements):  # an element comes after the one around it
+        gone[i] = i in places or (i > 0 and gone[e.parent])
+    return [b for b in page.blocks() if gone[b.place]]
 
 
 def whole_element(page: Page, begin: int, end: int, kept: list[int]) -> tuple[int, int]:
@@ -467,16 +489,16 @@ def whole_element(page: Page, begin: int, end: int, kept: list[int]) -> tuple[in
     """
     words, total = Counter(), Counter()
     for i in kept:
-        for j in page.around(page.events[i].place):
-            total[j] += page.events[i].words
-            words[j] += page.events[i].words if begin <= i < end else 0
+        total[page.events[i].place] += page.events[i].words
+        words[page.events[i].place] += page.events[i].words if begin <= i < end else 0
+    words, total = page.sums(words), page.sums(total)
     run = words[0]
-    around = [j for j, n in words.items() if n >= 0.9 * run and n >= (0.5 if page.elements[j].tag == "article" else 0.7) * total[j]]
+    around = [j for j, n in enumerate(words) if n and n >= 0.9 * run and n >= (0.5 if page.elements[j].tag == "article" else 0.7) * total[j]]
     around = [j for j in around if j and page.elements[j].tag not in ("html", "body", "form", "table", "tbody", "tr")]
     if not around:
         return begin, end
     j = next((j for j in around if page.elements[j].tag == "article"), min(around, key=lambda j: (total[j], -j)))
-    members = [i for i in kept if j in page.around(page.events[i].place)]
+    members = [i for i in kept if page.holds(j, page.events[i].place)]
     if page.elements[j].tag != "article":
         plain = [i for i in members if begin <= i < end or 2 * page.events[i].linked <= page.events[i].words]
         members = [i for i in members if plain[0] <= i <= plain[-1]]
