@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import re
+from math import e, lgamma, log, log1p, sqrt
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, place_of, written
 
 SLOT = 4096
 SUBTREES = 256
-#: numpy draws up to this many; beyond it the normal limit of the same law is drawn, cut to what is possible.
+#: numpy draws from up to this many; beyond it ``large_draw`` draws from the same law.
 EXACT = 500_000_000
 
 
@@ -54,6 +55,41 @@ def source_targets(names: Sequence[str | None], sizes: Sequence[int], weights: S
     return targets
 
 
+def log_factorial_step(m: int, d: int) -> float:
+    """ln((m + d)! / m!) without the loss that a difference of two large logarithms has."""
+    if min(m, m + d) < 1000:
+        return lgamma(m + d + 1) - lgamma(m + 1)
+    x, y = m + 1.0, m + d + 1.0
+    tail = lambda v: 1 / (12 * v) - 1 / (360 * v**3)  # noqa: E731  Stirling's series
+    return (x - 0.5) * log1p(d / x) + d * log(y) - d + tail(y) - tail(x)
+
+
+def large_draw(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """One hypergeometric draw from an urn of any size, by the ratio of uniforms around the mode.
+
+    Points of a box around the curve of the (log-concave) probabilities are tried until one is below it. Probabilities are compared with that of
+    the mode through factorial steps, so they are right to about 1e-8 however large the urn is.
+    """
+    total = good + bad
+    low, high = max(0, sample - bad), min(good, sample)
+    if low == high:
+        return low
+    mean = sample * good / total
+    variance = mean * (bad / total) * ((total - sample) / max(1, total - 1))
+    mode = min(high, max(low, (sample + 1) * (good + 1) // (total + 2)))
+    width = 2 * sqrt(2 / e) * sqrt(variance + 0.5) + 3 - 2 * sqrt(3 / e)
+    while True:
+        u, v = 1 - rng.random(), rng.random()
+        at = mean + 0.5 + width * (v - 0.5) / u
+        if not low <= at < high + 1:
+            continue
+        k = int(at)
+        d = k - mode
+        ratio = -(log_factorial_step(mode, d) + log_factorial_step(good - mode, -d) + log_factorial_step(sample - mode, -d) + log_factorial_step(bad - sample + mode, d))
+        if 2 * log(u) <= ratio:
+            return k
+
+
 def split_counts(counts: np.ndarray, left: int, seed: Sequence[int]) -> np.ndarray:
     """How many of each colour are among ``left`` drawn without replacement."""
     rng = np.random.Generator(np.random.PCG64(np.random.SeedSequence(list(seed))))
@@ -67,9 +103,7 @@ def split_counts(counts: np.ndarray, left: int, seed: Sequence[int]) -> np.ndarr
         elif n < EXACT and rest < EXACT:
             k = int(rng.hypergeometric(n, rest, left)) if n else 0
         else:
-            mean = left * n / total
-            spread = (mean * (1 - n / total) * (total - left) / max(total - 1, 1)) ** 0.5
-            k = int(min(max(round(rng.normal(mean, spread)), left - rest, 0), n, left))
+            k = large_draw(rng, n, rest, left)
         out[i], left, total = k, left - k, rest
     return out
 
@@ -87,7 +121,7 @@ def _walk(first: int, last: int, offsets: np.ndarray, counts: np.ndarray, per_sh
 
 def mix_blocks(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_ratio: float = 3, block: int = 256, shard_blocks: int = 4096, seed: int = 17,
-    carry: Sequence[str] = (),
+    carry: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents, and the blocks that the mix takes of them.
 
@@ -97,15 +131,17 @@ def mix_blocks(
     word ``start`` on, at a place in a shard; each block once per pass, at most ``max_ratio``
     passes. Null sources are one source, the last. Repeated rows and ids count each on their
     own. Sources without words have a target of 0. An empty table gives no rows. The driver
-    and the tree's nodes hold a few numbers per source, never rows. Columns named in ``carry`` are
+    and the tree's nodes hold a few numbers per source, never rows. With ``carry`` all columns of ``docs`` are
     in the first frame as _carried_0 and so on.
     """
     spark = docs.sparkSession
+    flat = docs.toDF(*(f"_carried_{i}" for i in range(len(docs.columns))))
+    doc_id, text, source = (F.col(f"_carried_{place_of(docs, c)}") for c in ("doc_id", "text", "source"))
     sized = written(
-        docs.select(
-            "doc_id", F.col("source").cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)],
+        flat.select(
+            doc_id.alias("doc_id"), source.cast("string").alias("source"),
+            F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            *(flat.columns if carry else []),
         )
     ).withColumn("_row", F.monotonically_increasing_id())  # of the written files: the same wherever it is read
     stats = (
@@ -181,7 +217,7 @@ def mix_blocks(
     dealt = taken.join(tree, ["no", "stretch"]).filter("place >= from and place < to")
     in_shard = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "pass", "start"), "doc_id", "pass", "start", "place")
     placed = dealt.select("_row", "doc_id", "pass", "start", "words", "shard", "place").withColumn("position", F.row_number().over(in_shard) - 1).drop("place")
-    return marked.select("doc_id", "size", "source_size", "target", "_row", *[f"_carried_{i}" for i in range(len(carry))]), placed
+    return marked.select("doc_id", "size", "source_size", "target", "_row", *(flat.columns if carry else [])), placed
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -216,9 +252,9 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 
     See ``mix_blocks``. Documents of which nothing is taken are left out; a document taken whole keeps its text as it is.
     """
-    rows, placed = mix_blocks(docs, carry=docs.columns, **options)
+    rows, placed = mix_blocks(docs, carry=True, **options)
     taken = placed.groupBy("_row", "pass").agg(F.collect_list(F.struct("start", "words")).alias("_blocks"), F.sum("words").alias("_words"))
-    at = docs.columns.index("text")
+    at = place_of(docs, "text")
 
     @F.pandas_udf("string")
     def cut(text, blocks):
