@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import exactly, written
 from .components import components
 
 STEP_PAIRS = 500_000
@@ -100,7 +100,10 @@ def near_links(vectors: DataFrame, least: float, pivots: int, nearest: int, shar
     spark = vectors.sparkSession
     by_length: dict[int, list] = {}
     # Reference points: the most spread out of a sample of fixed size, the same in every run.
-    for r in vectors.orderBy(F.xxhash64("embedding", F.lit("pivot")), "cid").limit(4 * pivots).select("embedding").collect():
+    # About twice as many rows pass the hash as are taken, so that no task sends more than a few.
+    hashed = vectors.withColumn("_h", F.xxhash64("embedding", F.lit("pivot")))
+    bound = min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, (8 * pivots + 1000) / max(1, vectors.count()))))
+    for r in hashed.filter(F.col("_h") <= bound).orderBy("_h", "cid").limit(4 * pivots).select("embedding").collect():
         by_length.setdefault(len(r.embedding), []).append(r.embedding)
     points = spark.sparkContext.broadcast({d: spread_out(unit(pa.array(rows)), pivots) for d, rows in by_length.items()})
 
@@ -207,7 +210,7 @@ def near_links(vectors: DataFrame, least: float, pivots: int, nearest: int, shar
     return links, out.filter("n < 0").select("a", "b")
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.98, pivots: int = 512, nearest: int = 8, shared: int = 3, block: int = 2048) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.98, pivots: int | None = None, nearest: int = 8, shared: int = 3, block: int = 2048) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``.
 
     ``vectors`` needs vec_id (a whole number), embedding (array of numbers) and label; other columns are ignored, whatever their
@@ -216,10 +219,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, pivots: int = 512,
     with a null id (null component, not kept). Repeated rows are vectors of their own, linked with each other.
     No pair below ``least`` is linked; a pair above it is missed if it shares fewer than ``shared`` of
     ``nearest`` pivots (tests measure the share found). Every vector is indexed; ``pivots`` bounds the
-    reference points, which come from a sample of four times as many. An empty table gives no rows.
+    reference points, which come from a sample of four times as many; by default they grow with the root of the largest label, from 512 to 32,000, so that lists stay short. An empty table gives no rows.
     """
     rows = written(
-        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
+        exactly(vectors, "vec_id", "label", "embedding").select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
         .withColumn("_h1", F.xxhash64("embedding")).withColumn("_h2", F.hash("embedding", F.lit(7)))
     )
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
@@ -232,6 +235,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, pivots: int = 512,
         .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("weight"), F.first("embedding").alias("embedding"))
         .withColumn("cid", F.monotonically_increasing_id())  # rows of one vec_id may be of several classes
     )
+    if pivots is None:
+        most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+        pivots = int(min(32_000, max(512, 4 * most**0.5)))
     links, pairs = near_links(classes.select("cid", "weight", "label", "embedding"), least, pivots, nearest, shared, block)
     roots = written(components(pairs))
     smallest = roots.join(classes.select("cid", "first_id"), F.col("node") == F.col("cid")).groupBy("root").agg(F.min("first_id").alias("smallest"))

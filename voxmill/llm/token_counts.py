@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text, written
+from .common import exactly, whole_text, written
 
 # Fixed value: the split pattern of byte-level BPE with use_regex, as published with the vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -147,6 +147,20 @@ def with_pieces(totals: DataFrame, tokenizer: str) -> DataFrame:
     return totals.mapInArrow(cut, "pre_token string, occurrences long, pieces int")
 
 
+def least_occurrences(vocabulary: DataFrame, most: int) -> int:
+    """The smallest count that at most ``most`` pre-tokens reach, on a scale of eight steps for each doubling: a histogram, nothing is sorted."""
+    step = F.floor(F.log2("occurrences") * 8).cast("int").alias("step")
+    held = 0
+    steps = vocabulary.groupBy(step).agg(F.count(F.lit(1)).alias("n"), F.min("occurrences").alias("least")).collect()  # some hundred at most
+    least = 2**62
+    for s in sorted(steps, key=lambda s: -s.step):
+        held += s.n
+        if held > most:
+            break
+        least = s.least
+    return least
+
+
 def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 1024, frequent: int = 262_144) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit: one row per row of ``docs``.
 
@@ -156,12 +170,10 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     ``frequent`` bounds the table known to every task; it changes the plan, never the counts.
     """
     check_kind(tokenizer)
-    rows = docs.select("doc_id", whole_text().alias("text"))
+    rows = exactly(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
     vocabulary = written(with_pieces(pre_token_totals(rows.select("text"), tokenizer), tokenizer))
-    common = {
-        r.pre_token: r.pieces
-        for r in vocabulary.orderBy(F.desc("occurrences"), "pre_token").limit(frequent).select("pre_token", "pieces").toLocalIterator()
-    }
+    least = least_occurrences(vocabulary, frequent)
+    common = {r.pre_token: r.pieces for r in vocabulary.filter(F.col("occurrences") >= least).select("pre_token", "pieces").toLocalIterator()}
     known = docs.sparkSession.sparkContext.broadcast(common)
 
     def sum_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
