@@ -44,6 +44,30 @@ def test_empty_table(docs, name):
     assert OPERATORS[name](docs.limit(0)).collect() == []
 
 
+NAMED = OPERATORS | {"packing": packing.pack}
+
+
+@pytest.mark.parametrize("name", sorted(NAMED.keys() - {"suffix_dedup"}))  # which returns all columns
+def test_names_in_another_case_and_with_dots(spark, name):
+    """What counts is the column as it is written; others are of no account, whatever they are called."""
+    rows = [(1, SAME, "en", "a"), (2, SAME + " end", "de", "b"), (3, None, None, None)]
+    bare = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    odd = bare.select(F.lit("x").alias("TEXT"), F.lit(9).alias("Doc_ID"), "doc_id", "text", "lang", "source", F.lit("y").alias("a.b"), F.lit("z").alias("Lang"), F.lit(0).alias("source.x"), F.lit("q").alias("SOURCE"))
+    names = [c for c in NAMED[name](bare).columns]
+    take = lambda frame: sorted(str(tuple(r)) for r in NAMED[name](frame).select(*names).collect())
+    assert take(odd) == take(bare)
+
+
+def test_dotted_columns_are_carried(spark):
+    rows = [(1, SAME, "en", "a", 5), (2, SAME * 3, "de", "b", 6)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `a.b` int")
+    assert {tuple(r)[:5] for r in language_id.identify(odd).collect()} == {tuple(r) for r in rows}
+    assert {r["a.b"] for r in mixing.mix_documents(odd).collect()} <= {5, 6}
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        odd = corpus_pipeline.written(stage(spark, odd, ""))
+        assert odd.columns == ["doc_id", "text", "lang", "source", "a.b"]
+
+
 def test_tokens_of_odd_texts(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -73,6 +97,22 @@ def test_components_of_odd_texts(docs):
         assert [r.component_id for r in got if r.doc_id is None] == [None]
 
 
+def test_large_clusters_meet_by_size(spark):
+    """A cluster of sets of many sizes: only neighbouring sizes are compared, and the links are the same."""
+    import random
+
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(12)]
+    rows = []
+    for i in range(120):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([5, 20, 21, 22, 60, 150]))]
+        rows += [(2 * i, " ".join(common + own)), (2 * i + 1, " ".join(common + own[:-1] + ["x"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = plain.jaccard_components(rows, 4, 85)
+    for plan in ({}, {"block": 8}, {"block": 8, "sketch_bits": 6}, {"block": 8, "sketch_bits": 6, "salt_rows": 20}):
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs, **plan).collect()} == want
+
+
 def test_choice_of_matches():
     import numpy as np
 
@@ -304,6 +344,54 @@ def test_mix_is_split_exactly(docs):
     assert mixing.source_targets(["b", None, "a"], [10, 10, 0], (5, 2, 1), 3) == [pytest.approx(40 / 3), pytest.approx(20 / 3), 0.0]
 
 
+@pytest.mark.parametrize("urn", [(30, 50, 20), (700, 300, 650), (5, 10_000, 400), (9_000, 8, 5_000), (40, 2, 41)])
+def test_large_draws_follow_the_law(urn):
+    """Frequencies of draws against the exact probabilities of small urns."""
+    import numpy as np
+    from math import comb
+
+    good, bad, sample = urn
+    rng, n = np.random.default_rng(8), 20_000
+    got = np.bincount([mixing.large_draw(rng, *urn) for _ in range(n)], minlength=min(good, sample) + 1)
+    want = np.array([comb(good, k) * comb(bad, sample - k) / comb(good + bad, sample) if 0 <= sample - k <= bad else 0.0 for k in range(min(good, sample) + 1)])
+    often = want * n >= 5
+    chi = ((got[often] - n * want[often]) ** 2 / (n * want[often])).sum()
+    assert not got[want == 0].any() and chi < often.sum() + 5 * (2 * often.sum()) ** 0.5
+
+
+def test_huge_draws():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    good, bad, sample = 3 * 10**13, 7 * 10**13, 4 * 10**12
+    found = np.array([mixing.large_draw(rng, good, bad, sample) for _ in range(4000)], float)
+    spread = (sample * 0.3 * 0.7 * (good + bad - sample) / (good + bad)) ** 0.5
+    assert abs(found.mean() - 0.3 * sample) < 4 * spread / 4000**0.5 and 0.95 < found.std() / spread < 1.05
+    x, y = 10**13, 3_000_000
+    exact = sum(np.log1p(np.arange(1, 1001) / x)) + 1000 * np.log(x)
+    assert abs(mixing.log_factorial_step(x, 1000) - exact) < 1e-7 and abs(mixing.log_factorial_step(x + y, -y) + mixing.log_factorial_step(x, y)) < 1e-6
+    counts = np.array([10**13, 0, 5, 2 * 10**12])
+    left = mixing.split_counts(counts, 6 * 10**12, (1,))
+    assert left.sum() == 6 * 10**12 and (left <= counts).all() and (left >= 0).all()
+
+
+def test_frequent_pre_tokens_are_bounded(spark):
+    counts = spark.createDataFrame([(f"p{i}", 1 + i // 100) for i in range(1000)], "pre_token string, occurrences long")
+    for most in (0, 50, 100, 250, 1000, 5000):
+        least = token_counts.least_occurrences(counts, most)
+        assert counts.filter(F.col("occurrences") >= least).count() <= most
+    assert token_counts.least_occurrences(counts, 1000) == 1 and token_counts.least_occurrences(counts, 250) == 9
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+    a, b = " ".join(words), " ".join(reversed(words))
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b), (4, ""), (4, None), (4, ""), (5, "x"), (5, "x"), (6, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (4, ""), (4, None), (5, "x")], key=str)
+
+
 def test_cut_words():
     assert mixing.cut_words(" a b\tc  d e", [(1, 2)]) == "b\tc"
     assert mixing.cut_words("a b c d", [(3, 1), (0, 2)]) == "a b\nd"

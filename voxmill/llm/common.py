@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +35,23 @@ def exactly(df: DataFrame, *names: str) -> DataFrame:
 
     A name that no column has as it is written stands for the first that has it in another case.
     """
+    flat = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
+    return flat.select(*(F.col(f"_{place_of(df, n)}").alias(n) for n in names))
+
+
+def place_of(df: DataFrame, name: str) -> int:
+    """Place of a column: as it is written, or else the first in another case."""
     columns = [c.lower() for c in df.columns]
-    places = [df.columns.index(n) if n in df.columns else columns.index(n.lower()) for n in names]
-    return df.toDF(*(f"_{i}" for i in range(len(columns)))).select(*(F.col(f"_{i}").alias(n) for i, n in zip(places, names, strict=True)))
+    return df.columns.index(name) if name in df.columns else columns.index(name.lower())
+
+
+def has_column(df: DataFrame, name: str) -> bool:
+    return name.lower() in (c.lower() for c in df.columns)
+
+
+def quoted(names: Sequence[str]) -> list[F.Column]:
+    """Columns by names that may hold dots."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
 def whole_text(column: str = "text") -> F.Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of
+from .common import batches_of, exactly, place_of
 
 UNKNOWN = "und"
 
@@ -115,7 +115,7 @@ class Profiles:
 
 def identify(docs: DataFrame, profile: int = 400, fit_docs: int = 20_000) -> DataFrame:
     """All columns of ``docs``, and lang_pred, lang_score; see ``predict_language``."""
-    profiles = docs.sparkSession.sparkContext.broadcast(learn_profiles(docs, profile, fit_docs))  # <= profile grams per language
+    profiles = docs.sparkSession.sparkContext.broadcast(learn_profiles(exactly(docs, "doc_id", "text", "lang"), profile, fit_docs))  # <= profile grams per language
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(profiles.value, profile)
@@ -124,13 +124,14 @@ def identify(docs: DataFrame, profile: int = 400, fit_docs: int = 20_000) -> Dat
             kept = [batch.column(i) for i in range(width)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())], names)
 
-    # Columns travel under names of their own, since those of ``docs`` may clash.
-    width, text_at = len(docs.columns), docs.columns.index("text")
+    # Columns travel under names of their own, since those of ``docs`` may clash, differ in case only or hold dots.
+    width, text_at = len(docs.columns), place_of(docs, "text")
     names = [*[f"_carried_{i}" for i in range(width)], "lang_pred", "lang_score"]
-    kinds = [*[docs.schema[c].dataType.simpleString() for c in docs.columns], "string", "double"]
+    kinds = [*[f.dataType.simpleString() for f in docs.schema.fields], "string", "double"]
     kinds[text_at] = "string"
-    carried = [docs[c].cast(k).alias(n) for c, n, k in zip(docs.columns, names, kinds, strict=False)]
-    out = docs.select(*carried).mapInArrow(predict, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    flat = docs.toDF(*names[:width])
+    carried = [F.col(n).cast(k).alias(n) for n, k in zip(names[:width], kinds, strict=False)]
+    out = flat.select(*carried).mapInArrow(predict, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
     return out.select(*[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(docs.columns)], "lang_pred", "lang_score")
 
 
@@ -143,5 +144,5 @@ def predict_language(docs: DataFrame, profile: int = 400, fit_docs: int = 20_000
     ``score`` is 1 less the mean distance as a share of the largest. ``fit_docs`` bounds the
     sample per language that profiles are fitted on. An empty table gives no rows.
     """
-    needed = docs.select("doc_id", "text", "lang")
+    needed = exactly(docs, "doc_id", "text", "lang")
     return identify(needed, profile, fit_docs).select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, whole_text, written
+from .common import batches_of, exactly, has_column, whole_text, written
 from .shingles import STEP, _SPACE, buffers, mix, words
 
 ORDER = 5
@@ -232,7 +232,9 @@ def score_quality(
     quartile to as much above the upper one. Quartiles are of its documents that did not fail, every source weighing the same; their range counts as
     twice ``least_spread`` at least. Repeated rows and ids give a row each. An empty table gives no rows. The model counts all documents; ``max_entries`` changes the plan only.
     """
-    source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
+    named = has_column(docs, "source")
+    docs = exactly(docs, "doc_id", "text", "lang", *(["source"] if named else []))
+    source = F.col("source").cast("string") if named else F.lit(None).cast("string")
     texts = docs.select("doc_id", _lang(F.col("lang")).alias("lang"), source.alias("source"), whole_text().alias("_text"))
     model = written(kneser_ney(written(ngram_counts(texts.select("lang", "_text")))))
     small = model.count() <= max_entries
