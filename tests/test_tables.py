@@ -224,6 +224,50 @@ def test_files_follow_by_name_whatever_their_size(spark, tmp_path):
     assert rows[0].title == "tsmall" and [r.seq for r in rows] == list(range(501))
 
 
+def _one_task(spark, path):
+    """The rows of a folder as Spark's own reader gives them, a file as one task."""
+    rows = files.with_places(spark.read.schema(files.positional_schema(9)).options(**files.csv_options(True)).csv(path))
+    return [tuple(r) for r in files.feedback_columns(rows).orderBy("seq").collect()]
+
+
+def test_quoted_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    words = ["plain", 'a ""quoted"" word', "two\nlines", "x, y", "", "three\r\n\nlines", "متن", 'ends ""', "stray"]
+    for name, end, n in (("a.csv", "\n", 900), ("b.csv", "\r\n", 300), ("c.csv", "\n", 1)):
+        lines = ["h1,h2,h3,h4,h5,h6,h7,h8,h9"]
+        for i in range(n):
+            text = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 30)))
+            lines.append(f't{i},{i % 6},"{text}",id{i},"a",5"pipe,m,2025-12-24-00.02.26.367590,ch')
+            if i % 50 == 7:
+                lines.append("too,short")
+            if i % 70 == 9:
+                lines.append("")
+            if i % 90 == 3:
+                lines.append("long" + ",x" * 11 + ',"one\ntwo"')
+        (tmp_path / name).write_text(end.join(lines) + end * (n > 1), newline="")
+    want = _one_task(spark, str(tmp_path))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("200", "3000", old):  # splits shorter than a record, too
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            frame = files.read_feedback_csv(spark, str(tmp_path))
+            got = [tuple(r) for r in frame.orderBy("seq").collect()]
+            assert got == want and len(got) > 1200
+            if size == "3000":
+                assert len(spark.read.text(str(tmp_path)).withColumn("p", F.spark_partition_id()).select("p").distinct().collect()) > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_quote_states():
+    from voxmill.sources.records import inside_after
+
+    for line, outside, inside in (("a,b", False, True), ('a,"b', True, False), ('"a', True, False), ('a"b,c', False, False), ('"a ""b"" c",d', False, False), ('x"",y', False, True), ('"",""', False, True), ('a",b,"c', True, True), ("", False, True)):
+        assert (inside_after(line, False), inside_after(line, True)) == (outside, inside), line
+
+
 def test_missing_word_list_is_empty(spark, tmp_path):
     assert files.load_stopwords(spark, str(tmp_path / "none.txt")).collect() == []
 

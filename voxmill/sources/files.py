@@ -11,6 +11,7 @@ from ..functions.dates import parse_timestamp
 from ..functions import lexicon as lx
 from ..functions.ids import hash_id, hash_id_or_null
 from ..functions.text import strip
+from .records import in_record_order, read_records
 
 FEEDBACK_FIELDS = 9
 CORRUPT = "_line"
@@ -67,10 +68,25 @@ def in_file_order(rows: DataFrame, by_time: bool = False) -> DataFrame:
     return marked.join(starts, ["_path", "_part"]).withColumn("seq", F.col("_start") + F.col("_id") - F.col("_first"))
 
 
+def positional_rows(spark: SparkSession, path: str, width: int, multi_line: bool, by_time: bool) -> DataFrame:
+    """seq and the fields of all rows that have ``width`` of them at least. Files are split over tasks in both forms; ``multi_line=False``
+    spares the look at quotes where no field holds a line break."""
+    schema = positional_schema(width)
+    if not multi_line:
+        return in_file_order(long_enough(with_places(spark.read.schema(schema).options(**csv_options(False)).csv(path)), width), by_time)
+    options = {k: v for k, v in csv_options(True).items() if k != "header"}
+    fields = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    rows = read_records(spark, path).select(fields.alias("_fields"), "_path", "_time", "_block", "_stitched").select("_fields.*", "_path", "_time", "_block", "_stitched")
+    return in_record_order(long_enough(rows, width), by_time)
+
+
 def feedback_columns(raw: DataFrame, by_time: bool = False) -> DataFrame:
     """Names for the positions; empty title and text stay ''."""
+    return _feedback(in_file_order(long_enough(raw, FEEDBACK_FIELDS), by_time))
+
+
+def _feedback(rows: DataFrame) -> DataFrame:
     text = lambda i: F.coalesce(F.col(f"c{i}"), F.lit(""))
-    rows = in_file_order(long_enough(raw, FEEDBACK_FIELDS), by_time)
     return rows.select(
         "seq", text(0).alias("title"), text(1).alias("grade"),
         text(2).alias("description"), text(3).alias("national_code"), text(6).alias("mobile_no"),
@@ -82,8 +98,7 @@ def read_feedback_csv(spark: SparkSession, path: str, *, multi_line: bool = True
     """Feedback files as strings. Columns count by position; rows of fewer than nine
     fields are left out, fields after the ninth ignored. ``seq`` keeps the order of files
     (by path, or by time) and of their rows."""
-    reader = spark.read.schema(positional_schema(FEEDBACK_FIELDS)).options(**csv_options(multi_line))
-    return feedback_columns(with_places(reader.csv(path)), by_time)
+    return _feedback(positional_rows(spark, path, FEEDBACK_FIELDS, multi_line, by_time))
 
 
 def clean_feedback(raw: DataFrame) -> DataFrame:
@@ -113,10 +128,10 @@ def read_assistant_csv(spark: SparkSession, path: str, layout: int, *, multi_lin
     """Assistant feedback files in one of two layouts; rows without a time field are rejected."""
     position = ASSISTANT_LAYOUTS[layout]
     width = position["created_at"] + 1
-    raw = with_places(spark.read.schema(positional_schema(width)).options(**csv_options(multi_line)).csv(path))
+    rows = positional_rows(spark, path, width, multi_line, by_time)
     field = lambda name: F.coalesce(F.col(f"c{position[name]}"), F.lit(""))
     texts = [field(n).alias(n) for n in ("user_message", "assistant_message", "q1", "q2", "q3")]
-    return in_file_order(long_enough(raw, width), by_time).select(
+    return rows.select(
         "seq", *texts, parse_like(field("is_liked"), layout).alias("is_liked"),
         strip(field("created_at")).try_cast("timestamp_ntz").alias("created_at"),
     )
