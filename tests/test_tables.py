@@ -82,7 +82,7 @@ def test_stream_equals_batch(spark, tmp_path):
     run()
     write(source / "2.csv", head + "\r\n" + rest)
     run()
-    streamed = spark.read.schema(schemas.COMMENTS).parquet(intake.snapshot_path(table, 2))
+    streamed = intake.read_table(spark, table).drop("month")
     batch_rows = files.clean_feedback(files.read_feedback_csv(spark, str(tmp_path / "in")))
     merged = merges.upsert_comments(spark.createDataFrame([], schemas.COMMENTS), batch_rows, imported_at=now())
     drop = lambda df: sorted(map(tuple, df.drop("id").collect()), key=repr)
@@ -354,3 +354,48 @@ def test_rows_that_stay_without_an_answer_have_failed(spark):
     rows = scoring.score_with(spark.range(4), model, "reply string", is_empty=lambda f: f["reply"] == "", failed="failed").collect()
     assert {r.id: r.failed for r in rows} == {0: False, 1: False, 2: True, 3: False}
     assert not any(r.failed for r in scoring.score_with(spark.range(4), model, "reply string", failed="failed").collect())
+
+
+def test_a_batch_rewrites_its_months_only(spark, tmp_path):
+    from pathlib import Path
+
+    from voxmill.streaming import month_table
+
+    schema = schemas.COMMENTS
+    def rows(*given):
+        blank = {f.name: None for f in schema.fields}
+        return spark.createDataFrame([tuple((blank | g)[f.name] for f in schema.fields) for g in given], schema)
+
+    def batch(*given):
+        return spark.createDataFrame([(i, "t", 1, text, user, None, time, None) for i, (user, time, text) in enumerate(given)],
+            "seq long, title string, grade int, description string, national_code_hash string, mobile_no_hash string, created_at timestamp_ntz, channel_code string")
+
+    def files_of(month):
+        return sorted(str(p) for p in Path(table).rglob("*.parquet") if f"month={month}" in str(p))
+
+    table, now = str(tmp_path / "t"), F.lit("2025-01-01").cast("timestamp_ntz")
+    day = lambda m, d=1: dt.datetime(2024, m, d)
+    month_table.start_months(spark, table, schema, rows(
+        {"id": 7, "national_code_hash": "a", "created_at": day(1), "description": "old"}, {"id": 9, "national_code_hash": "b", "created_at": day(2), "description": "b"}))
+    change = lambda old, new, top: merges.upsert_comments(old, new, imported_at=now, top_id=top)
+    run = lambda n, *given: month_table.write_batch(spark, table, schema, n, batch(*given), change)
+    content = lambda n=None: sorted((r.id, r.national_code_hash, r.month, r.description) for r in month_table.read_months(spark, table, schema, n).collect())
+    untouched = files_of(202402)
+    run(0, ("a", day(1), "new"), ("c", day(1, 5), "c"), ("d", day(3), "d"))
+    after = [(7, "a", 202401, "new"), (9, "b", 202402, "b"), (10, "c", 202401, "c"), (11, "d", 202403, "d")]
+    assert content() == after and files_of(202402) == untouched
+    run(0, ("a", day(1), "new"), ("c", day(1, 5), "c"), ("d", day(3), "d"))  # a batch that runs again
+    assert content() == after and month_table.snapshots(spark, table) == [0, 1]
+    run(1, ("e", day(2, 9), "e"))
+    assert content() == sorted([*after, (12, "e", 202402, "e")]) and content(1) == after
+    assert content(0) == [(7, "a", 202401, "old"), (9, "b", 202402, "b")]
+    run(2)  # no rows
+    assert content() == content(2) and month_table.snapshots(spark, table) == [0, 1, 2, 3]
+    assert month_table.retire(spark, table, keep=2)
+    assert month_table.snapshots(spark, table) == [2, 3] and content() == sorted([*after, (12, "e", 202402, "e")])
+    assert not any(p in files_of(202402) for p in untouched) and len({p.rsplit("/", 2)[0] for p in files_of(202401)}) == 1
+    # A batch that died before its manifest is not seen, and is overwritten.
+    month_table._remove(spark, f"{table}/manifest/3")
+    assert content() == content(2)
+    run(2, ("f", day(1, 7), "f"))
+    assert content()[-1] == (13, "f", 202401, "f") and month_table.retire(spark, table, keep=1) and len(content()) == 6

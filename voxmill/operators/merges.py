@@ -67,18 +67,23 @@ def _as_rows(target: DataFrame, fresh: DataFrame, values: dict[str, Column]) ->
     )
 
 
-def _numbered(target: DataFrame, id: str, fresh: DataFrame, order: str) -> DataFrame:
-    """New rows with the next free ids of the table, in ``order``."""
+def _numbered(target: DataFrame, id: str, fresh: DataFrame, order: str, top: int | None = None) -> DataFrame:
+    """New rows with the next free ids of the table (or those after ``top``), in ``order``."""
+    if top is not None:
+        return add_position(fresh, [], order, "_position").withColumn(id, F.lit(top).cast("long") + 1 + F.col("_position")).drop("_position")
     highest = target.agg(F.coalesce(F.max(id), F.lit(0)).alias("_top"), F.lit(1).alias("_one"))
     placed = add_position(fresh, [], order, "_position").withColumn("_one", F.lit(1))
     placed = placed.join(F.broadcast(highest), "_one")  # one row
     return placed.withColumn(id, F.col("_top") + 1 + F.col("_position")).drop("_top", "_one", "_position")
 
 
-def upsert_comments(target: DataFrame, batch: DataFrame, *, imported_at: Column | None = None, seq: str = "seq") -> DataFrame:
+def upsert_comments(
+    target: DataFrame, batch: DataFrame, *, imported_at: Column | None = None, seq: str = "seq", top_id: int | None = None
+) -> DataFrame:
     """Key (national_code_hash, created_at). The batch wins, but an existing channel
     stays; within the batch the last row wins and the first known channel stays.
-    New rows get ids after the highest one, in batch order."""
+    New rows get ids after the highest one, in batch order. The time is part of the key, so ``target`` may be the months of the batch
+    only; then ``top_id`` says what the highest id of the whole table is."""
     keys = ["national_code_hash", "created_at"]
     overwritten = ["title", "grade", "description", "mobile_no_hash"]
     now = imported_at if imported_at is not None else F.current_timestamp()
@@ -90,7 +95,7 @@ def upsert_comments(target: DataFrame, batch: DataFrame, *, imported_at: Column
     joined, fresh = _split(target, rows, keys)
     changes = {c: F.col(f"_new_{c}") for c in overwritten}
     changes |= {"channel_code": F.coalesce("channel_code", "_new_channel_code"), "imported_at": now}
-    fresh = _numbered(target, "id", fresh, "seq")
+    fresh = _numbered(target, "id", fresh, "seq", top_id)
     values = {c: F.col(c) for c in ("id", *keys, *overwritten, "channel_code")} | {"imported_at": now}
     return _replace(target, joined, changes).unionByName(_as_rows(target, fresh, values))
 

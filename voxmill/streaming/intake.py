@@ -1,9 +1,8 @@
 """Feedback files that keep arriving, as a stream.
 
-Each micro-batch is cleaned and merged into the newest snapshot of the table. Plain
-Parquet has no MERGE, so batch ``b`` reads snapshot ``b`` and writes snapshot ``b + 1``;
-running a batch again overwrites the same snapshot, which makes retries harmless.
-Where the table format knows MERGE INTO, pass ``merge`` and only the batch is shuffled.
+Each micro-batch is cleaned and merged into the newest snapshot of a table kept by month (``month_table``): batch ``b`` reads snapshot ``b``
+and makes snapshot ``b + 1``, rewriting only the months it has rows of; running a batch again overwrites the same files, which makes
+retries harmless, and old snapshots are retired. Where the table format knows MERGE INTO, pass ``merge`` and only the batch is shuffled.
 """
 
 from __future__ import annotations
@@ -15,24 +14,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.merges import upsert_comments
+from ..session import cut_lineage, temporary_tables
 from ..sources.files import FEEDBACK_FIELDS, clean_feedback, csv_options, feedback_columns, positional_schema, with_places
-
-
-def snapshot_path(table: str, number: int) -> str:
-    return f"{table.rstrip('/')}/snapshot={number}"
+from .month_table import read_months, retire, start_months, write_batch
 
 
 def start_table(spark: SparkSession, table: str, rows: DataFrame | None = None) -> None:
     """Snapshot 0: the given rows or none."""
-    first = rows if rows is not None else spark.createDataFrame([], schemas.COMMENTS)
-    first.write.mode("overwrite").parquet(snapshot_path(table, 0))
+    start_months(spark, table, schemas.COMMENTS, rows)
+
+
+def read_table(spark: SparkSession, table: str, number: int | None = None) -> DataFrame:
+    """The comments after batch ``number`` (the last one by default), and their ``month``."""
+    return read_months(spark, table, schemas.COMMENTS, number)
 
 
 def import_stream(
     spark: SparkSession, source: str, table: str, checkpoint: str, *, files_per_batch: int | None = None,
     imported_at: Column | None = None, merge: Callable[[DataFrame, int], None] | None = None, multi_line: bool = True,
+    keep: int = 2,
 ) -> StreamingQuery:
-    """Start the import of all CSV files in ``source``; it ends when they are read."""
+    """Start the import of all CSV files in ``source``; it ends when they are read. The last ``keep`` snapshots stay (0: all)."""
 
     def into_snapshot(batch: DataFrame, number: int) -> None:
         clean = clean_feedback(feedback_columns(batch, by_time=True))
@@ -40,9 +42,12 @@ def import_stream(
             merge(clean, number)
             return
         session = batch.sparkSession
-        target = session.read.schema(schemas.COMMENTS).parquet(snapshot_path(table, number))
-        merged = upsert_comments(target, clean, imported_at=imported_at)
-        merged.write.mode("overwrite").parquet(snapshot_path(table, number + 1))
+        with temporary_tables(session):
+            clean = cut_lineage(clean)  # its months, then its rows
+            change = lambda old, new, top: upsert_comments(old, new, imported_at=imported_at, top_id=top)
+            write_batch(session, table, schemas.COMMENTS, number, clean, change)
+        if keep:
+            retire(session, table, keep)
 
     reader = spark.readStream.schema(positional_schema(FEEDBACK_FIELDS)).options(**csv_options(multi_line))
     if files_per_batch:
