@@ -5,7 +5,9 @@ import random
 
 import pytest
 
-from voxmill.operators import repeats
+from pyspark.sql import functions as F
+
+from voxmill.operators import ordering, repeats
 
 START = dt.datetime(2025, 1, 1)
 SCHEMA = "id long, national_code_hash string, title string, description string, created_at timestamp_ntz"
@@ -70,6 +72,38 @@ def test_random_rows_with_one_hot_user(spark, seed, window, slot):
     assert expected and by_job(spark, rows, window_seconds=window, slot_seconds=slot) == expected
 
 
+@pytest.mark.parametrize("seed,window", [(4, 1), (5, 60)])
+def test_bursts_are_cut_by_rank(spark, seed, window):
+    """Times finer than a second, many of them equal, most rows of one user in one minute."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(3000):
+        user = "hot" if rng.random() < 0.8 else f"u{rng.randrange(5)}"
+        time = START + dt.timedelta(milliseconds=rng.randrange(0, 90_000, 25))
+        rows.append((i, user, "t", "same" if rng.random() < 0.99 else "x", time))
+    expected = by_hand(rows, window)
+    assert expected and by_job(spark, rows, window_seconds=window, slot_rows=100) == expected
+
+
+def test_a_burst_is_read_by_many_tasks(spark):
+    """200,000 rows of one user in 200 seconds, a tenth of them at one instant."""
+    step = F.when(F.col("id") < 20_000, 0).otherwise(F.col("id") * 1000)
+    rows = spark.range(200_000).select("id", F.lit("u").alias("u"), step.alias("t"))
+    slots = ordering.slots_by_rank(rows, ["u"], ["t", "id"], "s", 10_000)
+    sizes = [r["count"] for r in slots.groupBy("s").count().collect()]
+    assert sum(sizes) == 200_000 and len(sizes) >= 10 and max(sizes) <= 30_000
+    bounds = slots.groupBy("s").agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy("s").collect()
+    assert all(a.high < b.low for a, b in zip(bounds, bounds[1:]))
+
+    comments = rows.select(
+        "id", F.col("u").alias("national_code_hash"), F.lit("t").alias("title"), F.lit("a").alias("description"),
+        F.expr("timestampadd(MICROSECOND, t, timestamp_ntz'2025-01-01 00:00:00')").alias("created_at"))
+    flags = repeats.flag_repetitive(comments, window_seconds=50, slot_rows=10_000)
+    counted = {r.duplicate_of: r["count"] for r in flags.groupBy("duplicate_of").count().collect()}
+    # Anchors: the first row, then each first row more than 50 seconds (50,000 rows) later.
+    assert counted == {None: 4, 0: 50_000, 50_001: 50_000, 100_002: 50_000, 150_003: 49_996}
+
+
 def test_flags_change_only_given_rows(spark):
     table = spark.createDataFrame([(1, True, 9), (2, None, None), (3, True, 8)], "id long, is_repetitive boolean, duplicate_of long")
     flags = spark.createDataFrame([(2, True, 1), (3, False, None)], "id long, is_repetitive boolean, duplicate_of long")

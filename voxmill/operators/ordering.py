@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+MOST_SLOTS = 10_000  # tasks of one shuffle; beyond it slots grow with the table instead
+
 
 def carry_forward(
     rows: DataFrame, keys: Sequence[str], slot: str, order: Sequence[str], value: str, out: str, *, include_current: bool
@@ -36,6 +40,19 @@ def carry_forward(
     )
 
 
+def slots_by_rank(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, slot_rows: int) -> DataFrame:
+    """A written copy of ``rows`` with a slot of about ``slot_rows`` rows each, however dense the ordering value is.
+
+    Rows are range partitioned by keys and order, and the number of the partition is the
+    slot: a group that is larger than a partition goes through several of them in order.
+    Range bounds come from a sample, so a slot may hold two or three times as many rows;
+    where ``MOST_SLOTS`` slots are not enough, each holds that share of the table. ``rows``
+    are read three times (count, sample, write) and should be cheap to read.
+    """
+    parts = min(MOST_SLOTS, max(1, -(-rows.count() // slot_rows)))
+    return cut_lineage(rows.repartitionByRange(parts, *keys, *order).withColumn(out, F.spark_partition_id().cast("long")))
+
+
 def add_position(rows: DataFrame, keys: Sequence[str], order: str, out: str, slot_width: int = 1_000_000) -> DataFrame:
     """``out`` = 0-based position of each row in its group by ``order``, a whole number
     that is unique within the group. One task sees at most ``slot_width`` rows."""

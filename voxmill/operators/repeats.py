@@ -13,8 +13,10 @@ Only rows later than that are left. Each of them knows which row would be the ne
 anchor if it were one; the anchors actually reached from the run's start are found by
 pointer doubling, so a chain of n anchors takes log2(n) joins on row ids.
 
-No step needs all rows of a user in one task: see ``carry_forward``. With whole-second
-time stamps unique per user, a slot of an hour holds at most 3,600 rows.
+No step needs all rows of a user in one task: see ``carry_forward``. Slots are of
+``slot_seconds``; where a user has more than ``slot_rows`` rows in one of them (bursts, times
+finer than a second), all slots are cut by rank instead (``slots_by_rank``), down to rows of
+one and the same time, which their ids tell apart.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import squeeze
 from ..session import cut_lineage
-from .ordering import carry_forward
+from .ordering import carry_forward, slots_by_rank
 
 MICROS = 1_000_000
 
@@ -47,6 +49,7 @@ def find_repeats(
     *,
     window_seconds: int = 3600,
     slot_seconds: int = 3600,
+    slot_rows: int = 100_000,
     user: str = "national_code_hash",
     text: str = "description",
     title: str = "title",
@@ -58,9 +61,13 @@ def find_repeats(
     rows = comments.filter(F.col(user).isNotNull() & F.col(time).isNotNull()).select(
         F.col(user).alias("u"), F.col(id).alias("i"), _micros(comments, time).alias("t"),
         _same_content(text, title).alias("k"),
-    ).withColumn("s", F.floor(F.col("t") / slot))
-    # One exchange of narrow rows serves the windows, aggregates and joins of both passes,
-    # and texts are read and fingerprinted once.
+    )
+    rows = cut_lineage(rows)  # texts are read and fingerprinted once
+    by_time = rows.withColumn("s", F.floor(F.col("t") / slot))
+    fullest = by_time.groupBy("u", "s").count().agg(F.max("count")).first()[0] or 0
+    dense = fullest > slot_rows
+    rows = slots_by_rank(rows, ["u"], ["t", "i"], "s", slot_rows) if dense else by_time
+    # One exchange of narrow rows serves the windows, aggregates and joins of both passes.
     rows = rows.repartition("u", "s")
 
     runs = carry_forward(
@@ -79,13 +86,13 @@ def find_repeats(
         "i", F.col("run").alias("duplicate_of")
     )
     if not late.isEmpty():
-        repeats = repeats.unionByName(_follow_chains(late.select("run", "i", "t", "s"), window, slot))
+        repeats = repeats.unionByName(_follow_chains(late.select("run", "i", "t", "s"), window, slot, slot_rows if dense else None))
     return repeats.select(F.col("i").alias(id), "duplicate_of")
 
 
-def _follow_chains(late: DataFrame, window: int, slot: int) -> DataFrame:
+def _follow_chains(late: DataFrame, window: int, slot: int, slot_rows: int | None) -> DataFrame:
     """(i, duplicate_of) for the late rows of runs; ``run`` identifies the run."""
-    jumps = cut_lineage(_next_candidates(late, window, slot))
+    jumps = cut_lineage(_next_candidates(late, window, slot, slot_rows))
     reached = late.groupBy("run").agg(F.min_by("i", F.struct("t", "i")).alias("i")).select("i")
     reached = cut_lineage(reached)
     while True:
@@ -101,17 +108,22 @@ def _follow_chains(late: DataFrame, window: int, slot: int) -> DataFrame:
     return placed.filter(F.col("anchor") != F.col("i")).select("i", F.col("anchor").alias("duplicate_of"))
 
 
-def _next_candidates(late: DataFrame, window: int, slot: int) -> DataFrame:
+def _next_candidates(late: DataFrame, window: int, slot: int, slot_rows: int | None) -> DataFrame:
     """(i, next): the first row of the same run more than a window after row i.
 
     Rows and probes (row time plus window) are ordered from the latest to the
-    earliest; the last row passed before a probe is the one sought.
+    earliest; the last row passed before a probe is the one sought. Slots of time hold
+    twice the rows of the slots they were counted in; with ``slot_rows`` they are cut by rank.
     """
     rows = late.select("run", "i", (-F.col("t")).alias("b"), F.lit(1).alias("kind"), F.col("i").alias("_row"))
     probes = late.select(
         "run", "i", (-(F.col("t") + window)).alias("b"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("_row")
     )
-    both = rows.unionByName(probes).withColumn("s", F.floor(F.col("b") / slot)).withColumn("j", -F.col("i"))
+    both = rows.unionByName(probes).withColumn("j", -F.col("i"))
+    if slot_rows is None:
+        both = both.withColumn("s", F.floor(F.col("b") / slot))
+    else:
+        both = slots_by_rank(both, ["run"], ["b", "kind", "j"], "s", slot_rows)
     found = carry_forward(both, ["run"], "s", ["b", "kind", "j"], "_row", "next", include_current=False)
     return found.filter((F.col("kind") == 0) & F.col("next").isNotNull()).select("i", "next")
 

@@ -156,10 +156,10 @@ def q_sentiment_by_year(spark, sf_dir):
 
 
 # --- repeats ----------------------------------------------------------------------------------------------
-def sql_repeats(text: str, window: int, user: str = "user_id") -> str:
+def sql_repeats(text: str, window: int, user: str = "user_id", time: str = "ts") -> str:
     """The chain followed row by row."""
     return f"""WITH RECURSIVE r AS (
-  SELECT event_id AS id, {user} AS u, ts, {text} AS x, row_number() OVER (PARTITION BY {user} ORDER BY ts, event_id) AS rn FROM events),
+  SELECT event_id AS id, {user} AS u, {time} AS ts, {text} AS x, row_number() OVER (PARTITION BY {user} ORDER BY {time}, event_id) AS rn FROM events),
 f AS (
   SELECT id, u, ts, x, rn, id AS a_id, ts AS a_ts, CAST(NULL AS BIGINT) AS duplicate_of FROM r WHERE rn = 1
   UNION ALL
@@ -171,10 +171,10 @@ f AS (
 SELECT id, duplicate_of IS NOT NULL AS is_repetitive, duplicate_of FROM f"""
 
 
-def _repeat_rows(spark, sf_dir, text, user="user_id"):
+def _repeat_rows(spark, sf_dir, text, user="user_id", time="ts"):
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"), F.expr(user).alias("national_code_hash"), F.expr(text).alias("description"),
-        F.expr(text).alias("title"), F.col("ts").alias("created_at"))
+        F.expr(text).alias("title"), F.expr(time).alias("created_at"))
 
 
 DENSE = "CASE WHEN event_type = 'error' THEN 'b' ELSE ' a' END"
@@ -190,6 +190,16 @@ def q_flag_repetitive_chains(spark, sf_dir):
     return repeats.flag_repetitive(_repeat_rows(spark, sf_dir, DENSE), window_seconds=86400, slot_seconds=43200)
 
 
+# All events of eight users inside one hour, to the microsecond: a slot of time holds an eighth of the table.
+BURST = ("timestampadd(MICROSECOND, timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) % 3600000000, "
+         "timestamp_ntz'2025-01-01 00:00:00')")
+
+
+@query("flag_repetitive_burst", sql_repeats(DENSE, 240, user="user_id % 8", time="TIMESTAMP '2025-01-01 00:00:00' + to_microseconds(epoch_us(ts) % 3600000000)"))
+def q_flag_repetitive_burst(spark, sf_dir):
+    return repeats.flag_repetitive(_repeat_rows(spark, sf_dir, DENSE, user="user_id % 8", time=BURST), window_seconds=240, slot_rows=500)
+
+
 @query("apply_flags", with_views(
     f""", f AS ({sql_repeats('event_type', 3600)})
 SELECT id, CASE WHEN f.id IS NOT NULL THEN f.is_repetitive ELSE c.is_repetitive END AS is_repetitive,
