@@ -62,12 +62,12 @@ def find_repeats(
         F.col(user).alias("u"), F.col(id).alias("i"), _micros(comments, time).alias("t"),
         _same_content(text, title).alias("k"),
     )
-    rows = cut_lineage(rows)  # texts are read and fingerprinted once
     by_time = rows.withColumn("s", F.floor(F.col("t") / slot))
-    fullest = by_time.groupBy("u", "s").count().agg(F.max("count")).first()[0] or 0
+    fullest = by_time.groupBy("u", "s").count().agg(F.max("count")).first()[0] or 0  # reads user and time only
     dense = fullest > slot_rows
-    rows = slots_by_rank(rows, ["u"], ["t", "i"], "s", slot_rows) if dense else by_time
-    # One exchange of narrow rows serves the windows, aggregates and joins of both passes.
+    rows = slots_by_rank(cut_lineage(rows), ["u"], ["t", "i"], "s", slot_rows) if dense else by_time
+    # One exchange of narrow rows serves the windows, aggregates and joins of both passes,
+    # and texts are read and fingerprinted once.
     rows = rows.repartition("u", "s")
 
     runs = carry_forward(
