@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxmill.operators import ordering, repeats
+from voxmill.streaming import repeats_stream
 
 START = dt.datetime(2025, 1, 1)
 SCHEMA = "id long, national_code_hash string, title string, description string, created_at timestamp_ntz"
@@ -104,6 +105,50 @@ def test_a_burst_is_read_by_many_tasks(spark):
     assert counted == {None: 4, 0: 50_000, 50_001: 50_000, 100_002: 50_000, 150_003: 49_996}
 
 
+def test_stream_in_order_equals_the_loop(spark, tmp_path):
+    """Five parts by time, a new start for each: a restart between parts changes nothing. Rows without
+    user or time, ties inside a part, and users who stay away longer than the watermark waits."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(1500):
+        time = START + dt.timedelta(seconds=rng.randrange(0, 5 * 86400, 300))
+        rows.append((i, f"u{rng.randrange(12)}", "t", rng.choice(["a", "a", " a", "b"]), time))
+    rows += [(5000 + d, f"once{d}", "t", "a", START + dt.timedelta(days=d)) for d in range(5)]
+    odd = [(9000, None, "t", "a", START), (9001, "u1", "t", "a", None), (9002, "u2", None, None, START + dt.timedelta(days=4, hours=23, minutes=59))]
+    expected = by_hand(rows + odd, 7200)
+    kept = []
+    for day in range(5):
+        part = [r for r in rows + odd if (day == 0 if r[4] is None else (r[4] - START).days == day)]
+        spark.createDataFrame(part, SCHEMA).coalesce(2).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+        stream = (
+            repeats_stream.flag_stream(source, window_seconds=7200, late="1 hour").writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/flags")
+        )
+        stream.awaitTermination()
+        kept.append(sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in stream.recentProgress if p["stateOperators"]))
+    flags = spark.read.parquet(f"{tmp_path}/flags").collect()
+    assert kept == [0] * 5
+    assert len(flags) == len(rows + odd) and expected
+    assert {f.id: f.duplicate_of for f in flags if f.is_repetitive} == expected
+
+
+def test_stream_forgets_anchors_that_nothing_can_repeat(spark, tmp_path):
+    sizes = []
+    for users, day in ((50, 0), (1, 3)):
+        part = [(100 * day + u, f"u{u}", "t", "a", START + dt.timedelta(days=day)) for u in range(users)]
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+        stream = (
+            repeats_stream.flag_stream(source, late="1 hour").writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/flags")
+        )
+        stream.awaitTermination()
+        sizes.append(stream.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert spark.read.parquet(f"{tmp_path}/flags").count() == 51
+    assert sizes[0] >= 50 and sizes[1] < 10
+
+
 def test_flags_change_only_given_rows(spark):
     table = spark.createDataFrame([(1, True, 9), (2, None, None), (3, True, 8)], "id long, is_repetitive boolean, duplicate_of long")
     flags = spark.createDataFrame([(2, True, 1), (3, False, None)], "id long, is_repetitive boolean, duplicate_of long")

@@ -32,13 +32,13 @@ from .ordering import carry_forward, slots_by_rank
 MICROS = 1_000_000
 
 
-def _micros(comments: DataFrame, name: str) -> Column:
+def time_micros(comments: DataFrame, name: str) -> Column:
     if isinstance(comments.schema[name].dataType, T.TimestampNTZType):
         return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{name}`)")
     return F.unix_micros(F.col(name))
 
 
-def _same_content(text: str, title: str) -> Column:
+def comment_key(text: str, title: str) -> Column:
     """Fingerprint of normalised text and title, so that whole texts are not shuffled."""
     body, head = squeeze(F.col(text)), squeeze(F.col(title))
     return F.sha2(F.concat(F.length(body).cast("string"), F.lit(":"), body, head), 256)
@@ -59,8 +59,8 @@ def find_repeats(
     """One row (id, duplicate_of) per repeated comment."""
     window, slot = window_seconds * MICROS, slot_seconds * MICROS
     rows = comments.filter(F.col(user).isNotNull() & F.col(time).isNotNull()).select(
-        F.col(user).alias("u"), F.col(id).alias("i"), _micros(comments, time).alias("t"),
-        _same_content(text, title).alias("k"),
+        F.col(user).alias("u"), F.col(id).alias("i"), time_micros(comments, time).alias("t"),
+        comment_key(text, title).alias("k"),
     )
     by_time = rows.withColumn("s", F.floor(F.col("t") / slot))
     fullest = by_time.groupBy("u", "s").count().agg(F.max("count")).first()[0] or 0  # reads user and time only

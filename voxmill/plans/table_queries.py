@@ -10,7 +10,7 @@ from ..functions import lexicon as lx
 from ..operators import merges, repeats, reports, selection
 from ..schemas import COMMENTS, COMMENT_RECORD
 from ..sources import files
-from ..streaming import intake
+from ..streaming import intake, repeats_stream
 from . import sqltext as sq
 from .registry import query
 from .scratch import scratch_folder
@@ -663,3 +663,18 @@ def q_stream_import(spark, sf_dir):
     stream.awaitTermination()
     rows = intake.read_table(spark, target)
     return shown(rows.select("national_code_hash", "created_at", "title", "grade", "description", "mobile_no_hash", "channel_code"))
+
+
+@query("flag_stream", sql_repeats("event_type", 3600))
+def q_flag_stream(spark, sf_dir):
+    """Flags of comments that arrive in three parts by time; the stream is started again for each."""
+    folder = scratch_folder(spark)
+    rows = _repeat_rows(spark, sf_dir, "event_type")
+    times = F.unix_micros(F.col("created_at").cast("timestamp"))
+    low, high = rows.agg(F.percentile_approx(times, [0.3, 0.6])).first()[0]
+    for part in (times <= low, (times > low) & (times <= high), times > high):
+        rows.filter(part).write.mode("append").parquet(f"{folder}/in")
+        flags = repeats_stream.flag_stream(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+        stream = flags.writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+        stream.outputMode("append").format("parquet").start(f"{folder}/flags").awaitTermination()
+    return spark.read.schema(repeats_stream.FLAGS).parquet(f"{folder}/flags")
