@@ -49,6 +49,26 @@ def test_tfidf_of_groups(spark):
                 assert all(abs(mine[g] - expected[g]) < 2e-4 for g in mine)
 
 
+def test_large_vocabularies_give_the_same_report(spark, monkeypatch):
+    """Beyond the size that is broadcast, counts are joined by a shuffle; with totals asked for, grams are counted first."""
+    df = spark.createDataFrame(documents(), "id long, description string, grp string")
+    report = lambda **options: sorted(map(tuple, ngrams.tfidf_ngrams(df, ns=(2, 3), top_k=50, group="grp", **options).collect()))
+    expected = report()
+    assert expected == report(max_features=10_000)
+    monkeypatch.setattr(ngrams, "MAX_BROADCAST_GRAMS", 0)
+    assert expected and expected == report() == report(max_features=10_000)
+
+
+def test_every_value_of_the_group_column(spark):
+    """Groups that nobody named, many and small: the same comments as with all of them named."""
+    rows = [(i, f"{WORDS[i % 6]} {WORDS[i // 7 % 6]} {WORDS[i // 3 % 6]} لطفا امکان اضافه", f"g{i % 40}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, description string, grp string")
+    named = [f"g{i}" for i in range(40)]
+    for job in (exemplars.representative, exemplars.buckets):
+        mine = sorted(map(repr, job(df, group="grp").collect()))
+        assert mine and mine == sorted(map(repr, job(df, group="grp", groups=named).collect()))
+
+
 def test_too_few_documents_give_nothing(spark):
     df = spark.createDataFrame(documents(4), "id long, description string, grp string")
     assert ngrams.ngram_report(df).count() == 0

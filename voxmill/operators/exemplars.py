@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,12 @@ def lead_summary(
     )
 
 
+def _small(groups: Sequence[str] | None) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast of a table with a few rows per group, if the caller names the groups. The values of a
+    column may be many: then the choice is the optimiser's, from measured sizes."""
+    return F.broadcast if groups is not None else lambda rows: rows
+
+
 def centrality(
     docs: DataFrame, *, group: str, groups: Sequence[str] | None = None, min_len: int = 20,
     max_comments: int | None = None, stopwords: Sequence[str] = lx.LIGHT_STOPWORDS,
@@ -43,7 +49,7 @@ def centrality(
 
     Weights are TF-IDF over words and word pairs. ``score`` is null in groups of fewer
     than three comments; a group in which no term is kept has no rows. ``groups`` names the
-    groups to look at (default: all values of the column but null); there are few of them. The
+    groups to look at (default: all values of the column but null, however many). The
     reference form looks at the first 200 comments of a group (``max_comments``).
     """
     listed = F.col(group).isin(list(groups)) if groups is not None else F.col(group).isNotNull()
@@ -55,39 +61,42 @@ def centrality(
     if max_comments is not None:
         texts = top_per_group(texts, ["grp"], ["id"], max_comments, "_r").drop("_r")
     sizes = texts.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"))
+    small = _small(groups)
 
     tokens = texts.select("grp", "id", word_tokens(F.col("text"), stopwords).alias("_tokens"))
     grams = F.concat(F.col("_tokens"), ngrams(F.col("_tokens"), 2))
     entries = cut_lineage(gram_counts(tokens, {0: grams}, "id", ["grp"]).drop("n"))
 
     max_df = F.when(F.floor(F.col("docs") * MAX_DF) < MIN_DF, 1.0).otherwise(MAX_DF)
-    # One row per term that is kept, written since the join reads it twice.
+    # One row per group and term that is kept, written since the join reads it twice. Its number
+    # stands for both from here on.
     terms = cut_lineage(
         entries.groupBy("grp", "gram").agg(F.count(F.lit(1)).alias("df"))
         .filter(F.col("df") >= MIN_DF)
-        .join(F.broadcast(sizes), "grp")  # one row per reported group
+        .join(small(sizes), "grp")
         .filter((F.col("df") <= max_df * F.col("docs")) & (F.col("docs") >= FEW_DOCS))
         .select("grp", "gram", "df", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf"))
+        .withColumn("term", F.monotonically_increasing_id())
     )
     document = Window.partitionBy("grp", "id")
     weights = cut_lineage(
         join_skewed(entries, terms, ["grp", "gram"], "df")
         .withColumn("w", F.col("tf") * F.col("idf"))
         .withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(document)))
-        .select("grp", "id", "gram", "w")
+        .select("grp", "id", "term", "w")
     )
     # The sum of the weights points the same way as their mean.
-    centre = cut_lineage(weights.groupBy("grp", "gram").agg(F.sum("w").alias("c"), F.count(F.lit(1)).alias("df")))
+    centre = cut_lineage(weights.groupBy("term").agg(F.first("grp").alias("grp"), F.sum("w").alias("c"), F.count(F.lit(1)).alias("df")))
     lengths = centre.groupBy("grp").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("centre_length"))
     products = (
-        join_skewed(weights, centre, ["grp", "gram"], "df")
+        join_skewed(weights, centre.drop("grp"), ["term"], "df")
         .groupBy("grp", "id").agg(F.sum(F.col("w") * F.col("c")).alias("product"))
     )
     few = F.col("docs") < FEW_DOCS
     cosine = F.round(F.coalesce(F.col("product"), F.lit(0.0)) / F.col("centre_length"), 6)
     return (
-        texts.join(F.broadcast(sizes), "grp")
-        .join(F.broadcast(lengths), "grp", "left")
+        texts.join(small(sizes), "grp")
+        .join(small(lengths), "grp", "left")
         .filter(few | F.col("centre_length").isNotNull())
         .join(products, ["grp", "id"], "left")
         .select("grp", "id", "text", "docs", F.when(~few, cosine).alias("score"))
@@ -116,13 +125,14 @@ def buckets(
     the first 400 comments of a group.
     """
     scored = cut_lineage(centrality(docs, group=group, max_comments=max_comments, **options))
+    small = _small(options.get("groups"))
     top = _core(scored, core).withColumn("bucket", F.lit("core"))
-    # Each picked set has at most k rows per reported group, hence the broadcasts.
-    core_texts = F.broadcast(top.select("grp", "text").distinct())
+    # Each picked set has at most k rows per group.
+    core_texts = small(top.select("grp", "text").distinct())
     lowest = top_per_group(scored.filter(F.col("score").isNotNull()), ["grp"], [F.asc("score"), F.asc("id")], outliers)
     odd = lowest.join(core_texts, ["grp", "text"], "left_anti").withColumn("bucket", F.lit("outliers"))
     compared = top.filter(F.col("score").isNotNull())  # small groups keep every suggestion
-    used = F.broadcast(compared.select("grp", "text").unionByName(odd.select("grp", "text")).distinct())
+    used = small(compared.select("grp", "text").unionByName(odd.select("grp", "text")).distinct())
     asking = top_per_group(scored.filter(is_suggestion(F.col("text"))), ["grp"], ["id"], suggestions)
     asking = asking.join(used, ["grp", "text"], "left_anti").withColumn("bucket", F.lit("suggestions"))
 

@@ -27,33 +27,38 @@ def gram_counts(tokenized: DataFrame, grams_of: dict[int, Column], id: str, keep
     the counting here, every per-document step after it, and all readers of the counts;
     the far more numerous (document, gram) pairs are not shuffled.
     """
-    by_document = tokenized.repartition(id)
-    lists = F.array(*[F.struct(F.lit(n).alias("n"), grams.alias("grams")) for n, grams in grams_of.items()])
-    grams = by_document.select(id, *keep, F.inline(lists)).select(id, *keep, "n", F.explode("grams").alias("gram"))
+    grams = gram_rows(tokenized.repartition(id), grams_of, id, keep)
     return grams.groupBy(id, *keep, "n", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def gram_rows(tokenized: DataFrame, grams_of: dict[int, Column], id: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (id, *keep, n, gram), one per entry of the arrays."""
+    lists = F.array(*[F.struct(F.lit(n).alias("n"), grams.alias("grams")) for n, grams in grams_of.items()])
+    return tokenized.select(id, *keep, F.inline(lists)).select(id, *keep, "n", F.explode("grams").alias("gram"))
+
+
 def _with_all(rows: DataFrame, with_all: bool) -> DataFrame:
     return rows.withColumn("grp", F.explode(F.array(F.col("grp"), F.lit(ALL)))) if with_all else rows
 
 
-def _gram_stats(counts: DataFrame, labels: Sequence[str], with_all: bool, min_df: int) -> DataFrame:
-    """(grp, n, gram, df, total) of the grams with at least ``min_df`` documents.
+def _gram_stats(counts: DataFrame, labels: Sequence[str], with_all: bool, min_df: int, totals: bool = True) -> DataFrame:
+    """(grp, n, gram, df) of the grams with at least ``min_df`` documents; (total) where asked for.
 
     One aggregate by gram holds the numbers of every group side by side. A gram that is
     too rare over all groups is too rare in each, and most grams are: they go before
     the groups are laid out as rows.
     """
-    of = lambda label, value: F.sum(F.when(F.col("grp") == label, value).otherwise(0))
-    wide = counts.groupBy("n", "gram").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"),
-        *[of(g, F.lit(1)).alias(f"_df_{i}") for i, g in enumerate(labels)],
-        *[of(g, F.col("tf")).alias(f"_total_{i}") for i, g in enumerate(labels)],
-    ).filter(F.col("df") >= min_df)
-    entry = lambda grp, df, total: F.struct(F.lit(grp).alias("grp"), F.col(df).alias("df"), F.col(total).alias("total"))
-    entries = [entry(g, f"_df_{i}", f"_total_{i}") for i, g in enumerate(labels)]
-    if with_all:
-        entries.append(entry(ALL, "df", "total"))
+    values = {"df": F.lit(1), **({"total": F.col("tf")} if totals else {})}
+    places = [*enumerate(labels), *([("all", None)] if with_all else [])]
+    sums = [
+        F.sum(F.when(F.col("grp") == g, value) if g is not None else value).alias(f"_{name}_{i}")
+        for i, g in places for name, value in values.items()
+    ]
+    wide = counts.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("_in"), *sums).filter(F.col("_in") >= min_df)
+    entries = [
+        F.struct(F.lit(ALL if g is None else g).alias("grp"), *[F.coalesce(f"_{name}_{i}", F.lit(0)).alias(name) for name in values])
+        for i, g in places
+    ]
     return wide.select("n", "gram", F.inline(F.array(*entries))).filter(F.col("df") >= min_df)
 
 
@@ -96,38 +101,51 @@ def tfidf_ngrams(
     if not with_all:
         labelled = labelled.filter(F.col("grp").isNotNull())
     tokenized = labelled.select(id, "grp", tokenize(F.col("_text"), pattern, stopwords).alias("_tokens"))
-    counts = gram_counts(tokenized, {n: ngrams(F.col("_tokens"), n) for n in ns}, id, ["grp"])
+    grams_of = {n: ngrams(F.col("_tokens"), n) for n in ns}
+    if max_features is None:  # totals are not asked for: every document names each of its grams once
+        named = gram_rows(tokenized, {n: F.array_distinct(grams) for n, grams in grams_of.items()}, id, ["grp"])
+        counts = named.withColumn("tf", F.lit(1))
+    else:
+        counts = gram_counts(tokenized, grams_of, id, ["grp"])
 
     labels = list(groups) if group else [ALL]
     sizes = _with_all(labelled.groupBy("grp").agg(F.count(F.lit(1)).alias("docs")), with_all)
     sizes = sizes.filter(F.col("grp").isNotNull()).groupBy("grp").agg(F.sum("docs").alias("docs"))
     vocabulary = (
-        _gram_stats(counts, labels, with_all, min_df)
+        _gram_stats(counts, labels, with_all, min_df, totals=max_features is not None)
         .join(F.broadcast(sizes), "grp")  # one row per reported group
         .filter(F.col("df") <= F.lit(max_df) * F.col("docs"))
         .withColumn("idf", F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1)
     )
     if max_features is not None:
         vocabulary = _most_frequent(vocabulary, max_features)
-    # One row per gram with what each group knows of it, so that a gram is joined once.
-    vocabulary = cut_lineage(vocabulary.groupBy("n", "gram").agg(
+    # One row per kept gram with its number and what each group knows of it. From here on
+    # numbers stand for grams, so strings are counted once and never shuffled with documents.
+    vocabulary = vocabulary.groupBy("n", "gram").agg(
         F.max("df").alias("df"), F.collect_list(F.struct(F.col("grp").alias("v_grp"), "idf")).alias("_known")
-    ))
+    )
+    vocabulary = cut_lineage(vocabulary.withColumn("term", F.monotonically_increasing_id()))
+    numbers = vocabulary.select("n", "gram", "term", "df")
     if vocabulary.count() <= MAX_BROADCAST_GRAMS:
-        found = counts.join(F.broadcast(vocabulary), ["n", "gram"])
+        # Rare grams, which are most, go before anything is counted or shuffled.
+        entries = gram_rows(tokenized, grams_of, id, ["grp"]).join(F.broadcast(numbers), ["n", "gram"])
+        entries = entries.select(id, "grp", "term").repartition(id)
+        entries = entries.groupBy(id, "grp", "term").agg(F.count(F.lit(1)).alias("tf"))
+        found = entries.join(F.broadcast(vocabulary.select("term", "n", "_known")), "term")
     else:
-        found = join_skewed(counts, vocabulary, ["n", "gram"], "df")
+        found = join_skewed(gram_counts(tokenized, grams_of, id, ["grp"]), vocabulary, ["n", "gram"], "df")
 
     same_group = (F.col("v_grp") == F.col("grp")) | (F.col("v_grp") == ALL)
     document = Window.partitionBy("v_grp", "n", id)
     weighted = (
-        found.select(id, "grp", "n", "gram", "tf", F.inline("_known"))
+        found.select(id, "grp", "n", "term", "tf", F.inline("_known"))
         .filter(same_group)
         .withColumn("w", F.col("tf") * F.col("idf"))
         .withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(document)))
     )
-    scored = weighted.groupBy(F.col("v_grp").alias("grp"), "n", F.col("gram").alias("ngram")).agg(
-        F.round(F.sum("w"), 4).alias("tfidf")
+    scored = (
+        weighted.groupBy(F.col("v_grp").alias("grp"), "term").agg(F.round(F.sum("w"), 4).alias("tfidf"))
+        .join(numbers.withColumnRenamed("gram", "ngram").drop("df"), "term")
     )
     by_score = [F.desc("tfidf"), F.asc("ngram")]
     if isinstance(top_k, dict):
