@@ -59,6 +59,30 @@ def test_large_vocabularies_give_the_same_report(spark, monkeypatch):
     assert expected and expected == report() == report(max_features=10_000)
 
 
+def test_grams_scored_first_do_not_change_the_report(spark, monkeypatch):
+    """However few grams are scored first, those that can reach the last rank are scored too."""
+    df = spark.createDataFrame(documents(), "id long, description string, grp string")
+    report = lambda: sorted(map(tuple, ngrams.tfidf_ngrams(df, ns=(2, 3), top_k={2: 6, 3: 4}, group="grp").collect()))
+    expected = report()
+    for few in (1, 7):
+        monkeypatch.setattr(ngrams, "SCORED_FIRST", few)
+        assert expected and report() == expected
+
+
+def test_gram_keys_count_each_gram_once(spark):
+    docs = documents(30)
+    df = spark.createDataFrame(docs, "id long, description string, grp string").withColumn("t", F.split("description", " "))
+    rows = df.select("id", F.inline(ngrams.gram_keys(F.col("t"), (2, 3)))).collect()
+    spelled = {}
+    for i, text, _ in docs:
+        words = text.split(" ")
+        for code, n in enumerate((2, 3)):
+            tf = Counter(" ".join(words[j:j + n]) for j in range(len(words) - n + 1))
+            assert sorted(tf.values()) == sorted(r.tf for r in rows if r.id == i and r.code == code)
+            spelled[code] = spelled.get(code, set()) | tf.keys()
+    assert len({r.key for r in rows}) == len(spelled[0]) + len(spelled[1])
+
+
 def test_every_value_of_the_group_column(spark):
     """Groups that nobody named, many and small: the same comments as with all of them named."""
     rows = [(i, f"{WORDS[i % 6]} {WORDS[i // 7 % 6]} {WORDS[i // 3 % 6]} لطفا امکان اضافه", f"g{i % 40}") for i in range(200)]

@@ -21,6 +21,8 @@ WORD = f"[{lx.WORD_CHARS}]"
 NOT_AFTER_WORD = f"(?<!{WORD})"
 NOT_BEFORE_WORD = f"(?!{WORD})"
 DIGIT = r"\p{Nd}"
+NUMBER_START = f" [{DIGIT}+]"
+PLURAL = f"ها(?:یی?)?{NOT_BEFORE_WORD}"
 
 
 def _replace(text: Column, pattern: str, replacement: str) -> Column:
@@ -104,7 +106,7 @@ def rating_digit_to_word(text: Column) -> Column:
 
 def drop_number_start(text: Column) -> Column:
     """A space and one digit or plus sign become one space."""
-    return _replace(text, f" [{DIGIT}+]", " ")
+    return _replace(text, NUMBER_START, " ")
 
 
 def punctuation_to_space(text: Column) -> Column:
@@ -154,7 +156,7 @@ def half_space_before(text: Column, word_patterns: Sequence[str]) -> Column:
 
 def drop_plural_suffix(text: Column) -> Column:
     """The plural ending with its optional leading space; also cuts inside words."""
-    return _replace(text, f"(?:{SPACE}|{lx.ZWNJ})?ها(?:یی?)?{NOT_BEFORE_WORD}", "")
+    return _replace(text, f"(?:{SPACE}|{lx.ZWNJ})?{PLURAL}", "")
 
 
 def line_breaks_to_space(text: Column) -> Column:
@@ -259,15 +261,10 @@ def tokenize(text: Column, pattern: str = lx.PERSIAN_TOKEN, stopwords: Sequence[
     """Array of the tokens that match ``pattern`` as a whole and are no stop words,
     in text order with repeats; null gives an empty array."""
     stop = _checked(stopwords)
-    clean = normalize_text(
-        text,
-        ascii_digits=True,
-        persian_letters=True,
-        without_diacritics=True,
-        without_number_start=True,
-        without_punctuation=True,
-    )
-    parts = F.split(clean, r"[ \[\]]+")  # the only separators left; runs need no collapsing
+    mapped = F.translate(strip(text), lx.PERSIAN_DIGITS + lx.ARABIC_LETTERS + lx.DIACRITICS, lx.ASCII_DIGITS + lx.PERSIAN_LETTERS)
+    # One pass for three steps of ``normalize_text``: what they remove or turn into a blank separates words
+    # (the plural ending, a digit after a blank, everything but word characters). Empty parts match no pattern.
+    parts = F.split(mapped, f"{PLURAL}|{NUMBER_START}|[^{lx.WORD_CHARS}]")
     kept = F.filter(parts, lambda t: F.rlike(t, F.lit(rf"\A(?:{pattern})\z")) & _not_in(t, stop))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
