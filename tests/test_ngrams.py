@@ -83,6 +83,18 @@ def test_gram_keys_count_each_gram_once(spark):
     assert len({r.key for r in rows}) == len(spelled[0]) + len(spelled[1])
 
 
+def test_most_frequent_grams_of_several_lengths(spark):
+    """Equal counts at the last place are told apart by the gram; the document may be known by its text only."""
+    docs = documents(50)
+    df = spark.createDataFrame(docs, "id long, description string, grp string")
+    for id in ("id", None):
+        rows = ngrams.top_ngrams_of(df, ns=(1, 2, 3), limit=5, id=id).collect()
+        for n in (1, 2, 3):
+            total = Counter(" ".join(w[i:i + n]) for w in (d[1].split() for d in docs) for i in range(len(w) - n + 1))
+            expected = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:5]
+            assert sorted(((r.ngram, r.total) for r in rows if r.n == n), key=lambda x: (-x[1], x[0])) == expected
+
+
 def test_every_value_of_the_group_column(spark):
     """Groups that nobody named, many and small: the same comments as with all of them named."""
     rows = [(i, f"{WORDS[i % 6]} {WORDS[i // 7 % 6]} {WORDS[i // 3 % 6]} لطفا امکان اضافه", f"g{i % 40}") for i in range(200)]

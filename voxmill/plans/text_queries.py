@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions.rules import sentiment_group
 from ..operators import exemplars, ngrams
 from ..operators.reports import stack_reports
+from ..session import cut_lineage
 from ..sources.files import load_stopwords
 from . import sqltext as sq
 from .registry import query
@@ -155,22 +156,22 @@ def _sql_top(n, limit, label):
 
 
 def _report_texts(spark, sf_dir):
-    return texts(spark, sf_dir).select(tx.normalize_for_report(F.col("description")).alias("description"))
+    return texts(spark, sf_dir).select("id", tx.normalize_for_report(F.col("description")).alias("description"))
 
 
 @query("top_words", _sql_top(1, 20, "word"))
 def q_top_words(spark, sf_dir):
-    return ngrams.top_words(_report_texts(spark, sf_dir), limit=20, stopwords=STOP)
+    return ngrams.top_words(_report_texts(spark, sf_dir), limit=20, stopwords=STOP, id="id")
 
 
 @query("top_ngrams", _sql_top(2, 30, "ngram"))
 def q_top_bigrams(spark, sf_dir):
-    return ngrams.top_ngrams(_report_texts(spark, sf_dir), n=2, limit=30, stopwords=STOP)
+    return ngrams.top_ngrams(_report_texts(spark, sf_dir), n=2, limit=30, stopwords=STOP, id="id")
 
 
 @query("top_trigrams", _sql_top(3, 30, "ngram"))
 def q_top_trigrams(spark, sf_dir):
-    return ngrams.top_ngrams(_report_texts(spark, sf_dir), n=3, limit=30, stopwords=STOP)
+    return ngrams.top_ngrams(_report_texts(spark, sf_dir), n=3, limit=30, stopwords=STOP, id="id")
 
 
 @query("union_ngrams", with_views(
@@ -179,8 +180,8 @@ def q_top_trigrams(spark, sf_dir):
     "c AS (SELECT type, ngram, count(*) AS total, row_number() OVER (PARTITION BY type ORDER BY count(*) DESC, ngram) AS r FROM g GROUP BY type, ngram) "
     "SELECT type, ngram, total FROM c WHERE r <= 20", "texts_v"))
 def q_union_ngrams(spark, sf_dir):
-    docs = texts(spark, sf_dir)
-    return stack_reports({name: ngrams.top_ngrams(docs, n=n, limit=20) for n, name in ngrams.KIND_OF_N.items()})
+    top = cut_lineage(ngrams.top_ngrams_of(texts(spark, sf_dir), ns=tuple(ngrams.KIND_OF_N), limit=20, id="id"))  # 40 rows
+    return stack_reports({name: top.filter(F.col("n") == n).drop("n") for n, name in ngrams.KIND_OF_N.items()})
 
 
 # --- TF-IDF --------------------------------------------------------------------------------------------------
