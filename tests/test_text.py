@@ -84,3 +84,19 @@ def test_word_lists():
     assert len(lx.SUGGESTION_PATTERNS) == 19
     assert len(lx.FEATURE_OF_TITLE) == 11
     assert len(lx.ARABIC_LETTERS) == len(lx.PERSIAN_LETTERS)
+
+
+def test_rating_words_and_report_form_do_not_repeat_steps(spark):
+    """The text before the rating step is named once, and the report form takes three patterns, with unchanged results."""
+    marked = F.concat(F.col("description"), F.lit("once"))
+    df = spark.createDataFrame([(" 5 6x +7!!12 aaaa  b٣٤ 1",), ("4",), (None,)], "description string")
+    plan = df.select(tx.rating_digit_to_word(marked).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("once") == 1
+    report = tx.normalize_for_report(F.col("description"))
+    assert df.select(report.alias("x"))._jdf.queryExecution().analyzed().toString().count("regexp_replace") == 3
+    # the single steps, one after the other
+    not_word = f"[^{lx.WORD_CHARS} ]"
+    steps = tx.strip(tx.arabic_to_persian(tx.persian_digits_to_ascii(F.col("description"))))
+    steps = tx.drop_number_start(tx.shorten_runs(tx.collapse_double_spaces(F.translate(steps, lx.ZWNJ, " "))))
+    steps = F.regexp_replace(tx.ascii_digits_to_persian(F.regexp_replace(steps, not_word, " ")), r"\p{Nd}+", " ")
+    assert all(r.a == r.b for r in df.select(report.alias("a"), F.regexp_replace(steps, not_word, " ").alias("b")).collect())

@@ -70,7 +70,9 @@ def word_count(text: Column) -> Column:
 
 def drop_short_sentences(text: Column, min_words: int) -> Column:
     sentences = F.transform(F.split(text, rf"(?<=[.!?]){SPACE}+"), strip)
-    kept = F.filter(sentences, lambda s: (s != "") & (word_count(s) >= min_words))
+    no_space = f"[^{lx.SPACE_CHARS}]+"
+    enough = rf"\A{no_space}(?:{SPACE}+{no_space}){{{max(0, min_words - 1)}}}"  # looks at the first words only
+    kept = F.filter(sentences, lambda s: F.rlike(s, F.lit(enough)))
     return F.array_join(kept, " ")
 
 
@@ -101,7 +103,7 @@ def shorten_runs(text: Column) -> Column:
 
 def rating_digit_to_word(text: Column) -> Column:
     pairs = [F.lit(part) for pair in lx.RATING_WORDS.items() for part in pair]
-    return F.coalesce(F.create_map(*pairs)[text], text)
+    return let(text, lambda t: F.coalesce(F.create_map(*pairs)[t], t))  # else all steps before run twice
 
 
 def drop_number_start(text: Column) -> Column:
@@ -132,10 +134,12 @@ def join_mi_prefix(text: Column) -> Column:
 
 
 def drop_phrases(text: Column, phrases: Sequence[str]) -> Column:
-    if not phrases:
-        return strip(text)
+    return strip(collapse(_without_phrases(text, phrases))) if phrases else strip(text)
+
+
+def _without_phrases(text: Column, phrases: Sequence[str]) -> Column:
     quoted = "|".join(rf"\Q{p}\E" for p in phrases)
-    return strip(collapse(_replace(text, f"{SPACE}*(?:{quoted}){SPACE}*", " ")))
+    return _replace(text, f"{SPACE}*(?:{quoted}){SPACE}*", " ") if phrases else text
 
 
 def pad_punctuation(text: Column) -> Column:
@@ -212,9 +216,10 @@ def normalize_text(
         (persian_digits, ascii_digits_to_persian),
         (without_punctuation, punctuation_to_space),
         (keep_punctuation, lambda t: punctuation_to_space_except(t, keep_punctuation)),
-        (single_spaces, collapse_double_spaces),
+        (single_spaces and not keep_punctuation, collapse_double_spaces),  # that step leaves single blanks
         (mi_prefix, join_mi_prefix),
-        (without_phrases, lambda t: drop_phrases(t, without_phrases)),
+        # padding strips and collapses after it
+        (without_phrases, lambda t: (_without_phrases if padded_punctuation else drop_phrases)(t, without_phrases)),
         (padded_punctuation, pad_punctuation),
         (tight_after, lambda t: no_space_after(t, tight_after)),
         (half_space_before_words, lambda t: half_space_before(t, half_space_before_words)),
@@ -238,12 +243,10 @@ def normalize_for_match(text: Column) -> Column:
 
 def normalize_for_report(text: Column) -> Column:
     """Form used by the word-frequency reports. Digits go away altogether."""
-    not_word = f"[^{lx.WORD_CHARS} ]"
-    text = strip(F.translate(text, lx.PERSIAN_DIGITS + lx.ARABIC_LETTERS, lx.ASCII_DIGITS + lx.PERSIAN_LETTERS))
-    text = collapse_double_spaces(F.translate(text, lx.ZWNJ, " "))
-    text = _replace(drop_number_start(shorten_runs(text)), not_word, " ")
-    text = _replace(ascii_digits_to_persian(text), f"{DIGIT}+", " ")
-    return _replace(arabic_to_persian(text), not_word, " ")
+    mapped, target = lx.PERSIAN_DIGITS + lx.ARABIC_LETTERS + lx.ZWNJ, lx.ASCII_DIGITS + lx.PERSIAN_LETTERS + " "
+    text = shorten_runs(collapse_double_spaces(F.translate(strip(text), mapped, target)))
+    # in one pass: a digit or plus sign after a blank, numbers, and everything else that is no word character
+    return _replace(text, f"{NUMBER_START}|{DIGIT}+|[^{lx.WORD_CHARS} ]", " ")
 
 
 # --- tokens and predicates ---------------------------------------------------------------------
