@@ -1,8 +1,10 @@
 """TF-IDF and central comments against a plain Python computation."""
 
 import math
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from voxmill.operators import exemplars, ngrams, ordering
@@ -105,6 +107,59 @@ def test_every_value_of_the_group_column(spark):
         assert mine and mine == sorted(map(repr, job(df, group="grp", groups=named).collect()))
 
 
+def test_comments_are_scored_without_writing_their_terms(spark):
+    """What representative and buckets write is a few numbers per comment, not its terms."""
+    from pathlib import Path
+
+    from voxmill import session
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"{rng.choice(WORDS)}{rng.randrange(400)}" for _ in range(300)), f"g{i % 2}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, description string, grp string")
+    for job in (exemplars.representative, exemplars.buckets):
+        before = len(session._WRITTEN)
+        assert job(df, group="grp").count() >= 14
+        written = sum(f.stat().st_size for path in session._WRITTEN[before:] for f in Path(path).glob("*.parquet"))
+        assert written < sum(len(r[1]) for r in rows) / 2
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_centrality_by_hand(spark, monkeypatch, broadcast):
+    """Against plain Python, with ids that are given twice, in one group and in two, and missing ids."""
+    monkeypatch.setattr(exemplars, "MAX_BROADCAST_NORMS", 10**6 if broadcast else 0)
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]) for _ in range(rng.randrange(5, 12)))
+    rows = [(i, text(), f"g{i % 3}") for i in range(40)]
+    plain, odd = rows, [*rows, (3, text(), "g0"), (4, text(), "g2"), (None, text(), "g1"), (90, text(), "tiny")]
+    for given in (plain, odd):
+        df = spark.createDataFrame(given, "id long, description string, grp string")
+        expected = []
+        for g in {r[2] for r in given}:
+            mine = [r for r in given if r[2] == g]
+            tf = {}
+            for i, t, _ in mine:
+                w = t.split(" ")
+                tf.setdefault(i, Counter()).update([*w, *map(" ".join, zip(w, w[1:]))])
+            df_of = Counter(term for c in tf.values() for term in c)
+            d = len(mine)
+            kept = {t: math.log((1 + d) / (1 + n)) + 1 for t, n in df_of.items() if 2 <= n <= (1.0 if d * 0.85 < 2 else 0.85) * d and d >= 3}
+            w = {i: {t: n * kept[t] for t, n in c.items() if t in kept} for i, c in tf.items() if i is not None}
+            norm = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in w.items()}
+            centre = Counter()
+            for i, v in w.items():
+                for t, x in v.items():
+                    centre[t] += x / norm[i]
+            length = math.sqrt(sum(x * x for x in centre.values()))
+            for i, t, _ in mine:
+                score = sum(x / norm[i] * centre[term] for term, x in w.get(i, {}).items()) / length if d >= 3 else None
+                expected.append((g, i, t, d, score))
+        found = [tuple(r) for r in exemplars.centrality(df, group="grp", stopwords=[]).collect()]
+        order = lambda r: (r[0], r[1] or -1, r[2])
+        assert [r[:4] for r in sorted(found, key=order)] == [r[:4] for r in sorted(expected, key=order)]
+        for a, b in zip(sorted(found, key=order), sorted(expected, key=order)):
+            assert (a[4] is None) == (b[4] is None) and (a[4] is None or abs(a[4] - b[4]) < 2e-6)
+
+
 def test_too_few_documents_give_nothing(spark):
     df = spark.createDataFrame(documents(4), "id long, description string, grp string")
     assert ngrams.ngram_report(df).count() == 0
