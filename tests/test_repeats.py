@@ -149,6 +149,23 @@ def test_stream_forgets_anchors_that_nothing_can_repeat(spark, tmp_path):
     assert sizes[0] >= 50 and sizes[1] < 10
 
 
+def test_stream_calls_a_bucket_and_not_each_user(spark, tmp_path):
+    """Anchors of all users of a bucket are one row of state and have one timer, and are still told apart."""
+    rows = [(10 * u + j, f"u{u}", "t", "a", START + dt.timedelta(minutes=20 * j)) for u in range(300) for j in range(3)]
+    for part in (0, 1):
+        spark.createDataFrame([r for r in rows if (r[0] % 10 > 1) == part], SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+        flags = repeats_stream.flag_stream(source, late="1 hour", buckets=4)
+        stream = (
+            flags.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/flags")
+        )
+        stream.awaitTermination()
+    assert stream.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4 * 3
+    repeated = {f.id: f.duplicate_of for f in spark.read.parquet(f"{tmp_path}/flags").collect() if f.is_repetitive}
+    assert repeated == {10 * u + j: 10 * u for u in range(300) for j in (1, 2)}
+
+
 def test_flags_change_only_given_rows(spark):
     table = spark.createDataFrame([(1, True, 9), (2, None, None), (3, True, 8)], "id long, is_repetitive boolean, duplicate_of long")
     flags = spark.createDataFrame([(2, True, 1), (3, False, None)], "id long, is_repetitive boolean, duplicate_of long")
