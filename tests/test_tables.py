@@ -399,3 +399,75 @@ def test_a_batch_rewrites_its_months_only(spark, tmp_path):
     assert content() == content(2)
     run(2, ("f", day(1, 7), "f"))
     assert content()[-1] == (13, "f", 202401, "f") and month_table.retire(spark, table, keep=1) and len(content()) == 6
+
+
+def test_many_batches_write_in_proportion_to_their_rows(spark, tmp_path):
+    """Every snapshot equals the merges one after the other, ids too; but one month is not written again for each batch."""
+    from pathlib import Path
+
+    source, table = tmp_path / "in", str(tmp_path / "table")
+    source.mkdir()
+    line = lambda f, user: f't{f},{f},"d{f}, ""x""\n{user}",{user},a,b,0912,11/{user % 20 + 1:02d}/25 12:05 AM,{"" if f % 2 else f"c{f}"}\n'
+    expected, steps = spark.createDataFrame([], schemas.COMMENTS), []
+    for f in range(8):
+        path = write(source / f"{f}.csv", "h\n" + "".join(line(f, user) for user in range(f * 5, f * 5 + 10)))
+        merged = merges.upsert_comments(expected, files.clean_feedback(files.read_feedback_csv(spark, path)), imported_at=now())
+        steps.append(sorted(map(tuple, merged.collect())))
+        expected = spark.createDataFrame(steps[-1], schemas.COMMENTS)
+        Path(path).touch()
+    intake.start_table(spark, table)
+    intake.import_stream(spark, str(source), table, str(tmp_path / "state"), files_per_batch=1, imported_at=now(), keep=0).awaitTermination()
+    for number, rows in enumerate(steps):
+        assert sorted(map(tuple, intake.read_table(spark, table, number + 1).drop("month").collect())) == rows
+    assert spark.read.parquet(f"{table}/data").count() <= 2 * 80  # 10 + 15 + ... + 45 = 220 when each batch rewrites the month
+
+
+def test_stream_splits_a_file_over_tasks(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    rows = "".join(f't{i},1,"a, ""b""{chr(10) * (i % 7)} {i}",{i},a,b,0912,11/29/25 12:05 AM,web\r\n' for i in range(400))
+    write(source / "1.csv", "TITLE,GRADE\r\n" + rows)
+    write(source / "2.csv", "TITLE,GRADE\r\n" + rows.replace("t1", "u1") + 'open,1,"never closed,1,a,b,1,11/29/25 12:05 AM,web')
+    keys, sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"), ("3000", "1")
+    before, seen = [spark.conf.get(k) for k in keys], []
+    intake_of = lambda clean, number: seen.append((clean.rdd.getNumPartitions(), [tuple(r) for r in clean.orderBy("seq").drop("seq").collect()]))
+    try:
+        for k, v in zip(keys, sizes, strict=True):
+            spark.conf.set(k, v)
+        intake.import_stream(spark, str(source), str(tmp_path / "t"), str(tmp_path / "s"), merge=intake_of).awaitTermination()
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    whole = files.clean_feedback(files.feedback_columns(files.with_places(
+        spark.read.schema(files.positional_schema(files.FEEDBACK_FIELDS)).options(**files.csv_options()).csv(str(source))), by_time=True))
+    (tasks, streamed), = seen
+    assert tasks > 10 and len(streamed) == 800 and streamed == [tuple(r) for r in whole.orderBy("seq").drop("seq").collect()]
+
+
+def test_a_batch_that_is_added_again_changes_nothing(spark, tmp_path):
+    from voxmill.streaming import month_table
+
+    table, top = str(tmp_path / "t"), "imported_at timestamp"
+    old = merges.upsert_comments(spark.createDataFrame([], schemas.COMMENTS), batch(spark), imported_at=now())
+    month_table.start_months(spark, table, schemas.COMMENTS, old)
+
+    def add(number, *users):
+        rows = [(i, "t", 1, f"{number}", u, None, T0, None, dt.datetime(2025, 3, 1)) for i, u in enumerate(users)]
+        new = spark.createDataFrame(rows, f"{BATCH}, {top}")
+        month_table.append_batch(spark, table, schemas.COMMENTS, number, new, intake._merge, intake.LANDED)
+
+    content = lambda n=None: sorted((r.id, r.national_code_hash, r.description) for r in intake.read_table(spark, table, n).collect())
+    add(0, "u9")
+    after = [(1, "u1", "third"), (2, "u2", "other"), (3, "u9", "0")]
+    assert content() == after and content(0) == after[:2]
+    with pytest.raises(ValueError):
+        month_table.write_batch(spark, table, schemas.COMMENTS, 1, old, intake._merge)
+    add(1, "u8", "u1")  # three are pending now, and merged with the two
+    add(1, "u8", "u1")
+    after = [(1, "u1", "1"), (2, "u2", "other"), (3, "u9", "0"), (4, "u8", "1")]
+    assert content() == sorted(after) and content(1)[0] == (1, "u1", "third")
+    add(2)
+    add(3, "u7")
+    assert content() == content(3) + [(5, "u7", "3")] == sorted(after) + [(5, "u7", "3")]
+    month_table.retire(spark, table, keep=1)
+    assert content() == sorted(after) + [(5, "u7", "3")] and month_table._names(spark, f"{table}/pending") == ["batch=4"]

@@ -83,9 +83,10 @@ def upsert_comments(
     """Key (national_code_hash, created_at). The batch wins, but an existing channel
     stays; within the batch the last row wins and the first known channel stays.
     New rows get ids after the highest one, in batch order. The time is part of the key, so ``target`` may be the months of the batch
-    only; then ``top_id`` says what the highest id of the whole table is."""
+    only; then ``top_id`` says what the highest id of the whole table is. A batch whose rows have an ``imported_at`` keeps it where none is given."""
     keys = ["national_code_hash", "created_at"]
-    overwritten = ["title", "grade", "description", "mobile_no_hash"]
+    dated = imported_at is None and "imported_at" in batch.columns
+    overwritten = ["title", "grade", "description", "mobile_no_hash", *(["imported_at"] if dated else [])]
     now = imported_at if imported_at is not None else F.current_timestamp()
     rows = batch.groupBy(*keys).agg(
         F.max_by(F.struct(*overwritten), F.col(seq)).alias("_last"),
@@ -94,9 +95,9 @@ def upsert_comments(
     ).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in overwritten], "channel_code", "seq")
     joined, fresh = _split(target, rows, keys)
     changes = {c: F.col(f"_new_{c}") for c in overwritten}
-    changes |= {"channel_code": F.coalesce("channel_code", "_new_channel_code"), "imported_at": now}
+    changes = {"imported_at": now} | changes | {"channel_code": F.coalesce("channel_code", "_new_channel_code")}
     fresh = _numbered(target, "id", fresh, "seq", top_id)
-    values = {c: F.col(c) for c in ("id", *keys, *overwritten, "channel_code")} | {"imported_at": now}
+    values = {"imported_at": now} | {c: F.col(c) for c in ("id", *keys, *overwritten, "channel_code")}
     return _replace(target, joined, changes).unionByName(_as_rows(target, fresh, values))
 
 

@@ -11,7 +11,7 @@ from ..functions.dates import parse_timestamp
 from ..functions import lexicon as lx
 from ..functions.ids import hash_id, hash_id_or_null
 from ..functions.text import strip
-from .records import in_record_order, read_records
+from .records import in_record_order, read_records, records_of
 
 FEEDBACK_FIELDS = 9
 CORRUPT = "_line"
@@ -71,13 +71,16 @@ def in_file_order(rows: DataFrame, by_time: bool = False) -> DataFrame:
 def positional_rows(spark: SparkSession, path: str, width: int, multi_line: bool, by_time: bool) -> DataFrame:
     """seq and the fields of all rows that have ``width`` of them at least. Files are split over tasks in both forms; ``multi_line=False``
     spares the look at quotes where no field holds a line break."""
-    schema = positional_schema(width)
     if not multi_line:
-        return in_file_order(long_enough(with_places(spark.read.schema(schema).options(**csv_options(False)).csv(path)), width), by_time)
+        return in_file_order(long_enough(with_places(spark.read.schema(positional_schema(width)).options(**csv_options(False)).csv(path)), width), by_time)
+    return in_record_order(_fields(read_records(spark, path), width, "_path", "_time", "_block", "_stitched"), by_time)
+
+
+def _fields(records: DataFrame, width: int, *kept: str) -> DataFrame:
+    """The fields of the records that have ``width`` of them at least."""
     options = {k: v for k, v in csv_options(True).items() if k != "header"}
-    fields = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
-    rows = read_records(spark, path).select(fields.alias("_fields"), "_path", "_time", "_block", "_stitched").select("_fields.*", "_path", "_time", "_block", "_stitched")
-    return in_record_order(long_enough(rows, width), by_time)
+    fields = F.from_csv("record", positional_schema(width).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    return long_enough(records.select(fields.alias("_fields"), *kept).select("_fields.*", *kept), width)
 
 
 def feedback_columns(raw: DataFrame, by_time: bool = False) -> DataFrame:
@@ -85,6 +88,12 @@ def feedback_columns(raw: DataFrame, by_time: bool = False) -> DataFrame:
     return _feedback(in_file_order(long_enough(raw, FEEDBACK_FIELDS), by_time))
 
 
+def feedback_of_lines(lines: DataFrame, by_time: bool = False) -> DataFrame:
+    """As ``feedback_columns``, from the lines of the files (``records.lines_of``): a file is read by as many tasks as it has splits.
+    ``seq`` ascends in the order of files and rows, with gaps."""
+    return _feedback(_fields(records_of(lines, by_time).withColumnRenamed("_place", "seq"), FEEDBACK_FIELDS, "seq"))
+
+
 def _feedback(rows: DataFrame) -> DataFrame:
     text = lambda i: F.coalesce(F.col(f"c{i}"), F.lit(""))
     return rows.select(
