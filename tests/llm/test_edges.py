@@ -128,6 +128,33 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_cost_the_driver_the_same_for_long_chains(spark):
+    import random
+
+    from voxmill import session
+
+    pick = random.Random(5)
+    names = [pick.randrange(-(2**62), 2**62) for _ in range(2000)]
+    chain = [(names[i], names[i + 1]) for i in range(900)] + [(names[1000], x) for x in names[1001:1500]] + [(pick.choice(names[1500:]), pick.choice(names[1500:])) for _ in range(300)]
+    edges = spark.createDataFrame(chain, "a long, b long").repartition(5)
+    before = len(session._WRITTEN)
+    got = {r.node: r.root for r in components.components(edges).collect()}
+    assert len(session._WRITTEN) - before == 1  # the edges, whatever their paths
+    parent = {x: x for e in chain if e[0] != e[1] for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in chain:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    assert got == {x: find(x) for x in parent}
+    assert {r.node: r.root for r in components.components(edges, task_edges=100).collect()} == got  # in rounds
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
