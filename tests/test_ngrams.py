@@ -186,6 +186,29 @@ def test_outliers_and_suggestions_leave_out_used_texts(spark):
     assert by("core") == [0, 1] and by("outliers") == [10, 11] and by("suggestions") == []
 
 
+def test_comments_are_prepared_seldom_and_not_gathered_by_group(spark, monkeypatch):
+    calls, plans = spark.sparkContext.accumulator(0), []
+
+    @F.udf("string")
+    def prepared(text):
+        calls.add(1)
+        return text
+
+    cut = exemplars.cut_lineage
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(exemplars, "cut_lineage", noted)
+    rows = [(i, f"comment number {i % 7} says word{i % 5} and word{i % 3}", ["a", "b", None][i % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, raw string, grp string").select("id", "grp", prepared.asNondeterministic()("raw").alias("description"))
+    assert exemplars.representative(df, group="grp").count() == 14
+    assert calls.value <= 3 * len(rows)  # for their facts, their terms, and to be looked up
+    pairs = [p for p in plans if "Generate inline" in p]
+    assert pairs and not any("hashpartitioning(grp" in p for p in pairs)  # sizes of groups are measured, comments stay where they are
+
+
 def test_position_is_independent_of_slots(spark):
     df = spark.range(500).select((F.col("id") * 37).alias("o"), (F.col("id") % 3).alias("g"))
     rows = ordering.add_position(df, ["g"], "o", "p", slot_width=100).collect()

@@ -45,16 +45,17 @@ def _small(groups: Sequence[str] | None) -> Callable[[DataFrame], DataFrame]:
     return F.broadcast if groups is not None else lambda rows: rows
 
 
+def _stripped(docs: DataFrame, group: str, groups: Sequence[str] | None, text: str, id: str) -> DataFrame:
+    """(grp, id, text) of the comments of the groups."""
+    listed = F.col(group).isin(list(groups)) if groups is not None else F.col(group).isNotNull()
+    return docs.filter(listed).select(F.col(group).alias("grp"), F.col(id).alias("id"), strip(F.col(text)).alias("text"))
+
+
 def _texts(
     docs: DataFrame, group: str, groups: Sequence[str] | None, min_len: int, max_comments: int | None, text: str, id: str
 ) -> DataFrame:
     """(grp, id, text) of the comments that are compared."""
-    listed = F.col(group).isin(list(groups)) if groups is not None else F.col(group).isNotNull()
-    texts = (
-        docs.filter(listed)
-        .select(F.col(group).alias("grp"), F.col(id).alias("id"), strip(F.col(text)).alias("text"))
-        .filter(F.length("text") >= min_len)
-    )
+    texts = _stripped(docs, group, groups, text, id).filter(F.length("text") >= min_len)
     return texts if max_comments is None else top_per_group(texts, ["grp"], ["id"], max_comments, "_r").drop("_r")
 
 
@@ -90,22 +91,28 @@ def _products(texts: DataFrame, doc: Column, parts: int, tasks: int, stopwords:
     return shares.coalesce(tasks).groupBy("doc").agg(F.sum("share").alias("product"))
 
 
-def _scores(texts: DataFrame, groups: Sequence[str] | None, stopwords: Sequence[str]) -> DataFrame:
-    """(grp, id, row, docs, score, chars, asks) of the comments, without their texts, which are most of the data."""
+def _scores(texts: DataFrame, groups: Sequence[str] | None, stopwords: Sequence[str], asking: bool = False) -> DataFrame:
+    """(grp, id, row, docs, score, chars, asks) of the comments, without their texts, which are most of the data.
+
+    Texts are prepared twice: for their facts, which are written, and to be cut into terms. Group sizes are written too, so that
+    their measured size decides whether they are broadcast, and the texts of a few large groups do not meet in as few tasks.
+    """
     small = _small(groups)
-    each = texts.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    asks = is_suggestion(F.col("text")) if asking else F.lit(None).cast("boolean")
+    noted = cut_lineage(texts.select("grp", "id", _row(), F.length("text").alias("chars"), asks.alias("asks")))
+    each = noted.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
     total = each.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("chars").alias("chars")).first()
     one_row = (total["most"] or 0) <= 1
     # An id that is given twice stands for one comment in a group and for several in several groups.
     doc = F.col("id") if one_row else F.when(F.col("id").isNotNull(), F.xxhash64("grp", "id"))
-    sizes = texts.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"))
+    sizes = cut_lineage(noted.groupBy("grp").agg(F.count(F.lit(1)).alias("docs")))
     sized = texts.join(small(sizes), "grp")
 
     tasks = max(24, 3 * texts.sparkSession.sparkContext.defaultParallelism)
     parts = max(tasks, -(-(total["chars"] or 0) // TASK_CHARS))
     few_norms = (total["n"] or 0) <= MAX_BROADCAST_NORMS
     products = cut_lineage(_products(sized, doc, parts, tasks, stopwords, one_row, few_norms))
-    facts = sized.select("grp", "id", doc.alias("doc"), "docs", _row(), F.length("text").alias("chars"), is_suggestion(F.col("text")).alias("asks"))
+    facts = noted.join(small(sizes), "grp").select("grp", "id", doc.alias("doc"), "docs", "row", "chars", "asks")
     scored = cut_lineage(facts.join(products, "doc", "left").drop("doc"))
     # The products of a group add up to the square of the length of its sum: each comment of an id counts once.
     once = scored.filter(F.col("product").isNotNull())
@@ -122,9 +129,11 @@ def _scores(texts: DataFrame, groups: Sequence[str] | None, stopwords: Sequence[
 
 
 def _spelled(picked: DataFrame, texts: DataFrame) -> DataFrame:
-    """``picked``, a few rows per group, with their texts."""
+    """``picked``, a few rows per group, with their texts. ``texts`` may hold more than those compared: a row's hash is of its text."""
     picked = cut_lineage(picked)
-    rows = texts.select("grp", _row(), "text").join(picked.select("grp", "row").distinct(), ["grp", "row"], "left_semi")
+    named = picked.select(F.col("id").alias("_id")).distinct()
+    near = texts.join(named, F.col("id").eqNullSafe(F.col("_id")), "left_semi")  # before the other texts are prepared
+    rows = near.select("grp", _row(), "text").join(picked.select("grp", "row").distinct(), ["grp", "row"], "left_semi")
     return picked.join(rows.dropDuplicates(["grp", "row"]), ["grp", "row"])
 
 
@@ -147,11 +156,11 @@ def centrality(
 
 def _scored(
     docs: DataFrame, *, group: str, groups: Sequence[str] | None = None, min_len: int = 20, max_comments: int | None = None,
-    stopwords: Sequence[str] = lx.LIGHT_STOPWORDS, text: str = "description", id: str = "id",
+    stopwords: Sequence[str] = lx.LIGHT_STOPWORDS, text: str = "description", id: str = "id", asking: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """The comments that are compared, and their scores."""
+    """The comments of the groups, and the scores of those that are compared."""
     texts = _texts(docs, group, groups, min_len, max_comments, text, id)
-    return texts, _scores(texts, groups, stopwords)
+    return _stripped(docs, group, groups, text, id), _scores(texts, groups, stopwords, asking)
 
 
 def _core(scored: DataFrame, top_k: int) -> DataFrame:
@@ -175,7 +184,7 @@ def buckets(
     and those whose text is already used are then removed. The reference form looks at
     the first 400 comments of a group.
     """
-    texts, scored = _scored(docs, group=group, max_comments=max_comments, **options)
+    texts, scored = _scored(docs, group=group, max_comments=max_comments, asking=True, **options)
     small = _small(options.get("groups"))
     lowest = top_per_group(scored.filter(F.col("score").isNotNull()), ["grp"], [F.asc("score"), F.asc("id")], outliers)
     asking = top_per_group(scored.filter("asks"), ["grp"], ["id"], suggestions)
